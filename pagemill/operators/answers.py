@@ -9,7 +9,7 @@ from ..functions.prompts import (
     LINK, ChatWording, answer_html, chat_prompt, prompt_hash, shown_answer, shown_prompt,
 )
 from ..functions.responses import parse_completion
-from .embedding import embed
+from .embedding import DIM, embed
 from .joins import preceding_rows
 from .search import topk, with_metadata
 
@@ -40,11 +40,14 @@ def local_questions(spark: SparkSession, questions) -> DataFrame:
 
 
 def rag_context(questions: DataFrame, index: DataFrame, documents: DataFrame,
-                threshold: float | None = None, model=None, document_id: str = "id",
+                threshold: float | None = None, model=None, dim: int = DIM, document_id: str = "id",
                 columns: tuple[str, ...] = ("url", "content")) -> DataFrame:
-    """Add the best document of each question; its fields are null without a match."""
+    """Add the best document of each question; its fields are null without a match.
+
+    ``dim`` is the vector length of ``model``.
+    """
     asked = embed(questions, "question", model=model)
-    matches = topk(asked, index, 1, threshold, query_id="question_id")
+    matches = topk(asked, index, 1, threshold, query_id="question_id", max_dim=dim)
     found = with_metadata(matches, documents, document_id, columns)
     details = found.select(F.col("query_id").alias("question_id"), F.col("id").alias("document_id"),
                            "score", *columns)

@@ -9,18 +9,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layout import spread
 from .kernels import HashedWords
 
+DIM = 64
 Embedder = Callable[[pa.Array], np.ndarray]
 
 
-def hashed_words(dim: int = 64) -> Callable[[], Embedder]:
+def hashed_words(dim: int = DIM) -> Callable[[], Embedder]:
     return lambda: HashedWords(dim)
 
 
 def embed(df: DataFrame, text: str, out: str = "embedding",
           model: Callable[[], Embedder] | None = None) -> DataFrame:
-    """Add one vector per text, without moving rows.
+    """Add one vector per text.
 
     ``model`` is called once per task and returns a function from an Arrow array of
     texts to a matrix with one row per text. The default hashes words.
@@ -35,7 +37,7 @@ def embed(df: DataFrame, text: str, out: str = "embedding",
             offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
-    return df.withColumn(out, vectors(F.col(text)))
+    return spread(df).withColumn(out, vectors(F.col(text)))
 
 
 def weights(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:

@@ -10,7 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import words
+from ..functions.text import bind, words
+from ..sources.layout import spread, stored
 from .joins import HOT_ROWS, SALTS
 from .kernels import TILE_CELLS, BestMatches, word_lists
 from .search import MATCH_SCHEMA, _rank
@@ -26,24 +27,29 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     return each.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def corpus_stats(docs: DataFrame, text: str = "text") -> tuple[int, float]:
-    """Number of documents and their mean length in words."""
-    row = docs.agg(F.count("*"), F.avg(F.size(words(F.col(text))))).first()
-    return row[0], float(row[1] or 0.0)
+def word_frequencies(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """``term, df, length``: documents that hold each query word, in one pass.
 
-
-def term_weights(terms: DataFrame, docs: DataFrame, n_docs: int, text: str = "text") -> DataFrame:
-    """``query_id, term, weight``: idf times query frequency; only terms that occur.
-
-    Document frequencies are counted for the words of the queries alone, and
-    combined within each task before they are shuffled.
+    The row of the empty word, which no text holds, counts all documents and sums
+    their lengths. Counts are combined within each task before they are shuffled,
+    so a word that every document holds is no large group.
     """
-    vocabulary = terms.select("term").distinct()
-    df = (docs.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
-          .join(vocabulary, "term", "left_semi")
-          .groupBy("term").agg(F.count("*").alias("df")))
+    all_words = words(F.col(text))
+    entry = lambda term, length: F.struct(term.alias("term"), length.cast("bigint").alias("length"))
+    entries = bind(all_words, lambda w: F.concat(
+        F.transform(F.array_distinct(w), lambda t: entry(t, F.lit(0))),
+        F.array(entry(F.lit(""), F.size(w)))))
+    wanted = terms.select("term").distinct().unionByName(
+        terms.sparkSession.createDataFrame([("",)], "term string"))
+    return (docs.select(F.explode(entries).alias("e")).select("e.*")
+            .join(wanted, "term", "left_semi")
+            .groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length")))
+
+
+def term_weights(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:
+    """``query_id, term, weight``: idf times query frequency; only words that occur."""
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return terms.join(df, "term").select(
+    return terms.join(frequencies, "term").select(
         "query_id", "term", (idf * F.col("qtf")).alias("weight"))
 
 
@@ -59,9 +65,12 @@ def keyword_search(
     place and shuffle only their k best. More query words are joined by term.
     """
     terms = query_terms(queries, query_id, query_text)
-    n_docs, mean = corpus_stats(docs, doc_text)
-    weighted = term_weights(terms, docs, n_docs, doc_text)
-    d = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(doc_text).alias("text"))
+    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(doc_text).alias("text")))
+    frequencies = stored(word_frequencies(d, terms), "word-frequencies")
+    total = frequencies.filter("term = ''").first()
+    n_docs, length = (total["df"], total["length"]) if total else (0, 0)
+    mean = length / n_docs if n_docs else 0.0
+    weighted = term_weights(terms, frequencies, n_docs)
     few = weighted.limit(broadcast_terms + 1).toArrow()
     if few.num_rows <= broadcast_terms:
         return _rank(_scan(d, few, k, mean), k)

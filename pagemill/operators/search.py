@@ -13,13 +13,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.layout import stored
 from .kernels import BestMatches, add_cosines, unit_rows
 
-MATCH_SCHEMA = "query_id bigint, id bigint, score double"
+MATCH_SCHEMA = "query_id bigint not null, id bigint not null, score double not null"
 BROADCAST_BYTES = 64 << 20
 MAX_DIM = 4096
 INDEX_BLOCK = 65_536
 QUERY_BLOCK = 4_096
+BROADCAST_IDS = 1_000_000
 
 
 def _rank(matches: DataFrame, k: int) -> DataFrame:
@@ -49,9 +51,9 @@ def topk(
     few = q.limit(fit + 1).toArrow()
     if few.num_rows <= fit:
         return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
-    one_cell = F.lit(0)
-    return _rank(_block_join(q.withColumn("cell", one_cell), x.withColumn("cell", one_cell),
-                             k, threshold, skip_same_id), k)
+    sizes = {"x_blocks": F.lit(-(-x.count() // INDEX_BLOCK)), "q_blocks": F.lit(-(-q.count() // QUERY_BLOCK))}
+    one_cell = lambda df: df.withColumns({"cell": F.lit(0), **sizes})
+    return _rank(_block_join(one_cell(q), one_cell(x), k, threshold, skip_same_id), k)
 
 
 def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
@@ -75,9 +77,15 @@ def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
     return index.mapInArrow(task, MATCH_SCHEMA)
 
 
-def _blocks(df: DataFrame, key: str, rows: int, own: str) -> DataFrame:
-    """Number of blocks of about ``rows`` rows in each cell; one row per cell."""
-    return df.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(own))
+def _sized(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add to both sides how many blocks their cell has on each side.
+
+    The sizes are one row per cell, and the number of cells is a setting.
+    """
+    blocks = lambda df, rows, name: df.groupBy("cell").agg(F.ceil(F.count("*") / rows).alias(name))
+    sizes = F.broadcast(blocks(index, INDEX_BLOCK, "x_blocks").join(
+        blocks(queries, QUERY_BLOCK, "q_blocks"), "cell"))
+    return queries.join(sizes, "cell"), index.join(sizes, "cell")
 
 
 def _block_join(queries: DataFrame, index: DataFrame, k: int, threshold: float | None,
@@ -87,16 +95,12 @@ def _block_join(queries: DataFrame, index: DataFrame, k: int, threshold: float |
     A cell of any size is cut into blocks by a hash of the id, on both sides. Every
     query block meets every index block of its cell in a group of its own, so a cell
     that holds a third of the index is spread over as many tasks as its size asks for.
-    The two block tables have one row per cell.
     """
-    n_index = _blocks(index, "id", INDEX_BLOCK, "x_blocks")
-    n_query = _blocks(queries, "query_id", QUERY_BLOCK, "q_blocks")
-    sizes = F.broadcast(n_index.join(n_query, "cell"))
     own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    x = (index.join(sizes, "cell").withColumn("xb", own("id", "x_blocks"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    x = (index.withColumn("xb", own("id", "x_blocks"))
          .withColumn("qb", each("q_blocks")).select("cell", "xb", "qb", "id", "v"))
-    q = (queries.join(sizes, "cell").withColumn("qb", own("query_id", "q_blocks"))
+    q = (queries.withColumn("qb", own("query_id", "q_blocks"))
          .withColumn("xb", each("x_blocks")).select("cell", "xb", "qb", "query_id", "v"))
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -119,11 +123,16 @@ def with_metadata(matches: DataFrame, documents: DataFrame, document_id: str = "
                   columns: tuple[str, ...] = ("url", "content", "title")) -> DataFrame:
     """Matches with the fields of their document; null when it has gone.
 
-    A semi-join reduces the documents to those matched before their text moves; the
-    few matches are usually small enough for Spark to broadcast.
+    The matches are stored first, so the search runs once and their number is known.
+    Up to ``BROADCAST_IDS`` of them go to all tasks, and documents are filtered where
+    they lie; only the matched ones move.
     """
+    matches = stored(matches, "matches")
     details = documents.select(F.col(document_id).cast("bigint").alias("id"), *columns)
-    wanted = details.join(matches.select("id"), "id", "left_semi")
+    ids = matches.select("id").distinct()
+    if matches.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    wanted = details.join(ids, "id", "left_semi")
     return matches.join(wanted, "id", "left").select("query_id", "rank", "id", "score", *columns)
 
 
@@ -180,4 +189,4 @@ def topk_approx(
     q = queries.select(
         F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"),
         F.explode(nearest_cells(F.col(vector), centroids, probes)).alias("cell"))
-    return _rank(_block_join(q, x, k, threshold, skip_same_id), k)
+    return _rank(_block_join(*_sized(q, x), k, threshold, skip_same_id), k)

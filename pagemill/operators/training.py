@@ -35,12 +35,12 @@ def question_rows(parsed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 
 def qa_join(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
-            text: str = "text") -> DataFrame:
-    """``question_id, question, content`` in question order; no matter how many
-    questions one document has."""
+            text: str = "text", ordered: bool = True) -> DataFrame:
+    """``question_id, question, content``, in question order if ``ordered``; no matter
+    how many questions one document has."""
     joined = skew_join(questions, docs.select(doc_id, text), doc_id, "id")
-    return joined.select(F.col("id").alias("question_id"), "question",
-                         F.col(text).alias("content")).orderBy("question_id")
+    pairs = joined.select(F.col("id").alias("question_id"), "question", F.col(text).alias("content"))
+    return pairs.orderBy("question_id") if ordered else pairs
 
 
 def answer_prompts(pairs: DataFrame, wording: TrainingWording = TrainingWording()) -> DataFrame:

@@ -8,6 +8,7 @@ from ..operators.answers import (
     answer_format, completion_join, completion_parse, rag_context, rag_prompt,
 )
 from ..operators.chunking import WhitespaceTokens, chunk_rows, page_chunks, titled
+from ..sources.layout import spread
 from ..sources.pages import valid_pages
 
 
@@ -15,9 +16,9 @@ def build_chunks(pages: DataFrame, tag: str = "h2", max_tokens: int = 4000, min_
                  article: Column | None = None, tokenizer=WhitespaceTokens) -> DataFrame:
     """``id, page_id, url, title, chunk_idx, content, n_tokens, truncated``.
 
-    Every step works on one page, so the plan is a scan and projections: no shuffle.
+    Every step works on one page: a scan and projections, without a shuffle.
     """
-    found = titled(valid_pages(pages, article))
+    found = titled(valid_pages(spread(pages), article))
     chunked = page_chunks(found, tag=tag, max_tokens=max_tokens, min_tokens=min_tokens,
                           tokenizer=tokenizer)
     return chunk_rows(chunked.drop("article"))

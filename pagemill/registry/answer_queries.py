@@ -128,8 +128,8 @@ def pending_query(spark, d):
     return resume_pending(docs, table(spark, d, "labels"), "doc_id")
 
 
-def pairs(spark, d):
-    return qa_join(asked_rows(spark, d), table(spark, d, "documents"))
+def pairs(spark, d, **options):
+    return qa_join(asked_rows(spark, d), table(spark, d, "documents"), **options)
 
 
 QUERIES = {
@@ -150,7 +150,7 @@ QUERIES = {
     "qa_join": pairs,
     "batch_page": lambda s, d: batch_page(table(s, d, "documents"), "doc_id", 30, 10),
     "resume_pending": pending_query,
-    "answer_prompt": lambda s, d: answer_prompts(pairs(s, d)),
+    "answer_prompt": lambda s, d: answer_prompts(pairs(s, d, ordered=False)),
     "qa_dataset": lambda s, d: qa_dataset(asked_rows(s, d), given_answers(s, d), table(s, d, "documents")),
     "sql_functions": functions_query,
 }
