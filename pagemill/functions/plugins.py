@@ -58,7 +58,7 @@ class ModelTokens:
 
         return iterator_udf(counter, "bigint")(text)
 
-    def truncate_all(self, texts, n: int):
+    def truncate_each(self, texts, above, n: int):
         setup = self.setup
 
         def cutter():

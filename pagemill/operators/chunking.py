@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import MARK, mark_sections, page_title, visible_text
 from ..functions.text import bind, newline_cleanup, token_count, token_truncate
+from ..sources.layout import pinned
 
 CHUNK_BITS = 20
 
@@ -21,8 +22,8 @@ class WhitespaceTokens:
         return F.transform(texts, token_count)
 
     @staticmethod
-    def truncate_all(texts: Column, n: int) -> Column:
-        return F.transform(texts, lambda t: token_truncate(t, n))
+    def truncate_each(texts: Column, above: Column, n: int) -> Column:
+        return F.zip_with(texts, above, lambda t, a: F.when(a, token_truncate(t, n)).otherwise(t))
 
 
 def _cut_points(counts: Column, max_tokens: int) -> Column:
@@ -91,14 +92,11 @@ def _chunk(
         F.lit(max_tokens + 1) if always_fold else F.col("_total"),
         max_tokens, min_tokens,
     )
-    # The limit applies only where a page was cut; tokens are counted before cleanup.
-    short = tokenizer.truncate_all(F.col("_raw.content"), max_tokens)
-    chunks = F.zip_with("_raw", short, lambda c, t: F.struct(
-        F.when(c["truncated"], t).otherwise(c["content"]).alias("content"),
-        c["n_tokens"].alias("n_tokens"),
-        c["truncated"].alias("truncated"),
-    ))
-    return (split.withColumn("_raw", raw).withColumn(out, chunks)
+    # Tokens are counted before cleanup, the limit is applied after it.
+    content = tokenizer.truncate_each(F.col("_raw.content"), F.col("_raw.truncated"), max_tokens)
+    chunks = F.arrays_zip(content.alias("content"), F.col("_raw.n_tokens").alias("n_tokens"),
+                          F.col("_raw.truncated").alias("truncated"))
+    return (pinned(split.withColumn("_raw", raw), "_raw").withColumn(out, chunks)
             .drop("_sections", "_counts", "_total", "_raw"))
 
 

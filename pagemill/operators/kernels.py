@@ -21,12 +21,17 @@ class BestMatches:
         self.scores = np.full((n_queries, k), -np.inf)
         self.ids = np.full((n_queries, k), np.iinfo(np.int64).max)
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Scores of shape (queries, rows); ``-inf`` marks what is no match."""
-        if not ids.size:
+    def add(self, scores: np.ndarray, ids: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """Scores of shape (queries, rows); ``-inf`` marks what is no match.
+
+        ``queries`` are the positions of the queries scored, by default all of them.
+        """
+        if not scores.size:
             return
+        if queries is None:
+            queries = np.arange(len(self.scores))
         scores = np.round(scores, SCORE_DIGITS)
-        floor = self.scores[:, -1:]
+        floor = self.scores[queries, -1:]
         if scores.shape[1] > self.k:
             kth = np.partition(scores, -self.k, axis=1)[:, -self.k][:, None]
             floor = np.maximum(floor, kth)
@@ -34,16 +39,15 @@ class BestMatches:
         if not row.size:
             return
         touched = np.unique(row)
-        old = np.repeat(touched, self.k)
-        all_rows = np.concatenate([old, row])
-        all_scores = np.concatenate([self.scores[touched].ravel(), scores[row, col]])
-        all_ids = np.concatenate([self.ids[touched].ravel(), ids[col]])
+        held = queries[touched]
+        all_rows = np.concatenate([np.repeat(touched, self.k), row])
+        all_scores = np.concatenate([self.scores[held].ravel(), scores[row, col]])
+        all_ids = np.concatenate([self.ids[held].ravel(), ids[col]])
         order = np.lexsort((all_ids, -all_scores, all_rows))
-        sorted_rows = all_rows[order]
-        first = np.searchsorted(sorted_rows, touched)
+        first = np.searchsorted(all_rows[order], touched)
         take = order[first[:, None] + np.arange(self.k)]
-        self.scores[touched] = all_scores[take]
-        self.ids[touched] = all_ids[take]
+        self.scores[held] = all_scores[take]
+        self.ids[held] = all_ids[take]
 
     def rows(self, query_ids: np.ndarray) -> pa.RecordBatch:
         query, slot = np.nonzero(self.scores > -np.inf)
@@ -72,8 +76,10 @@ def unit_rows(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[np.ndarray, n
 
 def add_cosines(best: BestMatches, query_ids: np.ndarray, queries: np.ndarray,
                 ids: np.ndarray, matrix: np.ndarray, threshold: float | None,
-                skip_same_id: bool) -> None:
-    """Score the rows against all queries, a bounded tile at a time."""
+                skip_same_id: bool, chosen: np.ndarray | None = None) -> None:
+    """Score the rows against the chosen queries, a bounded tile at a time."""
+    if chosen is not None:
+        query_ids, queries = query_ids[chosen], queries[chosen]
     width = max(1, TILE_CELLS // max(1, len(queries)))
     for lo in range(0, len(ids), width):
         part = ids[lo:lo + width]
@@ -82,7 +88,7 @@ def add_cosines(best: BestMatches, query_ids: np.ndarray, queries: np.ndarray,
             scores[np.round(scores, SCORE_DIGITS) < threshold] = -np.inf
         if skip_same_id:
             scores[query_ids[:, None] == part[None, :]] = -np.inf
-        best.add(scores, part)
+        best.add(scores, part, chosen)
 
 
 def word_lists(texts: pa.Array) -> pa.Array:

@@ -65,7 +65,7 @@ def keyword_search(
     place and shuffle only their k best. More query words are joined by term.
     """
     terms = query_terms(queries, query_id, query_text)
-    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(doc_text).alias("text")))
+    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(doc_text, F.lit("")).alias("text")))
     frequencies = stored(word_frequencies(d, terms), "word-frequencies")
     total = frequencies.filter("term = ''").first()
     n_docs, length = (total["df"], total["length"]) if total else (0, 0)

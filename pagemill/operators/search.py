@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,32 +48,58 @@ def topk(
     """
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"))
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"))
-    fit = max(0, broadcast_bytes // (8 * max_dim))
-    few = q.limit(fit + 1).toArrow()
-    if few.num_rows <= fit:
+    few = _few(q, max_dim, broadcast_bytes)
+    if few is not None:
         return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
     sizes = {"x_blocks": F.lit(-(-x.count() // INDEX_BLOCK)), "q_blocks": F.lit(-(-q.count() // QUERY_BLOCK))}
     one_cell = lambda df: df.withColumns({"cell": F.lit(0), **sizes})
     return _rank(_block_join(one_cell(q), one_cell(x), k, threshold, skip_same_id), k)
 
 
+def _few(queries: DataFrame, max_dim: int, broadcast_bytes: int) -> pa.Table | None:
+    """The queries, if they are sure to fit the broadcast limit."""
+    fit = max(0, broadcast_bytes // (8 * max_dim))
+    few = queries.limit(fit + 1).toArrow()
+    return few if few.num_rows <= fit else None
+
+
 def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
           skip_same_id: bool, max_dim: int) -> DataFrame:
+    """Score the index where it lies. Queries with ``cells`` meet only those cells."""
+    by_cell = "cells" in queries.column_names
     ids, vectors = (queries.column(c).combine_chunks() for c in ("query_id", "v"))
-    lengths = {len(v) for v in vectors if v.is_valid}
+    lengths = set(pc.list_value_length(vectors).unique().to_pylist()) - {None, 0}
     if lengths and max(lengths) > max_dim:
         raise ValueError(f"query vectors of {max(lengths)} elements; raise max_dim")
-    by_dim = [(dim, *unit_rows(ids, vectors, dim)) for dim in sorted(lengths) if dim]
-    shared = index.sparkSession.sparkContext.broadcast(by_dim)
+    groups = [(dim, *unit_rows(ids, vectors, dim)) for dim in sorted(lengths)]
+    probes = {}
+    if by_cell:
+        wanted = dict(zip(ids.to_pylist(), queries.column("cells").to_pylist()))
+        for at, (_, qid, _) in enumerate(groups):
+            for position, q in enumerate(qid.tolist()):
+                for cell in wanted[q] or ():
+                    probes.setdefault((at, cell), []).append(position)
+        probes = {key: np.array(found) for key, found in probes.items()}
+        index = index.filter(F.col("cell").isin(sorted({cell for _, cell in probes})))
+    shared = index.sparkSession.sparkContext.broadcast((groups, probes))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = [(dim, qid, q, BestMatches(len(qid), k)) for dim, qid, q in shared.value]
+        groups, probes = shared.value
+        best = [BestMatches(len(qid), k) for _, qid, _ in groups]
         for batch in batches:
-            for dim, qid, q, best in groups:
-                found, matrix = unit_rows(batch.column(0), batch.column(1), dim)
-                add_cosines(best, qid, q, found, matrix, threshold, skip_same_id)
-        for _, qid, _, best in groups:
-            yield best.rows(qid)
+            parts = [(None, batch)]
+            if by_cell:
+                cells = batch.column(2)
+                parts = [(c, batch.filter(pc.equal(cells, c))) for c in cells.unique().to_pylist()]
+            for cell, part in parts:
+                for at, (dim, qid, q) in enumerate(groups):
+                    chosen = probes.get((at, cell)) if by_cell else None
+                    if by_cell and chosen is None:
+                        continue
+                    found, matrix = unit_rows(part.column(0), part.column(1), dim)
+                    add_cosines(best[at], qid, q, found, matrix, threshold, skip_same_id, chosen)
+        for (_, qid, _), b in zip(groups, best):
+            yield b.rows(qid)
 
     return index.mapInArrow(task, MATCH_SCHEMA)
 
@@ -170,23 +197,37 @@ def nearest_cells(vector: Column, centroids: np.ndarray, n: int = 1) -> Column:
 
 
 def assign_cells(index: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
-    """Add the cell of each vector. Write the result partitioned by ``cell``."""
+    """Add the cell of each vector, null when it has none."""
     return index.withColumn("cell", F.element_at(nearest_cells(F.col(vector), centroids), 1))
 
 
+def write_cells(index: DataFrame, path: str) -> DataFrame:
+    """Write an index with cells so that a search reads only the cells it probes.
+
+    The rebalance hint makes files of even size: small cells share a task, a large
+    cell is split over many.
+    """
+    index.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+    return index.sparkSession.read.parquet(path)
+
+
 def topk_approx(
     queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int = 1, probes: int = 4,
     threshold: float | None = None, query_id: str = "query_id", index_id: str = "id",
-    vector: str = "embedding", skip_same_id: bool = False,
+    vector: str = "embedding", skip_same_id: bool = False, max_dim: int = MAX_DIM,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Top-k among the ``probes`` nearest cells; with all cells it is exact.
 
-    An index that has a ``cell`` column is used as it is, else cells are assigned.
+    ``index`` has a ``cell`` column from ``assign_cells``. As in ``topk``, few queries
+    are sent to the cells they probe, more are joined to them block by block.
     """
-    if "cell" not in index.columns:
-        index = assign_cells(index, centroids, vector)
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"), "cell")
     q = queries.select(
         F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"),
-        F.explode(nearest_cells(F.col(vector), centroids, probes)).alias("cell"))
-    return _rank(_block_join(*_sized(q, x), k, threshold, skip_same_id), k)
+        nearest_cells(F.col(vector), centroids, probes).alias("cells"))
+    few = _few(q, max_dim, broadcast_bytes)
+    if few is not None:
+        return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
+    each = stored(q.withColumn("cell", F.explode("cells")).drop("cells"), "probes")
+    return _rank(_block_join(*_sized(each, x), k, threshold, skip_same_id), k)

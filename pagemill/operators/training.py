@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
@@ -11,6 +11,7 @@ from .joins import skew_join
 
 QUESTION_BITS = 16
 SHALLOW_ROWS = 100_000
+BINS = 1024
 
 
 def question_prompts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -47,26 +48,31 @@ def answer_prompts(pairs: DataFrame, wording: TrainingWording = TrainingWording(
     return pairs.select("question_id", answer_prompt(F.col("content"), F.col("question"), wording).alias("prompt"))
 
 
-def batch_page(df: DataFrame, key: str, start: int, n: int = 10, width: int = 65_536) -> DataFrame:
+def batch_page(df: DataFrame, key: str, start: int, n: int = 10) -> DataFrame:
     """Rows ``[start, start + n)`` in the order of the unique bigint ``key``.
 
-    A shallow page is a top-k. A deep one would carry ``start`` rows through one
-    task, so key ranges are counted first and only those around the page are sorted.
+    A shallow page is a top-k. A deep one would carry ``start`` rows through one task,
+    so the key range around it is narrowed first: each step counts the rows of
+    ``BINS`` parts of the range and keeps the parts the page lies in.
     """
-    if start + n <= SHALLOW_ROWS:
-        return df.orderBy(key).offset(start).limit(n)
-    in_range = F.floor(F.col(key) / width)
-    counts = df.groupBy(in_range.alias("_range")).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.orderBy("_range"))
-    near = (counts.withColumn("_before", upto - F.col("_n"))
-            .filter((F.col("_before") < start + n) & (F.col("_before") + F.col("_n") > start))
-            .select("_range", "_before"))
-    # At least one row of the page lies in each range kept: n ranges at most.
-    rows = df.withColumn("_range", in_range).join(F.broadcast(near), "_range")
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    position = F.col("_before") + own - 1
-    return (rows.withColumn("_at", position).filter(F.col("_at").between(start, start + n - 1))
-            .select(*df.columns).orderBy(key))
+    k, skipped = F.col(key), 0
+    if start + n > SHALLOW_ROWS:
+        lo, hi = df.agg(F.min(key), F.max(key)).first()
+        while lo is not None and start - skipped + n > SHALLOW_ROWS and lo < hi:
+            width = -(-(hi - lo + 1) // BINS)
+            part = F.floor((k.cast("decimal(20,0)") - F.lit(lo)) / width).alias("part")
+            counts = df.filter(k.between(lo, hi)).groupBy(part).agg(F.count("*").alias("rows"))
+            ends, total = [], skipped
+            for row in sorted(counts.collect()):
+                total += row["rows"]
+                ends.append((int(row["part"]), total - row["rows"], total))
+            inside = [e for e in ends if e[1] < start + n and e[2] > start]
+            if not inside:
+                return df.limit(0)
+            lo, hi = lo + inside[0][0] * width, min(hi, lo + (inside[-1][0] + 1) * width - 1)
+            skipped = inside[0][1]
+        df = df.filter(k.between(lo, hi))
+    return df.orderBy(key).offset(start - skipped).limit(n)
 
 
 def resume_pending(df: DataFrame, done: DataFrame, key: str, done_key: str | None = None,

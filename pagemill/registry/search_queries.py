@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.embedding import embed, weights
 from ..operators.keyword import keyword_search
-from ..operators.search import fit_cells, topk, topk_approx, with_metadata
+from ..operators.search import assign_cells, fit_cells, topk, topk_approx, with_metadata, write_cells
 from ..operators.vector_index import index_build, index_gaps, index_stats, index_upsert, model_guard
+from ..session import new_dir
 from .common import DIM, SITE_SQL, hashed_sql, site, table
 
 K = 10
@@ -48,14 +49,12 @@ def label_centroids(index) -> np.ndarray:
     return np.column_stack([rows.column(f"m{i}").to_numpy() for i in range(DIM)])
 
 
-def approx_query(spark, d):
+def approximate(spark, d, centroids, **options):
     index = vectors(spark, d)
-    return topk_approx(as_queries(index), index, label_centroids(index), K, PROBES, skip_same_id=True)
-
-
-def kmeans_query(spark, d):
-    index = vectors(spark, d)
-    return topk_approx(as_queries(index), index, fit_cells(index, 16), K, PROBES, skip_same_id=True)
+    cells = centroids(index)
+    indexed = write_cells(assign_cells(index, cells), new_dir(spark, "cells"))
+    return topk_approx(as_queries(index), indexed, cells, K, PROBES,
+                       skip_same_id=True, max_dim=DIM, **options)
 
 
 def build_query(spark, d):
@@ -108,8 +107,9 @@ QUERIES = {
     "topk_metadata": metadata_query,
     "topk_filtered": filtered_query,
     "keyword_search": keyword_query,
-    "topk_approx": approx_query,
-    "topk_approx_kmeans": kmeans_query,
+    "topk_approx": lambda s, d: approximate(s, d, label_centroids),
+    "topk_approx_blocks": lambda s, d: approximate(s, d, label_centroids, broadcast_bytes=0),
+    "topk_approx_kmeans": lambda s, d: approximate(s, d, lambda index: fit_cells(index, 16)),
 }
 
 _COSINE = "list_cosine_similarity(q.embedding::DOUBLE[], x.embedding::DOUBLE[])"
@@ -184,4 +184,5 @@ LEFT JOIN site s ON s.id = m.id AND NOT ends_with(title, ' de')""",
 {_topk_sql(K, 'english')} SELECT * FROM matches""",
     "keyword_search": _KEYWORD,
     "topk_approx": _APPROX,
+    "topk_approx_blocks": _APPROX,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import new_dir
 
@@ -22,3 +23,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pinned(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with the column computed once per row.
+
+    The optimizer copies an expression into every filter and projection above it;
+    a generator with one element is a border it does not cross.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode_outer(F.array(column)).alias(column))

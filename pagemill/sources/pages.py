@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import element
+from .layout import pinned
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
@@ -35,11 +36,7 @@ def valid_pages(df: DataFrame, article: Column | None = None) -> DataFrame:
     """Pages that were fetched and have an article element."""
     present = df.filter("html is not null and html <> ''")
     found = with_article(present, default_article() if article is None else article)
-    # A filter on the column itself would move below the projection and extract the
-    # element a second time; behind a generator it stays where it is.
-    others = [c for c in df.columns if c != "html"]
-    once = found.select(*others, F.explode_outer(F.array("article")).alias("article"))
-    return once.filter("article is not null")
+    return pinned(found.drop("html"), "article").filter("article is not null")
 
 
 def rejected_pages(df: DataFrame, article: Column | None = None) -> DataFrame:
