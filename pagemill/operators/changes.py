@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layout import checked_broadcast
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, content: list[str]) -> DataFrame:
     """``key, change, old_hash, new_hash`` of inserted, updated and deleted rows.
@@ -26,8 +28,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, content: list[str])
 
 def apply_diff(old: DataFrame, diff: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """``old`` brought up to date with the rows the diff names."""
-    kept = old.join(diff.select(key), key, "left_anti")
-    fresh = new.join(diff.filter("change <> 'delete'").select(key), key, "left_semi")
+    kept = old.join(checked_broadcast(diff.select(key)), key, "left_anti")
+    fresh = new.join(checked_broadcast(diff.filter("change <> 'delete'").select(key)), key, "left_semi")
     return kept.unionByName(fresh)
 
 
@@ -38,7 +40,7 @@ def delete_where(df: DataFrame, key: str, value) -> DataFrame:
 
 def delete_by_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """All rows but those whose key is in ``keys``."""
-    return df.join(keys.select(key), key, "left_anti")
+    return df.join(checked_broadcast(keys.select(key)), key, "left_anti")
 
 
 def append_evolve(df: DataFrame, more: DataFrame) -> DataFrame:

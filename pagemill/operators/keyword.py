@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bind, words
-from ..sources.layout import spread, stored
-from .joins import HOT_ROWS, SALTS
+from ..sources.layout import gathered, spread, stored
 from .kernels import TILE_CELLS, BestMatches, word_lists
 from .search import MATCH_SCHEMA, _rank
 
 K1 = 1.2
 B = 0.75
 BROADCAST_TERMS = 200_000
+TERM_BLOCK = 1_000_000
+DOC_BLOCK = 32_768
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
@@ -27,23 +28,25 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     return each.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def word_frequencies(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+def word_frequencies(docs: DataFrame, terms: DataFrame, few: bool, text: str = "text") -> DataFrame:
     """``term, df, length``: documents that hold each query word, in one pass.
 
     The row of the empty word, which no text holds, counts all documents and sums
     their lengths. Counts are combined within each task before they are shuffled,
-    so a word that every document holds is no large group.
+    so a word that every document holds is no large group. ``few`` query words are
+    sent to all tasks, so that the other words of a text are dropped at once.
     """
-    all_words = words(F.col(text))
     entry = lambda term, length: F.struct(term.alias("term"), length.cast("bigint").alias("length"))
-    entries = bind(all_words, lambda w: F.concat(
+    entries = bind(words(F.col(text)), lambda w: F.concat(
         F.transform(F.array_distinct(w), lambda t: entry(t, F.lit(0))),
         F.array(entry(F.lit(""), F.size(w)))))
     wanted = terms.select("term").distinct().unionByName(
         terms.sparkSession.createDataFrame([("",)], "term string"))
-    return (docs.select(F.explode(entries).alias("e")).select("e.*")
-            .join(wanted, "term", "left_semi")
-            .groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length")))
+    each = docs.select(F.explode(entries).alias("e")).select("e.*")
+    if few:
+        each = each.join(F.broadcast(wanted), "term", "left_semi")
+    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length"))
+    return counted if few else counted.join(wanted, "term", "left_semi")
 
 
 def term_weights(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:
@@ -60,103 +63,108 @@ def keyword_search(
 ) -> DataFrame:
     """The ``k`` best documents by BM25 for each query: ``query_id, rank, id, score``.
 
-    A document without a common word is no match. Query words that fit
-    ``broadcast_terms`` rows are sent to all tasks, which score whole documents in
-    place and shuffle only their k best. More query words are joined by term.
+    A document without a common word is no match. Tasks score whole documents against
+    all queries at once and shuffle only the k best. Up to ``broadcast_terms`` query
+    words are sent to all tasks; more are joined to the documents block by block.
     """
-    terms = query_terms(queries, query_id, query_text)
-    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(doc_text, F.lit("")).alias("text")))
-    frequencies = stored(word_frequencies(d, terms), "word-frequencies")
+    terms = stored(query_terms(queries, query_id, query_text), "query-terms")
+    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"),
+                           F.coalesce(doc_text, F.lit("")).alias("text")))
+    n_terms = terms.count()
+    few = n_terms <= broadcast_terms
+    frequencies = stored(word_frequencies(d, terms, few), "word-frequencies")
     total = frequencies.filter("term = ''").first()
     n_docs, length = (total["df"], total["length"]) if total else (0, 0)
     mean = length / n_docs if n_docs else 0.0
     weighted = term_weights(terms, frequencies, n_docs)
-    few = weighted.limit(broadcast_terms + 1).toArrow()
-    if few.num_rows <= broadcast_terms:
-        return _rank(_scan(d, few, k, mean), k)
-    return _rank(_term_join(d, weighted, mean), k)
+    if few:
+        return _rank(_scan(d, weighted.toArrow(), k, mean), k)
+    return _rank(_block_join(d, weighted, k, mean, n_docs, n_terms), k)
+
+
+class Postings:
+    """The queries of each word, as arrays."""
+
+    def __init__(self, weighted: pa.Table):
+        self.query_ids, query = np.unique(weighted.column("query_id").to_numpy(), return_inverse=True)
+        coded = weighted.column("term").combine_chunks().dictionary_encode()
+        term = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(term, kind="stable")
+        self.words = coded.dictionary
+        self.starts = np.searchsorted(term[order], np.arange(len(self.words) + 1))
+        self.queries = query[order]
+        self.weights = weighted.column("weight").to_numpy()[order]
+
+    def add_documents(self, best: BestMatches, ids: pa.Array, texts: pa.Array, mean: float) -> None:
+        """Score the documents against all queries, a bounded tile at a time."""
+        width = max(1, TILE_CELLS // max(1, len(self.query_ids)))
+        for lo in range(0, len(ids), width):
+            part = ids.slice(lo, width).to_numpy(zero_copy_only=False)
+            best.add(self.scores(texts.slice(lo, width), mean), part)
+
+    def scores(self, texts: pa.Array, mean: float) -> np.ndarray:
+        """BM25 of shape (queries, texts); ``-inf`` where no word is shared."""
+        lists = word_lists(texts)
+        n, n_queries, n_words = len(lists), len(self.query_ids), max(1, len(self.words))
+        flat = lists.flatten()
+        row = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        length = np.bincount(row[real], minlength=n)
+        code = pc.fill_null(pc.index_in(flat, self.words), -1).to_numpy(zero_copy_only=False)
+        known = real & (code >= 0)
+        pair, tf = np.unique(row[known].astype(np.int64) * n_words + code[known], return_counts=True)
+        doc, term = pair // n_words, pair % n_words
+        part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / (mean or 1.0)))
+
+        total = np.zeros(n_queries * n)
+        hit = np.zeros(n_queries * n, dtype=bool)
+        # Each word of a document meets all its queries, a bounded number at a time.
+        fan_out = self.starts[term + 1] - self.starts[term]
+        ends = np.cumsum(fan_out)
+        lo = 0
+        while lo < len(term):
+            base = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, base + TILE_CELLS, side="right")))
+            f = fan_out[lo:hi]
+            before = np.concatenate([[0], np.cumsum(f)[:-1]])
+            at = np.repeat(self.starts[term[lo:hi]] - before, f) + np.arange(f.sum())
+            cell = self.queries[at] * n + np.repeat(doc[lo:hi], f)
+            total += np.bincount(cell, weights=self.weights[at] * np.repeat(part[lo:hi], f),
+                                 minlength=n_queries * n)
+            hit[cell] = True
+            lo = hi
+        total[~hit] = -np.inf
+        return total.reshape(n_queries, n)
 
 
 def _scan(docs: DataFrame, weighted: pa.Table, k: int, mean: float) -> DataFrame:
-    query_ids, query = np.unique(weighted.column("query_id").to_numpy(), return_inverse=True)
-    coded = weighted.column("term").combine_chunks().dictionary_encode()
-    term = coded.indices.to_numpy(zero_copy_only=False)
-    order = np.argsort(term, kind="stable")
-    start = np.searchsorted(term[order], np.arange(len(coded.dictionary) + 1))
-    postings = (query_ids, coded.dictionary, start, query[order],
-                weighted.column("weight").to_numpy()[order])
-    shared = docs.sparkSession.sparkContext.broadcast(postings)
+    shared = docs.sparkSession.sparkContext.broadcast(Postings(weighted))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vocabulary, starts, queries, weights = shared.value
-        best = BestMatches(len(ids), k)
-        width = max(1, TILE_CELLS // max(1, len(ids)))
+        postings = shared.value
+        best = BestMatches(len(postings.query_ids), k)
         for batch in batches:
-            for lo in range(0, batch.num_rows, width):
-                part = batch.slice(lo, width)
-                scores = _bm25(part.column(1), vocabulary, starts, queries, weights, len(ids), mean)
-                best.add(scores, part.column(0).to_numpy(zero_copy_only=False))
-        yield best.rows(ids)
-
-    return docs.mapInArrow(task, MATCH_SCHEMA)
-
-
-def _bm25(texts: pa.Array, vocabulary: pa.Array, starts: np.ndarray, queries: np.ndarray,
-          weights: np.ndarray, n_queries: int, mean: float) -> np.ndarray:
-    """Scores of shape (queries, texts); ``-inf`` where no word is shared."""
-    lists = word_lists(texts)
-    n = len(lists)
-    flat = lists.flatten()
-    row = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    length = np.bincount(row[real], minlength=n)
-    code = pc.fill_null(pc.index_in(flat, vocabulary), -1).to_numpy(zero_copy_only=False)
-    known = real & (code >= 0)
-    n_terms = max(1, len(vocabulary))
-    pair, tf = np.unique(row[known].astype(np.int64) * n_terms + code[known], return_counts=True)
-    doc, term = pair // n_terms, pair % n_terms
-    norm = K1 * (1 - B + B * length[doc] / mean) if mean else np.ones(len(doc))
-    part = tf * (K1 + 1) / (tf + norm)
-
-    scores = np.zeros(n_queries * n)
-    hit = np.zeros(n_queries * n, dtype=bool)
-    fan_out = starts[term + 1] - starts[term]
-    # Pairs of a term with all its queries, a bounded number at a time.
-    ends = np.cumsum(fan_out)
-    lo = 0
-    while lo < len(term):
-        base = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, base + TILE_CELLS, side="right")))
-        f = fan_out[lo:hi]
-        at = np.repeat(starts[term[lo:hi]] - np.concatenate([[0], np.cumsum(f)[:-1]]), f) + np.arange(f.sum())
-        cell = queries[at] * n + np.repeat(doc[lo:hi], f)
-        scores += np.bincount(cell, weights=weights[at] * np.repeat(part[lo:hi], f), minlength=n_queries * n)
-        hit[cell] = True
-        lo = hi
-    scores[~hit] = -np.inf
-    return scores.reshape(n_queries, n)
-
-
-def _term_join(docs: DataFrame, weighted: DataFrame, mean: float,
-               hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Scores by a join on the term, for query batches too large to broadcast.
-
-    Words used by many queries are spread over ``salts`` parts on the query side and
-    their document rows replicated; at most rows / ``hot_rows`` words are hot.
-    """
-    w = words(F.col("text"))
-    each = docs.select("id", F.size(w).alias("dl"), F.explode(w).alias("term"))
-    counted = each.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
-    norm = K1 * (1 - B + B * F.col("dl") / F.lit(mean or 1.0))
-    part = F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    postings = counted.select("id", "term", part.alias("part"))
-
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    hot = (postings.groupBy("term").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-           .select("term", F.lit(True).alias("_hot")))
-    left = postings.join(F.broadcast(hot), "term", "left").withColumn("_salt", spread).drop("_hot")
-    right = weighted.join(F.broadcast(hot), "term", "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    scores = left.join(right, ["term", "_salt"]).groupBy("query_id", "id").agg(
-        F.sum(F.col("part") * F.col("weight")).alias("score"))
-    return scores.withColumn("score", F.round("score", 6))
+            postings.add_documents(best, batch.column(0), batch.column(1), mean)
+        yield best.rows(postings.query_ids)
+
+    return gathered(docs).mapInArrow(task, MATCH_SCHEMA)
+
+
+def _block_join(docs: DataFrame, weighted: DataFrame, k: int, mean: float,
+                n_docs: int, n_terms: int) -> DataFrame:
+    """Blocks of queries against blocks of documents, each pair of blocks in a group
+    of bounded size. A word in a third of all documents is spread over all blocks."""
+    d_blocks, q_blocks = -(-n_docs // DOC_BLOCK) or 1, -(-n_terms // TERM_BLOCK) or 1
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    d = docs.withColumn("db", own("id", d_blocks)).withColumn("qb", each(q_blocks))
+    q = weighted.withColumn("qb", own("query_id", q_blocks)).withColumn("db", each(d_blocks))
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        postings = Postings(left)
+        best = BestMatches(len(postings.query_ids), k)
+        ids, texts = (right.column(c).combine_chunks() for c in ("id", "text"))
+        postings.add_documents(best, ids, texts, mean)
+        return pa.Table.from_batches([best.rows(postings.query_ids)])
+
+    return q.groupBy("db", "qb").cogroup(d.groupBy("db", "qb")).applyInArrow(block, MATCH_SCHEMA)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.layout import stored
+from ..sources.layout import checked_broadcast, gathered, stored
 from .kernels import BestMatches, add_cosines, unit_rows
 
 MATCH_SCHEMA = "query_id bigint not null, id bigint not null, score double not null"
@@ -22,7 +22,6 @@ BROADCAST_BYTES = 64 << 20
 MAX_DIM = 4096
 INDEX_BLOCK = 65_536
 QUERY_BLOCK = 4_096
-BROADCAST_IDS = 1_000_000
 
 
 def _rank(matches: DataFrame, k: int) -> DataFrame:
@@ -57,10 +56,8 @@ def topk(
 
 
 def _few(queries: DataFrame, max_dim: int, broadcast_bytes: int) -> pa.Table | None:
-    """The queries, if they are sure to fit the broadcast limit."""
-    fit = max(0, broadcast_bytes // (8 * max_dim))
-    few = queries.limit(fit + 1).toArrow()
-    return few if few.num_rows <= fit else None
+    """The queries, if they are counted to fit the broadcast limit."""
+    return queries.toArrow() if queries.count() * 8 * max_dim <= broadcast_bytes else None
 
 
 def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
@@ -101,7 +98,7 @@ def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
         for (_, qid, _), b in zip(groups, best):
             yield b.rows(qid)
 
-    return index.mapInArrow(task, MATCH_SCHEMA)
+    return gathered(index).mapInArrow(task, MATCH_SCHEMA)
 
 
 def _sized(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -150,28 +147,32 @@ def with_metadata(matches: DataFrame, documents: DataFrame, document_id: str = "
                   columns: tuple[str, ...] = ("url", "content", "title")) -> DataFrame:
     """Matches with the fields of their document; null when it has gone.
 
-    The matches are stored first, so the search runs once and their number is known.
-    Up to ``BROADCAST_IDS`` of them go to all tasks, and documents are filtered where
-    they lie; only the matched ones move.
+    The matches are stored first, so the search runs once. When they are few their
+    ids go to all tasks and documents are filtered where they lie; only the matched
+    ones move.
     """
     matches = stored(matches, "matches")
     details = documents.select(F.col(document_id).cast("bigint").alias("id"), *columns)
-    ids = matches.select("id").distinct()
-    if matches.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    wanted = details.join(ids, "id", "left_semi")
+    wanted = details.join(checked_broadcast(matches.select("id").distinct()), "id", "left_semi")
     return matches.join(wanted, "id", "left").select("query_id", "rank", "id", "score", *columns)
 
 
 def fit_cells(index: DataFrame, n_cells: int, vector: str = "embedding", seed: int = 7,
-              max_iter: int = 20) -> np.ndarray:
-    """Centroids of ``n_cells`` k-means cells over the unit vectors of the index."""
+              max_iter: int = 20, train_rows: int = 1_000_000) -> np.ndarray:
+    """Centroids of ``n_cells`` k-means cells over the unit vectors of the index.
+
+    Only the centroids are learned from about ``train_rows`` rows of a larger index,
+    since each iteration reads them all; every row is then assigned to a cell.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
     from pyspark.ml.functions import array_to_vector
 
     rows = index.filter(F.size(vector) > 0).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("raw"))
+    n_rows = rows.count()
+    if n_rows > train_rows:
+        rows = rows.sample(train_rows / n_rows, seed)
     unit = Normalizer(inputCol="raw", outputCol="features").transform(rows)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter).fit(unit)
     return np.array(model.clusterCenters())

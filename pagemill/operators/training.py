@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
 from ..functions.responses import parse_questions
+from ..sources.layout import checked_broadcast
 from .joins import skew_join
 
 QUESTION_BITS = 16
@@ -78,7 +79,7 @@ def batch_page(df: DataFrame, key: str, start: int, n: int = 10) -> DataFrame:
 def resume_pending(df: DataFrame, done: DataFrame, key: str, done_key: str | None = None,
                    n_batches: int = 10) -> DataFrame:
     """Rows whose key is not in ``done``, each with a batch number that never changes."""
-    finished = done.select(F.col(done_key or key).alias(key))
+    finished = checked_broadcast(done.select(F.col(done_key or key).alias(key)))
     return (df.join(finished, key, "left_anti")
             .withColumn("batch", F.pmod(F.col(key), F.lit(n_batches))))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layout import checked_broadcast
+
 
 def index_build(chunks: DataFrame, vectors: DataFrame, chunk_id: str = "id",
                 vector_id: str = "id", vector: str = "embedding") -> DataFrame:
@@ -25,7 +27,7 @@ def index_upsert(index: DataFrame, updates: DataFrame, key: str = "id",
     if version:
         row = F.max_by(F.struct("*"), F.col(version)).alias("_row")
         updates = updates.groupBy(key).agg(row).select("_row.*").drop(version)
-    kept = index.join(updates.select(key), key, "left_anti")
+    kept = index.join(checked_broadcast(updates.select(key)), key, "left_anti")
     return kept.unionByName(updates.select(*index.columns))
 
 

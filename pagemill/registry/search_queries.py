@@ -90,8 +90,9 @@ def embed_query(spark, d):
         F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
-def keyword_query(spark, d):
-    return keyword_search(table(spark, d, "benchmark"), table(spark, d, "documents"), K, query_id="item_id")
+def keyword_query(spark, d, **options):
+    return keyword_search(table(spark, d, "benchmark"), table(spark, d, "documents"), K,
+                          query_id="item_id", **options)
 
 
 QUERIES = {
@@ -107,6 +108,7 @@ QUERIES = {
     "topk_metadata": metadata_query,
     "topk_filtered": filtered_query,
     "keyword_search": keyword_query,
+    "keyword_search_blocks": lambda s, d: keyword_query(s, d, broadcast_terms=0),
     "topk_approx": lambda s, d: approximate(s, d, label_centroids),
     "topk_approx_blocks": lambda s, d: approximate(s, d, label_centroids, broadcast_bytes=0),
     "topk_approx_kmeans": lambda s, d: approximate(s, d, lambda index: fit_cells(index, 16)),
@@ -183,6 +185,7 @@ LEFT JOIN site s ON s.id = m.id AND NOT ends_with(title, ' de')""",
     "topk_filtered": f"""WITH english AS (SELECT e.* FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE lang = 'en'),
 {_topk_sql(K, 'english')} SELECT * FROM matches""",
     "keyword_search": _KEYWORD,
+    "keyword_search_blocks": _KEYWORD,
     "topk_approx": _APPROX,
     "topk_approx_blocks": _APPROX,
 }

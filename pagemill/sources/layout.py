@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import new_dir
 
+BROADCAST_ROWS = 1_000_000
+SCAN_TASKS = 20_000
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Shuffle an input with fewer partitions than cores, before work per row that
@@ -17,6 +20,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """Bound the number of tasks of a scan where each task returns a partial result,
+    by reading several splits in one task; nothing is shuffled."""
+    return df.coalesce(max(SCAN_TASKS, 4 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def checked_broadcast(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow key rows, marked for broadcast only when counted to be few."""
+    return F.broadcast(keys) if keys.count() <= max_rows else keys
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, with a
     lineage that ends at files all executors can reach."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.layout import checked_broadcast
 from ..sources.pages import PAGE_SCHEMA
 from ..sources.tables import append_batch, read_batches
 
@@ -34,10 +35,17 @@ def incremental_pages(
 
 
 def current_chunks(spark: SparkSession, target: str) -> DataFrame:
-    """The chunks of each page from the last batch that held it."""
-    newest = read_batches(spark, f"{target}/pages").groupBy("page_id").agg(F.max("batch").alias("batch"))
+    """The chunks of each page from the last batch that held it.
+
+    Only the page ids are grouped; chunks move if the pages delivered again are too
+    many to broadcast.
+    """
+    pages = read_batches(spark, f"{target}/pages")
+    again = (pages.groupBy("page_id").agg(F.max("batch").alias("newest"), F.count("*").alias("n"))
+             .filter("n > 1").drop("n"))
+    stale = pages.join(again, "page_id").filter("batch < newest").select("page_id", "batch")
     chunks = read_batches(spark, f"{target}/chunks")
-    return chunks.join(newest, ["page_id", "batch"], "left_semi").drop("batch")
+    return chunks.join(checked_broadcast(stale), ["page_id", "batch"], "left_anti").drop("batch")
 
 
 def active_streams(spark: SparkSession, prefix: str = "") -> list:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import joins, keyword, search
 from pagemill.operators.embedding import embed, hashed_words, weights
+from pagemill.sources import layout
 from pagemill.operators.vector_index import index_gaps, index_stats, index_upsert, model_guard
 
 DIM = 8
@@ -136,7 +137,7 @@ def test_metadata_may_be_missing(spark, data, monkeypatch):
     docs = spark.createDataFrame([(0, "u0", "c0", "t0")], "id bigint, url string, content string, title string")
     matches = spark.createDataFrame([(5, 1, 0, 0.9), (5, 2, 1, 0.8)], "query_id bigint, rank bigint, id bigint, score double")
     for limit in (10, 0):
-        monkeypatch.setattr(search, "BROADCAST_IDS", limit)
+        monkeypatch.setattr(layout.checked_broadcast, "__defaults__", (limit,))
         got = [(r["rank"], r["url"]) for r in search.with_metadata(matches, docs).orderBy("rank").collect()]
         assert got == [(1, "u0"), (2, None)]
 
@@ -162,7 +163,8 @@ def bm25(queries, docs, k):
 @pytest.mark.parametrize("options", [{}, {"broadcast_terms": 0}])
 def test_keyword_search(spark, options, monkeypatch):
     monkeypatch.setattr(keyword, "TILE_CELLS", 50)
-    monkeypatch.setattr(keyword._term_join, "__defaults__", (20, 4))
+    monkeypatch.setattr(keyword, "DOC_BLOCK", 30)
+    monkeypatch.setattr(keyword, "TERM_BLOCK", 10)
     rnd = random.Random(5)
     vocabulary = ["the"] * 30 + [f"Wört{i}" for i in range(40)]
     docs = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(1, 30))) for _ in range(90)] + ["", "…", None]
