@@ -49,7 +49,7 @@ def newline_cleanup(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits, in order, with repeats."""
-    return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), NOT_WORD), "")
 
 
 def name_normalise(name: Column) -> Column:

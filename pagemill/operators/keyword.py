@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bind, words
-from ..sources.layout import gathered, spread, stored
+from ..sources.layout import gathered, stored
 from .kernels import TILE_CELLS, BestMatches, word_lists
 from .search import MATCH_SCHEMA, _rank
 
@@ -68,8 +68,7 @@ def keyword_search(
     words are sent to all tasks; more are joined to the documents block by block.
     """
     terms = stored(query_terms(queries, query_id, query_text), "query-terms")
-    d = spread(docs.select(F.col(doc_id).cast("bigint").alias("id"),
-                           F.coalesce(doc_text, F.lit("")).alias("text")))
+    d = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(doc_text, F.lit("")).alias("text"))
     n_terms = terms.count()
     few = n_terms <= broadcast_terms
     frequencies = stored(word_frequencies(d, terms, few), "word-frequencies")

@@ -10,6 +10,7 @@ from ..operators.keyword import keyword_search
 from ..operators.search import assign_cells, fit_cells, topk, topk_approx, with_metadata, write_cells
 from ..operators.vector_index import index_build, index_gaps, index_stats, index_upsert, model_guard
 from ..session import new_dir
+from ..sources.layout import spread
 from .common import DIM, SITE_SQL, hashed_sql, site, table
 
 K = 10
@@ -84,15 +85,15 @@ def guard_query(spark, d):
 
 
 def embed_query(spark, d):
-    docs = embed(table(spark, d, "documents").select("doc_id", "text"), "text")
+    docs = embed(spread(table(spark, d, "documents").select("doc_id", "text")), "text")
     return weights(docs, "doc_id").select(
         "doc_id", F.col("bucket").cast("bigint").alias("bucket"),
         F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
 def keyword_query(spark, d, **options):
-    return keyword_search(table(spark, d, "benchmark"), table(spark, d, "documents"), K,
-                          query_id="item_id", **options)
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return keyword_search(table(spark, d, "benchmark"), docs, K, query_id="item_id", **options)
 
 
 QUERIES = {

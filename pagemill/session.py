@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,11 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
 
     A session without ``spark.checkpoint.dir`` (a test) gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="pagemill-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="pagemill-")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -12,8 +12,11 @@ SCAN_TASKS = 20_000
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Shuffle an input with fewer partitions than cores, before work per row that
-    costs more than the move. A large input has more splits and stays as it is."""
+    """Shuffle a table read with fewer splits than cores, before work per row that
+    costs more than the move. A large table has more splits and stays as it is.
+
+    For plain reads only: counting the partitions of a plan with joins would run it.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
         return df

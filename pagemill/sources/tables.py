@@ -28,7 +28,10 @@ def publish(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def needs_build(spark: SparkSession, name: str, min_rows: int = MIN_ROWS) -> bool:
     """True when the table is missing or has fewer than ``min_rows`` rows."""
-    return not spark.catalog.tableExists(name) or spark.table(name).limit(min_rows).count() < min_rows
+    if not spark.catalog.tableExists(name):
+        return True
+    # take() reads only as many partitions as it needs.
+    return len(spark.table(name).select(F.lit(1)).take(min_rows)) < min_rows
 
 
 def guarded_build(spark: SparkSession, name: str, build: Callable[[], DataFrame],

@@ -162,7 +162,13 @@ def test_streams_by_prefix(spark, tmp_path):
 
 
 def test_shared_dir_follows_the_session(spark):
-    from pagemill.session import new_dir, shared_dir
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    from pagemill.session import _own_dir, new_dir, shared_dir
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    assert shared_dir(Unset) == shared_dir(Unset) == _own_dir() and os.path.isdir(_own_dir())
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", _own_dir()).rstrip("/")
     assert new_dir(spark, "x") != new_dir(spark, "x")
     assert not os.path.exists(new_dir(spark, "x"))
