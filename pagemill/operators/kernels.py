@@ -96,6 +96,16 @@ def word_lists(texts: pa.Array) -> pa.Array:
     return pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), WORD_GAP)
 
 
+def word_codes(lists: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """List number and position in ``known`` of each known word, and the list lengths."""
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    code = pc.fill_null(pc.index_in(flat, known), -1).to_numpy(zero_copy_only=False)
+    found = real & (code >= 0)
+    return row[found], code[found].astype(np.int64), np.bincount(row[real], minlength=len(lists))
+
+
 class HashedWords:
     """Lexical feature hashing: no model, no meaning beyond shared words.
 

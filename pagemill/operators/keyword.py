@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bind, words
 from ..sources.layout import gathered, stored
-from .kernels import TILE_CELLS, BestMatches, word_lists
+from .kernels import TILE_CELLS, BestMatches, word_codes, word_lists
 from .search import MATCH_SCHEMA, _rank
 
 K1 = 1.2
@@ -32,21 +32,46 @@ def word_frequencies(docs: DataFrame, terms: DataFrame, few: bool, text: str = "
     """``term, df, length``: documents that hold each query word, in one pass.
 
     The row of the empty word, which no text holds, counts all documents and sums
-    their lengths. Counts are combined within each task before they are shuffled,
-    so a word that every document holds is no large group. ``few`` query words are
-    sent to all tasks, so that the other words of a text are dropped at once.
+    their lengths. Each task counts its own texts first, so a word that every
+    document holds is no large group. ``few`` query words are sent to all tasks, which
+    then count only those.
     """
+    if few:
+        return _few_frequencies(docs.select(text), terms)
     entry = lambda term, length: F.struct(term.alias("term"), length.cast("bigint").alias("length"))
     entries = bind(words(F.col(text)), lambda w: F.concat(
         F.transform(F.array_distinct(w), lambda t: entry(t, F.lit(0))),
         F.array(entry(F.lit(""), F.size(w)))))
     wanted = terms.select("term").distinct().unionByName(
         terms.sparkSession.createDataFrame([("",)], "term string"))
-    each = docs.select(F.explode(entries).alias("e")).select("e.*")
-    if few:
-        each = each.join(F.broadcast(wanted), "term", "left_semi")
-    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length"))
-    return counted if few else counted.join(wanted, "term", "left_semi")
+    counted = (docs.select(F.explode(entries).alias("e")).select("e.*")
+               .groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length")))
+    return counted.join(wanted, "term", "left_semi")
+
+
+def _few_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    vocabulary = terms.select("term").distinct().toArrow().column("term").combine_chunks()
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary.cast(pa.string()))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        df, length, n_docs = np.zeros(len(known), np.int64), 0, 0
+        for batch in batches:
+            lists = word_lists(batch.column(0))
+            doc, code, lengths = word_codes(lists, known)
+            pairs = np.unique(doc * (len(known) + 1) + code)
+            df += np.bincount(pairs % (len(known) + 1), minlength=len(known))
+            length += int(lengths.sum())
+            n_docs += len(lists)
+        held = np.nonzero(df)[0]
+        yield pa.RecordBatch.from_arrays([
+            pa.concat_arrays([known.take(pa.array(held)), pa.array([""])]),
+            pa.array(np.append(df[held], n_docs)),
+            pa.array(np.append(np.zeros(len(held), np.int64), length)),
+        ], names=["term", "df", "length"])
+
+    counts = gathered(texts).mapInArrow(task, "term string, df bigint, length bigint")
+    return counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("length").alias("length"))
 
 
 def term_weights(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:
@@ -81,18 +106,24 @@ def keyword_search(
     return _rank(_block_join(d, weighted, k, mean, n_docs, n_terms), k)
 
 
-class Postings:
+class Postings(NamedTuple):
     """The queries of each word, as arrays."""
 
-    def __init__(self, weighted: pa.Table):
-        self.query_ids, query = np.unique(weighted.column("query_id").to_numpy(), return_inverse=True)
+    query_ids: np.ndarray
+    words: pa.Array
+    starts: np.ndarray
+    queries: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, weighted: pa.Table) -> Postings:
+        query_ids, query = np.unique(weighted.column("query_id").to_numpy(), return_inverse=True)
         coded = weighted.column("term").combine_chunks().dictionary_encode()
         term = coded.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(term, kind="stable")
-        self.words = coded.dictionary
-        self.starts = np.searchsorted(term[order], np.arange(len(self.words) + 1))
-        self.queries = query[order]
-        self.weights = weighted.column("weight").to_numpy()[order]
+        starts = np.searchsorted(term[order], np.arange(len(coded.dictionary) + 1))
+        return cls(query_ids, coded.dictionary, starts, query[order],
+                   weighted.column("weight").to_numpy()[order])
 
     def add_documents(self, best: BestMatches, ids: pa.Array, texts: pa.Array, mean: float) -> None:
         """Score the documents against all queries, a bounded tile at a time."""
@@ -105,18 +136,12 @@ class Postings:
         """BM25 of shape (queries, texts); ``-inf`` where no word is shared."""
         lists = word_lists(texts)
         n, n_queries, n_words = len(lists), len(self.query_ids), max(1, len(self.words))
-        flat = lists.flatten()
-        row = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-        length = np.bincount(row[real], minlength=n)
-        code = pc.fill_null(pc.index_in(flat, self.words), -1).to_numpy(zero_copy_only=False)
-        known = real & (code >= 0)
-        pair, tf = np.unique(row[known].astype(np.int64) * n_words + code[known], return_counts=True)
+        row, code, length = word_codes(lists, self.words)
+        pair, tf = np.unique(row * n_words + code, return_counts=True)
         doc, term = pair // n_words, pair % n_words
         part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / (mean or 1.0)))
 
         total = np.zeros(n_queries * n)
-        hit = np.zeros(n_queries * n, dtype=bool)
         # Each word of a document meets all its queries, a bounded number at a time.
         fan_out = self.starts[term + 1] - self.starts[term]
         ends = np.cumsum(fan_out)
@@ -130,17 +155,17 @@ class Postings:
             cell = self.queries[at] * n + np.repeat(doc[lo:hi], f)
             total += np.bincount(cell, weights=self.weights[at] * np.repeat(part[lo:hi], f),
                                  minlength=n_queries * n)
-            hit[cell] = True
             lo = hi
-        total[~hit] = -np.inf
+        total[total == 0] = -np.inf   # every shared word adds more than nothing
         return total.reshape(n_queries, n)
 
 
 def _scan(docs: DataFrame, weighted: pa.Table, k: int, mean: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Postings(weighted))
+    # A plain tuple: broadcast values are unpickled without this package.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(Postings.of(weighted)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        postings = shared.value
+        postings = Postings(*shared.value)
         best = BestMatches(len(postings.query_ids), k)
         for batch in batches:
             postings.add_documents(best, batch.column(0), batch.column(1), mean)
@@ -160,7 +185,7 @@ def _block_join(docs: DataFrame, weighted: DataFrame, k: int, mean: float,
     q = weighted.withColumn("qb", own("query_id", q_blocks)).withColumn("db", each(d_blocks))
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        postings = Postings(left)
+        postings = Postings.of(left)
         best = BestMatches(len(postings.query_ids), k)
         ids, texts = (right.column(c).combine_chunks() for c in ("id", "text"))
         postings.add_documents(best, ids, texts, mean)
