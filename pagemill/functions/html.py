@@ -6,6 +6,7 @@ entities without a semicolon are taken literally.
 
 from __future__ import annotations
 
+import functools
 import json
 from html.entities import html5
 
@@ -87,34 +88,34 @@ def element(
     return bind(F.split(strip_invisible(html), boundary), cut)
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode each character reference once, so ``&amp;lt;`` stays ``&lt;``."""
-    # As JSON text the table is one plan node, folded to a constant.
+@functools.cache
+def _decode_piece() -> str:
+    """SQL lambda: one character reference to its character, other pieces unchanged."""
+    # The whole table is a constant map; its look-up is linear, so the common
+    # references come first.
     table = {f"&{name}": char for name, char in html5.items() if name.endswith(";")}
-    known = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
-
-    def code_point(number: Column) -> Column:
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        utf32 = F.unhex(F.lpad(F.hex(number), 8, "0"))
-        return F.when(valid, F.decode(utf32, "UTF-32"))
-
-    def decode(piece: Column) -> Column:
-        decimal = F.try_to_number(F.regexp_extract(piece, "^&#([0-9]{1,7});$", 1), F.lit("9999999"))
-        hexa = F.conv(F.regexp_extract(piece, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1), 16, 10)
-        return (
-            F.when(~piece.startswith("&") | (piece == "&"), piece)
-            # The most common ones first; the full table is a linear look-up.
-            .when(piece == "&amp;", "&").when(piece == "&lt;", "<").when(piece == "&gt;", ">")
-            .when(piece == "&quot;", '"').when(piece == "&nbsp;", " ").when(piece == "&#39;", "'")
-            .when(piece.rlike("^&#[0-9]"), F.coalesce(code_point(decimal.cast("bigint")), piece))
-            .when(piece.rlike("^&#[xX]"), F.coalesce(code_point(hexa.cast("bigint")), piece))
-            .otherwise(F.coalesce(F.try_element_at(known, piece), piece))
-        )
+    known = json.dumps(table).replace("'", r"\u0027")
+
+    def code_point(number: str) -> str:
+        valid = f"{number} BETWEEN 1 AND 1114111 AND {number} NOT BETWEEN 55296 AND 57343"
+        return f"CASE WHEN {valid} THEN decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') END"
+
+    decimal = code_point("try_cast(regexp_extract(p, '([0-9]+)', 1) AS BIGINT)")
+    hexa = code_point("try_cast(conv(regexp_extract(p, '[xX]([0-9A-Fa-f]+)', 1), 16, 10) AS BIGINT)")
+    return f"""p -> CASE
+        WHEN NOT startswith(p, '&') OR p = '&' THEN p
+        WHEN p = '&amp;' THEN '&' WHEN p = '&lt;' THEN '<' WHEN p = '&gt;' THEN '>'
+        WHEN p = '&quot;' THEN '"' WHEN p = '&nbsp;' THEN chr(160)
+        WHEN p RLIKE '^&#[0-9]{{1,7}};$' THEN coalesce({decimal}, p)
+        WHEN p RLIKE '^&#[xX][0-9A-Fa-f]{{1,6}};$' THEN coalesce({hexa}, p)
+        ELSE coalesce(try_element_at(from_json(r'{known}', 'map<string,string>'), p), p) END"""
 
+
+def decode_entities(text: Column) -> Column:
+    """Decode each character reference once, so ``&amp;lt;`` stays ``&lt;``."""
     pieces = F.regexp_extract_all(text, F.lit(ENTITY_PIECES), F.lit(0))
-    return F.when(
-        F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")
-    ).otherwise(text)
+    decoded = F.call_function("transform", pieces, F.expr(_decode_piece()))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
 def visible_text(html: Column) -> Column:

@@ -64,9 +64,9 @@ def test_first_of_several_articles(spark):
 def test_entities_decode_once(spark):
     out = apply(spark, html_to_text, "&amp;lt;b&amp;gt; &lt;i&gt; &#233;&#xE9;&eacute;&#x1F600;",
                 "&bogus; &#0; &#xD800; &#99999999; & &;", "a<p>b</p>c<b>d</b><br/>e",
-                "x<!-- <p>no</p> -->y<style>p{}</style>z")
+                "x<!-- <p>no</p> -->y<style>p{}</style>z", "&nbsp;&#160;&apos;&#39;&quot;&copy;&NotEqualTilde;")
     assert out == ["&lt;b&gt; <i> ééé\U0001F600", "&bogus; &#0; &#xD800; &#99999999; & &;",
-                   "a\nb\ncd\ne", "xyz"]
+                   "a\nb\ncd\ne", "xyz", "\u00a0\u00a0''\"©\u2242\u0338"]
 
 
 def test_titles(spark):
