@@ -32,6 +32,7 @@ BLOCK = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>"
 TAG = r"<[^>]*>"
 ENTITY_PIECES = r"&#?[0-9A-Za-z]{1,32};|[^&]+|&"
 
+# Where the article body and its title are found.
 ARTICLE_BODY = ("div", "itemprop", "articleBody")
 H1 = "<h1>(.*?)</h1>"
 MARK = "\u0001"

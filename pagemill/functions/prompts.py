@@ -35,6 +35,7 @@ class TrainingWording:
     question: str = "\n\nAnswer this question: \n\n"
 
 
+# The form of an answer with its source, and the length of an answer.
 LINK = '\nFor more details, <a href="{url}">open the documentation</a>  '
 MAX_ANSWER_TOKENS = 500
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bind, words
-from ..sources.layout import gathered, stored
+from ..sources.layout import gathered, partitioned, stored
 from .kernels import TILE_CELLS, BestMatches, word_codes, word_lists
 from .search import MATCH_SCHEMA, _rank
 
@@ -191,4 +191,6 @@ def _block_join(docs: DataFrame, weighted: DataFrame, k: int, mean: float,
         postings.add_documents(best, ids, texts, mean)
         return pa.Table.from_batches([best.rows(postings.query_ids)])
 
-    return q.groupBy("db", "qb").cogroup(d.groupBy("db", "qb")).applyInArrow(block, MATCH_SCHEMA)
+    keys = ("db", "qb")
+    q, d = (partitioned(side, keys, d_blocks * q_blocks) for side in (q, d))
+    return q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInArrow(block, MATCH_SCHEMA)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.layout import checked_broadcast, gathered, stored
+from ..sources.layout import checked_broadcast, gathered, partitioned, stored
 from .kernels import BestMatches, add_cosines, unit_rows
 
 MATCH_SCHEMA = "query_id bigint not null, id bigint not null, score double not null"
@@ -50,9 +50,10 @@ def topk(
     few = _few(q, max_dim, broadcast_bytes)
     if few is not None:
         return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
-    sizes = {"x_blocks": F.lit(-(-x.count() // INDEX_BLOCK)), "q_blocks": F.lit(-(-q.count() // QUERY_BLOCK))}
-    one_cell = lambda df: df.withColumns({"cell": F.lit(0), **sizes})
-    return _rank(_block_join(one_cell(q), one_cell(x), k, threshold, skip_same_id), k)
+    x_blocks, q_blocks = -(-x.count() // INDEX_BLOCK), -(-q.count() // QUERY_BLOCK)
+    one_cell = lambda df: df.withColumns(
+        {"cell": F.lit(0), "x_blocks": F.lit(x_blocks), "q_blocks": F.lit(q_blocks)})
+    return _rank(_block_join(one_cell(q), one_cell(x), x_blocks * q_blocks, k, threshold, skip_same_id), k)
 
 
 def _few(queries: DataFrame, max_dim: int, broadcast_bytes: int) -> pa.Table | None:
@@ -101,19 +102,21 @@ def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
     return gathered(index).mapInArrow(task, MATCH_SCHEMA)
 
 
-def _sized(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Add to both sides how many blocks their cell has on each side.
+def _sized(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Add to both sides how many blocks their cell has on each side; the number of
+    pairs of blocks.
 
     The sizes are one row per cell, and the number of cells is a setting.
     """
     blocks = lambda df, rows, name: df.groupBy("cell").agg(F.ceil(F.count("*") / rows).alias(name))
-    sizes = F.broadcast(blocks(index, INDEX_BLOCK, "x_blocks").join(
-        blocks(queries, QUERY_BLOCK, "q_blocks"), "cell"))
-    return queries.join(sizes, "cell"), index.join(sizes, "cell")
+    sizes = stored(blocks(index, INDEX_BLOCK, "x_blocks").join(
+        blocks(queries, QUERY_BLOCK, "q_blocks"), "cell"), "cell-sizes")
+    groups = sizes.agg(F.sum(F.col("x_blocks") * F.col("q_blocks"))).first()[0] or 0
+    return queries.join(F.broadcast(sizes), "cell"), index.join(F.broadcast(sizes), "cell"), groups
 
 
-def _block_join(queries: DataFrame, index: DataFrame, k: int, threshold: float | None,
-                skip_same_id: bool) -> DataFrame:
+def _block_join(queries: DataFrame, index: DataFrame, groups: int, k: int,
+                threshold: float | None, skip_same_id: bool) -> DataFrame:
     """Queries against the index rows of the same cell, in blocks of bounded size.
 
     A cell of any size is cut into blocks by a hash of the id, on both sides. Every
@@ -140,6 +143,7 @@ def _block_join(queries: DataFrame, index: DataFrame, k: int, threshold: float |
         return pa.Table.from_batches(out, schema=BestMatches(0, k).rows(np.empty(0, np.int64)).schema)
 
     keys = ("cell", "xb", "qb")
+    q, x = partitioned(q, keys, groups), partitioned(x, keys, groups)
     return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(block, MATCH_SCHEMA)
 
 

@@ -9,6 +9,7 @@ from ..session import new_dir
 
 BROADCAST_ROWS = 1_000_000
 SCAN_TASKS = 20_000
+MAX_PARTITIONS = 100_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -29,6 +30,13 @@ def gathered(df: DataFrame) -> DataFrame:
     return df.coalesce(max(SCAN_TASKS, 4 * df.sparkSession.sparkContext.defaultParallelism))
 
 
+def partitioned(df: DataFrame, keys: tuple[str, ...], groups: int) -> DataFrame:
+    """``df`` shuffled by ``keys`` with about one partition per group, where the
+    session would use fewer: every group is a large unit of work."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(groups, MAX_PARTITIONS), *keys) if groups > usual else df
+
+
 def checked_broadcast(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Narrow key rows, marked for broadcast only when counted to be few."""
     return F.broadcast(keys) if keys.count() <= max_rows else keys

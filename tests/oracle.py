@@ -30,7 +30,7 @@ def _rows(table):
 
 def compare(spark, con, query, sql, sf_dir: str) -> str:
     """Empty when names, types and values agree, else what differs."""
-    ours, theirs = query(spark, sf_dir).toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = query(spark, sf_dir).toArrow(), con.sql(sql).to_arrow_table()
     kind = lambda t: str(t).replace("large_", "").split("[")[0]
     types = lambda t: {f.name: kind(f.type) for f in t.schema}
     if types(ours) != types(theirs):
