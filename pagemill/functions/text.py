@@ -23,6 +23,12 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def whole_part(number: Column, width: int, kind: str = "bigint") -> Column:
+    """Number of the range of ``width`` values that holds an integer, exactly."""
+    n, w = number.cast(kind), F.lit(width).cast(kind)
+    return F.call_function("div", n - F.pmod(n, w), w)
+
+
 def token_count(text: Column) -> Column:
     """Number of whitespace-separated tokens; null for a null text."""
     return F.regexp_count(text, F.lit(TOKEN)).cast("bigint")

@@ -9,6 +9,7 @@ from ..functions.prompts import (
     LINK, ChatWording, answer_html, chat_prompt, prompt_hash, shown_answer, shown_prompt,
 )
 from ..functions.responses import parse_completion
+from ..functions.text import whole_part
 from .embedding import DIM, embed
 from .joins import preceding_rows
 from .search import topk, with_metadata
@@ -98,7 +99,7 @@ def answer_records(answers: DataFrame, batch_size: int = 100) -> DataFrame:
     Ids are unique, so an array holds at most ``batch_size`` records.
     """
     record = F.struct("question_id", "answer", "prompt")
-    batch = F.floor(F.col("question_id") / batch_size).cast("bigint").alias("batch_id")
+    batch = whole_part(F.col("question_id"), batch_size).alias("batch_id")
     grouped = answers.groupBy(batch).agg(F.array_sort(F.collect_list(record)).alias("_r"))
     return grouped.select("batch_id", F.transform(
         "_r", lambda r: F.struct(r["answer"].alias("answer"), r["prompt"].alias("prompt"))).alias("records"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import whole_part
+
 HOT_ROWS = 1_000_000
 SALTS = 64
 
@@ -44,7 +46,7 @@ def preceding_rows(
     the ``n`` ranges before it hold at least ``n`` rows.
     """
     entry = F.struct(order, *payload)
-    parts = df.withColumn("_range", F.floor(F.col(order) / width))
+    parts = df.withColumn("_range", whole_part(F.col(order), width))
     own = Window.partitionBy(key, "_range").orderBy(order)
     rows = parts.withColumn("_own", F.collect_list(entry).over(own.rowsBetween(-n, -1)))
 

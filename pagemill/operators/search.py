@@ -172,7 +172,7 @@ def fit_cells(index: DataFrame, n_cells: int, vector: str = "embedding", seed: i
     from pyspark.ml.feature import Normalizer
     from pyspark.ml.functions import array_to_vector
 
-    rows = index.filter(F.size(vector) > 0).select(
+    rows = index.filter(F.array_size(vector) > 0).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("raw"))
     n_rows = rows.count()
     if n_rows > train_rows:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
 from ..functions.responses import parse_questions
+from ..functions.text import whole_part
 from ..sources.layout import checked_broadcast
 from .joins import skew_join
 
@@ -53,26 +54,27 @@ def batch_page(df: DataFrame, key: str, start: int, n: int = 10) -> DataFrame:
     """Rows ``[start, start + n)`` in the order of the unique bigint ``key``.
 
     A shallow page is a top-k. A deep one would carry ``start`` rows through one task,
-    so the key range around it is narrowed first: each step counts the rows of
-    ``BINS`` parts of the range and keeps the parts the page lies in.
+    so the key range that holds its first row is narrowed first: each step counts the
+    rows of ``BINS`` parts of the range and keeps one of them.
     """
     k, skipped = F.col(key), 0
-    if start + n > SHALLOW_ROWS:
+    if start > SHALLOW_ROWS:
         lo, hi = df.agg(F.min(key), F.max(key)).first()
-        while lo is not None and start - skipped + n > SHALLOW_ROWS and lo < hi:
+        while lo is not None and start - skipped > SHALLOW_ROWS and lo < hi:
             width = -(-(hi - lo + 1) // BINS)
-            part = F.floor((k.cast("decimal(20,0)") - F.lit(lo)) / width).alias("part")
+            # Decimals, since the distance of two bigints may not be one.
+            part = whole_part(k.cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)"), width,
+                              "decimal(21,0)").alias("part")
             counts = df.filter(k.between(lo, hi)).groupBy(part).agg(F.count("*").alias("rows"))
-            ends, total = [], skipped
             for row in sorted(counts.collect()):
-                total += row["rows"]
-                ends.append((int(row["part"]), total - row["rows"], total))
-            inside = [e for e in ends if e[1] < start + n and e[2] > start]
-            if not inside:
+                if skipped + row["rows"] > start:
+                    break
+                skipped += row["rows"]
+            else:
                 return df.limit(0)
-            lo, hi = lo + inside[0][0] * width, min(hi, lo + (inside[-1][0] + 1) * width - 1)
-            skipped = inside[0][1]
-        df = df.filter(k.between(lo, hi))
+            lo += int(row["part"]) * width
+            hi = min(hi, lo + width - 1)
+        df = df.filter(k >= lo)
     return df.orderBy(key).offset(start - skipped).limit(n)
 
 

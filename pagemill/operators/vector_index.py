@@ -38,8 +38,8 @@ def index_stats(index: DataFrame, vector: str = "embedding") -> DataFrame:
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     return index.agg(
         F.count("*").alias("n_rows"),
-        F.min(F.size(v)).cast("bigint").alias("min_dim"),
-        F.max(F.size(v)).cast("bigint").alias("max_dim"),
+        F.min(F.array_size(v)).cast("bigint").alias("min_dim"),
+        F.max(F.array_size(v)).cast("bigint").alias("max_dim"),
         count(v.isNull()).alias("n_null"),
         count(zero).alias("n_zero"),
     )
@@ -59,7 +59,7 @@ def index_gaps(chunks: DataFrame, vectors: DataFrame, chunk_id: str = "id",
 
 def model_guard(index: DataFrame, model: str, dim: int, vector: str = "embedding") -> DataFrame:
     """Rows per model and dimension, and whether queries of ``model`` can use them."""
-    kinds = index.groupBy("model", F.size(vector).cast("bigint").alias("dim")).agg(
+    kinds = index.groupBy("model", F.array_size(vector).cast("bigint").alias("dim")).agg(
         F.count("*").alias("n_rows"))
     return kinds.withColumn("usable", F.coalesce(
         (F.col("model") == model) & (F.col("dim") == dim), F.lit(False)))

@@ -109,7 +109,7 @@ def append_query(spark, d):
 
 def parse_query(spark, d):
     parsed = questions_parse(generated(spark, d))
-    return parsed.select("doc_id", "reject", F.size("questions").cast("bigint").alias("n_questions"),
+    return parsed.select("doc_id", "reject", F.array_size("questions").cast("bigint").alias("n_questions"),
                          F.array_join("questions", "|").alias("questions"))
 
 
@@ -119,7 +119,7 @@ def functions_query(spark, d):
         .createOrReplaceTempView("pagemill_generated")
     return spark.sql("""
         SELECT doc_id, question_request(text) AS request, length(answer_request(text, 'Why?')) AS n_chars,
-          cast(size(parse_questions(response)) AS bigint) AS n_questions
+          cast(array_size(parse_questions(response)) AS bigint) AS n_questions
         FROM pagemill_generated""")
 
 

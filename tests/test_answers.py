@@ -98,6 +98,16 @@ def test_history_in_ranges(spark, width):
         assert got[(c, t)] == [x for _, x in before[-3:]]
 
 
+def test_one_prompt_asked_very_often(spark):
+    from pagemill.operators.answers import completion_join
+    prompts = spark.range(300).select(F.col("id").alias("question_id"),
+                                      F.when(F.col("id") < 100, "hi").otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("prompt"))
+    done = spark.createDataFrame([("hi", "r"), ("p200", "s")], "p string, response string").select(
+        prompt_hash(F.col("p")).alias("prompt_hash"), "response")
+    got = completion_join(prompts, done).groupBy("response").count().collect()
+    assert {r["response"]: r["count"] for r in got} == {"r": 100, "s": 1, None: 199}
+
+
 def test_history_prompt(spark):
     turns = [(1, 0, "system", "rules"), (1, 1, "user", "hi"), (1, 2, "assistant", "yes"), (1, 3, "user", "why")]
     df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
@@ -124,6 +134,17 @@ def test_training_set_with_one_large_document(spark, monkeypatch):
     assert qa_dataset(questions, answers, docs).count() == len([i for i in range(0, 90, 2) if i < 40 or i % 6 < 5])
 
 
+@pytest.mark.parametrize("start,n", [(0, 1), (40, 25), (80, 10), (199, 5)])
+def test_deep_pages_over_the_whole_key_range(spark, monkeypatch, start, n):
+    top = 2**63 - 1
+    width = -(-2**64 // 8)
+    keys = sorted({-top - 1, top, *(-top - 1 + width * i + d for i in range(1, 8) for d in range(-14, 14))})[:200]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    monkeypatch.setattr(training, "SHALLOW_ROWS", 20)
+    monkeypatch.setattr(training, "BINS", 8)
+    assert [r["k"] for r in batch_page(df, "k", start, n).collect()] == keys[start:start + n]
+
+
 @pytest.mark.parametrize("start,n", [(0, 10), (95, 10), (777, 25), (1990, 10), (1999, 10), (5000, 10)])
 def test_deep_pages(spark, monkeypatch, start, n):
     keys = sorted(random.Random(1).sample(range(-10**15, 10**15), 1990) + list(range(10)))

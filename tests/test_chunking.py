@@ -95,6 +95,22 @@ def test_paragraphs_join_to_the_text(spark):
     assert len(rows) > 3 and " ".join(r["content"] for r in rows).split() == text.split()
 
 
+def test_chunks_join_to_the_page(spark):
+    from pagemill.functions.html import html_to_text
+    from pagemill.sources.pages import valid_pages
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = build_chunks(pages, "p", 200, 0).orderBy("id").collect()
+    text = {r[0]: r[1].split() for r in valid_pages(pages).select("page_id", html_to_text(F.col("article"))).collect()}
+    for page, words in text.items():
+        own = [r for r in rows if r["page_id"] == page]
+        assert sum(r["n_tokens"] for r in own) == len(words)
+        kept = [w for r in own for w in r["content"].split()]
+        if any(r["truncated"] for r in own):
+            assert len(kept) == sum(min(r["n_tokens"], 200) for r in own)
+        else:
+            assert kept == words
+
+
 def test_ids_do_not_depend_on_partitions(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     build = lambda df: {tuple(r) for r in build_chunks(df, "p", 200, 10).collect()}
