@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import secret_queries
+from . import mixing_queries, quality_queries, secret_queries
 
-_MODULES = (secret_queries,)
+_MODULES = (mixing_queries, secret_queries, quality_queries)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
