@@ -17,6 +17,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary file lies on this machine; every machine has them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def word_list(text: Column) -> Column:
     """The words of a text in order; none for a null text."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
