@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from . import fingerprint_queries, mixing_queries, quality_queries, secret_queries, token_count_queries
+from . import (
+    fingerprint_queries,
+    mixing_queries,
+    packing_queries,
+    quality_queries,
+    secret_queries,
+    token_count_queries,
+    token_file_queries,
+)
 
-_MODULES = (mixing_queries, secret_queries, fingerprint_queries, token_count_queries, quality_queries)
+_MODULES = (
+    mixing_queries, secret_queries, packing_queries, fingerprint_queries, token_file_queries,
+    token_count_queries, quality_queries,
+)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
