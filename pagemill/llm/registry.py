@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     fingerprint_queries,
+    language_queries,
     mixing_queries,
     near_duplicate_queries,
     packing_queries,
@@ -14,7 +15,7 @@ from . import (
 )
 
 _MODULES = (
-    mixing_queries, secret_queries, packing_queries, near_duplicate_queries, fingerprint_queries, token_file_queries,
+    mixing_queries, language_queries, secret_queries, packing_queries, near_duplicate_queries, fingerprint_queries, token_file_queries,
     token_count_queries, quality_queries,
 )
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
