@@ -12,10 +12,11 @@ from . import (
     secret_queries,
     token_count_queries,
     token_file_queries,
+    toxicity_queries,
 )
 
 _MODULES = (
-    mixing_queries, language_queries, secret_queries, packing_queries, near_duplicate_queries, fingerprint_queries, token_file_queries,
+    mixing_queries, language_queries, secret_queries, packing_queries, toxicity_queries, near_duplicate_queries, fingerprint_queries, token_file_queries,
     token_count_queries, quality_queries,
 )
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
