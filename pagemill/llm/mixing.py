@@ -135,3 +135,21 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     words = lambda turn: (F.when(mine(turn) < bound, F.col("size"))
                           .when(mine(turn) == bound, F.col("size") - (end.end - budget)).otherwise(0))
     return queue.withColumn("taken", sum((words(F.lit(t)) for t in range(1, repeats)), words(F.lit(0))).cast("bigint"))
+
+
+def mixture(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", repeats: int = REPEATS) -> DataFrame:
+    """The rows of ``docs`` with all their columns, each as often as the mix takes it.
+
+    The document at which the budget ends stays whole. A document without words takes
+    nothing from the budget and stays once. Equal rows are paired off by number.
+    """
+    key = ["none", "known", "place", "again"]
+    def keyed(rows: DataFrame) -> DataFrame:
+        again = Window.partitionBy("none", "known", "place").orderBy(F.lit(0))
+        none, known = F.isnull("id").alias("none"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("known")
+        return rows.select("*", none, known).withColumn("again", F.row_number().over(again))
+    taken = mixed(docs, id, text, source, repeats)
+    times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id).alias("id"), shuffle_place(F.col(id), F.col(text)).alias("place"))
+    counts = keyed(taken.select("id", "place", times.alias("times"))).filter("times > 0").select(*key, "times")
+    return keyed(rows).join(counts, key).select(F.explode(F.array_repeat("doc", F.col("times"))).alias("doc")).select("doc.*")
