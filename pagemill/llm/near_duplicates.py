@@ -9,7 +9,8 @@ components are candidates; a link is a Jaccard similarity of their shingle sets
 ``SIMILAR`` or more; a class is what links connect.
 
 Exact copies are one node. A band does not pair all its texts: each is compared with the
-band's first text, then what is still apart is compared across classes only.
+band's first text and its most typical one, then what is still apart is compared across
+classes only, in blocks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.layout import stored
@@ -27,6 +28,7 @@ from .hashing import constants, counted, groups, mix, shingles
 
 WIDTH = 5
 SIMILAR = 0.8
+BLOCK = 256  # texts of a band that are compared together
 BANDS = 24
 ROWS = 5   # a pair of similarity 0.8 shares none of the bands once in fifteen thousand times
 
@@ -188,26 +190,102 @@ def _classes(docs: DataFrame, id: str, text: str, similar: float = SIMILAR, widt
     apart = lambda pairs: _rooted(_rooted(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").select("a", "b")
     more = apart(stars.join(best, ["a", "b"], "left_anti"))
     roots = _grown(roots, stored(_similar(more, sets, similar), "links"))
-    roots = _grown(roots, stored(_similar(_across(members, roots, stars), sets, similar), "links"))
+    left = stored(_open_bands(members, roots, sets, similar), "open")
+    roots = _grown(roots, stored(_similar(_central(_moved(left, roots)), sets, similar), "links"))
+    roots = _grown(roots, stored(_linked_across(_moved(left, roots), sets, similar), "links"))
 
     rooted = _rooted(nodes.select("node", "copy"), roots, "node", "root").select("copy", "root")
     return stored(signed.select("id", "copy").join(rooted, "copy"), "classes")
 
 
-def _across(members: DataFrame, roots: DataFrame | None, stars: DataFrame) -> DataFrame:
-    """Pairs of one band in different classes that were not compared yet.
+def _open_bands(members: DataFrame, roots: DataFrame | None, sets: DataFrame, similar: float) -> DataFrame:
+    """``band, hash, node, root, n, m`` of the texts that may still be linked across classes.
 
-    In a band whose texts are one class by now, nothing is left to compare. Elsewhere the
-    texts outside the class of the band's first text meet all others of the band.
+    In a band whose texts are one class by now, nothing is left to compare. Of two texts
+    of ``n`` and ``n'`` shingles, the first having ``m`` that any other candidate has at
+    all, at most ``m`` are common, so their similarity is at most m / (n + n' - m). A
+    text with too many shingles of its own is thereby left out, and no link is lost.
     """
-    rooted = _rooted(_rooted(members, roots, "node", "root"), roots, "b", "first")
-    mixed = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    left = stored(rooted.join(mixed.select("band", "hash"), ["band", "hash"]).select("band", "hash", "node", "root", "first"), "apart")
-    out = left.filter("root <> first").select("band", "hash", F.col("node").alias("a"), F.col("root").alias("ra"))
-    other = left.select("band", "hash", F.col("node").alias("b"), F.col("root").alias("rb"), "first")
-    pairs = out.join(other, ["band", "hash"]).filter("ra <> rb and (rb = first or a > b)")
-    ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return ordered.join(stars, ["a", "b"], "left_anti")
+    rooted = _rooted(members.select("band", "hash", "node"), roots, "node", "root")
+    open_ = stored(_mixed(rooted), "apart")
+    shared = sets.select(F.explode("shingles").alias("s")).groupBy("s").count().filter("count > 1").select("s")
+    own = sets.join(open_.select("node").distinct(), "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    sized = own.join(shared, "s").groupBy("node", "n").agg(F.count("*").alias("m"))
+    known = open_.join(sized, "node")
+    least = known.groupBy("band", "hash").agg(F.min("n").alias("least"))
+    near = F.greatest(F.col("least"), similar * F.col("n"))
+    return known.join(least, ["band", "hash"]).filter(_able("m", "n", near, similar)).drop("least")
+
+
+def _able(m: str, n: str, other: Column, similar: float) -> Column:
+    return F.col(m) >= similar * (F.col(n) + other - F.col(m)) - 1e-6
+
+
+def _central(left: DataFrame) -> DataFrame:
+    """Pairs of each text with the text of its band that has most in common with others."""
+    center = left.groupBy("band", "hash").agg(F.max_by("node", F.struct("m", -F.col("node"))).alias("b"), F.max_by(
+        "root", F.struct("m", -F.col("node"))).alias("rb"))
+    return left.join(center, ["band", "hash"]).filter("root <> rb").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _linked_across(left: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Links ``a, b`` of texts of one band in different classes.
+
+    The texts outside the band's largest class meet all its texts, in blocks of bounded
+    size: a task holds two blocks of sets, no row is made for a pair, and a text gives at
+    most one link for each class in a block.
+    """
+    sizes = left.groupBy("band", "hash", "root").count()
+    blocks = lambda rows: F.ceil(rows / BLOCK).cast("int")
+    bands = sizes.groupBy("band", "hash").agg(F.max_by("root", F.struct("count", -F.col("root"))).alias("largest"), blocks(
+        F.sum("count")).alias("all"), blocks(F.sum("count") - F.max("count")).alias("outer"))
+    rows = left.join(bands, ["band", "hash"]).join(sets, "node")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["band", "hash", "node", "root", "shingles"]
+    outer = rows.filter("root <> largest").select(*columns, "all", F.lit(True).alias("out"), own("outer").alias("i")).select(
+        *columns, "out", "i", each("all").alias("j"))
+    inner = rows.select(*columns, "outer", F.lit(False).alias("out"), own("all").alias("j")).select(
+        *columns, "out", each("outer").alias("i"), "j")
+    return (outer.unionByName(inner).groupBy("band", "hash", "i", "j")
+            .applyInArrow(_block_links(similar), "a bigint, b bigint").distinct())
+
+
+def _block_links(similar: float):
+    def run(table: pa.Table) -> pa.Table:
+        out, node, root = (np.asarray(table.column(c)) for c in ("out", "node", "root"))
+        lists = table.column("shingles").combine_chunks()
+        size = np.asarray(lists.value_lengths()).astype(np.int64)
+        known, code = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        starts = np.cumsum(size) - size
+        inner = np.flatnonzero(~out)
+        held = np.zeros(len(known), bool)
+        a, b = [], []
+        if len(inner):
+            taken = np.concatenate([code[starts[k]:starts[k] + size[k]] for k in inner])
+            at = np.cumsum(size[inner]) - size[inner]
+        for k in np.flatnonzero(out) if len(inner) else ():
+            mine = code[starts[k]:starts[k] + size[k]]
+            held[mine] = True
+            both = np.add.reduceat(held[taken], at, dtype=np.int64)
+            held[mine] = False
+            like = np.flatnonzero((both >= similar * (size[inner] + size[k] - both)) & (root[inner] != root[k]))
+            _, first = np.unique(root[inner[like]], return_index=True)
+            b += node[inner[like[first]]].tolist()
+            a += [int(node[k])] * len(first)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
+def _moved(left: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The open bands after their texts have found more links."""
+    return stored(_mixed(_rooted(left.drop("root"), roots, "node", "root")), "moved")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of bands that hold more than one class."""
+    several = rows.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return rows.join(several.select("band", "hash"), ["band", "hash"])
 
 
 def kept_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
