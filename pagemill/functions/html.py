@@ -1,13 +1,17 @@
 """HTML to text by column expressions.
 
 Regular expressions are no full parser: ``>`` inside an attribute value and
-entities without a semicolon are taken literally.
+entities without a semicolon are taken literally. A ``<`` that opens no tag, and a tag or
+comment that is never closed, is text. Every pattern is given only text in which it must
+succeed where it begins, so the work grows with the length of the page.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+from collections import defaultdict
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -23,13 +27,18 @@ BLOCK_TAGS = (
     "td", "th", "title", "tr", "ul",
 )
 
-INVISIBLE = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
+# Stand-ins, noncharacters: the end of what is searched, an opener without a closer.
+END, OPENER = "\ufdd0", "\ufdd1"
+HIDDEN = (
+    rf"<script(?=[\s/>])[^>]*>.*?(?:</script\s*>|{END})"
+    rf"|<style(?=[\s/>])[^>]*>.*?(?:</style\s*>|{END})"
     r"|<!--.*?-->"
 )
-BLOCK = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>"
-TAG = r"<[^>]*>"
+# Tags are read along, so that nothing begins inside one.
+INVISIBLE = rf"(?is){HIDDEN}|(<(?:/?[a-z]|[!?/])[^>]*>)"
+# Any tag or hidden part; the group is filled when a tag ends a line.
+MARKUP = rf"(?is){HIDDEN}|<(?:/?({'|'.join(BLOCK_TAGS)})(?=[\s/>])|/?[a-z]|[!?/])[^>]*>"
+FOUND, NAMED = "\ufdd2", "\ufdd3"
 ENTITY_PIECES = r"&#?[0-9A-Za-z]{1,32};|[^&]+|&"
 
 # Where the article body and its title are found.
@@ -38,9 +47,31 @@ H1 = "<h1>(.*?)</h1>"
 MARK = "\u0001"
 
 
+def _upto_last(text: Column, mark: str, body: Callable[[Column, Column], Column]) -> Column:
+    """``body(head, tail)``, cut behind the last ``mark``; without one all is tail."""
+    def cut(tail: Column) -> Column:
+        return body(F.substring(text, F.lit(1), F.length(text) - F.length(tail)), tail)
+    return bind(F.substring_index(text, mark, -1), cut)
+
+
+def _replaced(html: Column, pattern: str, replacement: str) -> Column:
+    """``html`` with the pattern replaced where it can close.
+
+    What follows the last ``>`` holds no tag, and a comment opened behind the last ``-->``
+    is none. An unclosed script or style reaches to the end of the page.
+    """
+    def searched(head: Column, tail: Column) -> Column:
+        closed = _upto_last(head, "-->", lambda h, t: F.concat(h, F.replace(t, F.lit("<!--"), F.lit(OPENER)), F.lit(END)))
+        seen = F.replace(F.regexp_replace(closed, pattern, replacement), F.lit(OPENER), F.lit("<!--"))
+        return bind(seen, lambda s: F.when(F.endswith(s, F.lit(END)), F.concat(F.rtrim(s, F.lit(END)), tail)).otherwise(s))
+
+    return bind(html, lambda h: _upto_last(h, ">", searched))
+
+
 def strip_invisible(html: Column) -> Column:
     """Remove scripts, styles and comments, whose content is not page text."""
-    return F.regexp_replace(html, INVISIBLE, "")
+    wanted = F.rlike(html, F.lit("(?i)<script|<style|<!--"))
+    return F.when(wanted, _replaced(html, INVISIBLE, "$1")).otherwise(html)
 
 
 def element(
@@ -91,25 +122,36 @@ def element(
 
 @functools.cache
 def _decode_piece() -> str:
-    """SQL lambda: one character reference to its character, other pieces unchanged."""
-    # The whole table is a constant map; its look-up is linear, so the common
-    # references come first.
-    table = {f"&{name}": char for name, char in html5.items() if name.endswith(";")}
-    known = json.dumps(table).replace("'", r"\u0027")
+    """SQL lambda: one character reference to its character, other pieces unchanged.
 
-    def code_point(number: str) -> str:
+    Named references lie in one constant map for each first letter, because the look-up
+    in a map is linear. Numbers follow the HTML rule: those of the C1 range mean the
+    Windows characters, and what is no character becomes U+FFFD.
+    """
+    tables: dict[str, dict[str, str]] = defaultdict(dict)
+    for name, char in html5.items():
+        if name.endswith(";"):
+            tables[name[0]][f"&{name}"] = char
+    literal = lambda table: json.dumps(table).replace("'", r"\u0027")
+    named = " ".join(f"WHEN '{first}' THEN try_element_at(from_json(r'{literal(t)}', 'map<string,string>'), p)"
+                     for first, t in sorted(tables.items()))
+    windows = {n: bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)}
+    special = " ".join(f"WHEN {n} THEN '{c}'" for n, c in windows.items() if c != "\ufffd")
+
+    def character(number: str) -> str:
         valid = f"{number} BETWEEN 1 AND 1114111 AND {number} NOT BETWEEN 55296 AND 57343"
-        return f"CASE WHEN {valid} THEN decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') END"
+        return (f"CASE {number} {special} ELSE CASE WHEN {valid} THEN "
+                f"decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') ELSE '\ufffd' END END")
 
-    decimal = code_point("try_cast(regexp_extract(p, '([0-9]+)', 1) AS BIGINT)")
-    hexa = code_point("try_cast(conv(regexp_extract(p, '[xX]([0-9A-Fa-f]+)', 1), 16, 10) AS BIGINT)")
+    decimal = character("try_cast(regexp_extract(p, '([0-9]+)', 1) AS BIGINT)")
+    hexa = character("try_cast(conv(regexp_extract(p, '[xX]([0-9A-Fa-f]+)', 1), 16, 10) AS BIGINT)")
     return f"""p -> CASE
         WHEN NOT startswith(p, '&') OR p = '&' THEN p
         WHEN p = '&amp;' THEN '&' WHEN p = '&lt;' THEN '<' WHEN p = '&gt;' THEN '>'
         WHEN p = '&quot;' THEN '"' WHEN p = '&nbsp;' THEN chr(160)
-        WHEN p RLIKE '^&#[0-9]{{1,7}};$' THEN coalesce({decimal}, p)
-        WHEN p RLIKE '^&#[xX][0-9A-Fa-f]{{1,6}};$' THEN coalesce({hexa}, p)
-        ELSE coalesce(try_element_at(from_json(r'{known}', 'map<string,string>'), p), p) END"""
+        WHEN p RLIKE '^&#[0-9]{{1,15}};$' THEN {decimal}
+        WHEN p RLIKE '^&#[xX][0-9A-Fa-f]{{1,12}};$' THEN {hexa}
+        ELSE coalesce(CASE substr(p, 2, 1) {named} END, p) END"""
 
 
 def decode_entities(text: Column) -> Column:
@@ -119,15 +161,12 @@ def decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
-def visible_text(html: Column) -> Column:
-    """``html_to_text`` for markup without scripts, styles and comments."""
-    lines = F.regexp_replace(html, BLOCK, "\n")
-    return decode_entities(F.regexp_replace(lines, TAG, ""))
-
-
 def html_to_text(html: Column) -> Column:
-    """Plain text: block tags end a line, other tags vanish, entities are decoded."""
-    return visible_text(strip_invisible(html))
+    """Plain text: block tags end a line; other tags, scripts, styles and comments vanish;
+    entities are decoded."""
+    named = _replaced(html, MARKUP, f"{FOUND}$1{NAMED}")
+    lines = F.regexp_replace(named, f"{FOUND}[^{NAMED}]+{NAMED}", "\n")
+    return decode_entities(F.replace(lines, F.lit(FOUND + NAMED), F.lit("")))
 
 
 def page_title(html: Column, pattern: str = H1) -> Column:

@@ -1,73 +1,94 @@
-"""Plug points for Python models: batched, with one set-up per task."""
+"""Plug points for Python models: Arrow batches in and out, one set-up per task."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def series_udf(fn: Callable[[str], object], returns: str):
-    """Column function from a function of one value; batches come as pandas Series."""
+def series_udf(fn: Callable[[pa.Array], pa.Array], returns: str):
+    """Column function from a function of a batch of values."""
 
-    @F.pandas_udf(returns)
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(fn, na_action="ignore")
+    @F.arrow_udf(returns)
+    def run(values: pa.Array) -> pa.Array:
+        return fn(values)
 
     return run
 
 
-def iterator_udf(setup: Callable[[], Callable[[str], object]], returns: str):
+def iterator_udf(setup: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
     """The same with ``setup()`` run once per task, for models that load slowly."""
 
-    @F.pandas_udf(returns)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(returns)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = setup()
         for values in batches:
-            yield values.map(fn, na_action="ignore")
+            yield fn(values)
 
     return run
 
 
+def _relisted(lists: pa.Array, flat: pa.Array) -> pa.Array:
+    """``flat`` cut like ``lists``, null where that is null."""
+    lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    cut = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), flat)
+    return pc.if_else(lists.is_valid(), cut, pa.scalar(None, cut.type))
+
+
 class ModelTokens:
     """Tokenizer for the chunk operators from ``encode`` and ``decode`` functions.
 
-    ``setup`` runs once per task and returns the pair. Tokens are counted section by
-    section and added up, so a merge across a section border is not seen.
+    ``setup`` runs once per task and returns the pair: ``encode`` takes a list of texts
+    and gives a list of token lists, ``decode`` does the reverse. Tokens are counted
+    section by section and added up, so a merge across a section border is not seen.
     """
 
     def __init__(self, setup: Callable[[], tuple[Callable, Callable]]):
         self.setup = setup
 
-    def count_each(self, texts):
-        setup = self.setup
-
-        def counter():
-            encode, _ = setup()
-            return lambda parts: [len(encode(p)) for p in parts]
+    def count_each(self, texts: Column) -> Column:
+        return self._counted(texts, True)
 
-        return iterator_udf(counter, "array<bigint>")(texts)
+    def count(self, text: Column) -> Column:
+        return self._counted(text, False)
 
-    def count(self, text):
+    def _counted(self, texts: Column, nested: bool) -> Column:
         setup = self.setup
 
         def counter():
             encode, _ = setup()
-            return lambda t: len(encode(t))
 
-        return iterator_udf(counter, "bigint")(text)
+            def count(values: pa.Array) -> pa.Array:
+                flat = values.flatten() if nested else values
+                known = flat.is_valid()
+                sizes = iter([len(t) for t in encode(flat.filter(known).to_pylist())])
+                counts = pa.array([next(sizes) if k else None for k in known.to_pylist()], pa.int64())
+                return _relisted(values, counts) if nested else counts
+
+            return count
+
+        return iterator_udf(counter, "array<bigint>" if nested else "bigint")(texts)
 
-    def truncate_each(self, texts, above, n: int):
+    def truncate_each(self, texts: Column, above: Column, n: int) -> Column:
+        """The texts, those that are ``above`` cut to ``n`` tokens; others are not encoded."""
         setup = self.setup
 
         def cutter():
             encode, decode = setup()
 
-            def one(text):
-                tokens = encode(text)
-                return text if len(tokens) <= n else decode(tokens[:n])
+            def cut(values: pa.Array) -> pa.Array:
+                flat = values.flatten()
+                text, long = flat.field("text"), pc.fill_null(flat.field("above"), False)
+                shorter = iter(decode([tokens[:n] for tokens in encode(text.filter(long).to_pylist())]))
+                out = [next(shorter) if a else t for t, a in zip(text.to_pylist(), long.to_pylist())]
+                return _relisted(values, pa.array(out, pa.string()))
 
-            return lambda parts: [one(p) for p in parts]
+            return cut
 
-        return iterator_udf(cutter, "array<string>")(texts)
+        marked = F.zip_with(texts, above, lambda t, a: F.struct(t.alias("text"), a.alias("above")))
+        return iterator_udf(cutter, "array<string>")(marked)

@@ -10,7 +10,7 @@ from ..functions.prompts import (
 )
 from ..functions.responses import parse_completion
 from ..functions.text import whole_part
-from .embedding import DIM, embed
+from .embedding import embed
 from .joins import preceding_rows
 from .search import topk, with_metadata
 
@@ -41,20 +41,28 @@ def local_questions(spark: SparkSession, questions) -> DataFrame:
 
 
 def rag_context(questions: DataFrame, index: DataFrame, documents: DataFrame,
-                threshold: float | None = None, model=None, dim: int = DIM, document_id: str = "id",
+                threshold: float | None = None, model=None, k: int = 1, document_id: str = "id",
                 columns: tuple[str, ...] = ("url", "content")) -> DataFrame:
-    """Add the best document of each question; its fields are null without a match.
-
-    ``dim`` is the vector length of ``model``.
-    """
+    """Add the ``k`` best documents of each question, one row each with its ``rank``; a
+    question without a match has one row without them."""
     asked = embed(questions, "question", model=model)
-    matches = topk(asked, index, 1, threshold, query_id="question_id", max_dim=dim)
-    found = with_metadata(matches, documents, document_id, columns)
-    details = found.select(F.col("query_id").alias("question_id"), F.col("id").alias("document_id"),
+    found = with_metadata(topk(asked, index, k, threshold, query_id="question_id"), documents, document_id, columns)
+    details = found.select(F.col("query_id").alias("question_id"), "rank", F.col("id").alias("document_id"),
                            "score", *columns)
     return questions.join(details, "question_id", "left")
 
 
+def merged_context(context: DataFrame, columns: tuple[str, ...] = ("question",), gap: str = "\n\n") -> DataFrame:
+    """One row per question: the contents of its documents in order of rank, one after the
+    other, and the fields of the best one. A question has at most ``k`` rows."""
+    parts = F.array_sort(F.collect_list(F.struct("rank", "document_id", "score", "url", "content")))
+    grouped = context.groupBy("question_id", *columns).agg(parts.alias("parts"))
+    contents = F.array_compact(F.transform("parts", lambda p: p["content"]))
+    best = F.get("parts", F.lit(0))
+    return grouped.select("question_id", *columns, *[best[c].alias(c) for c in ("document_id", "score", "url")],
+                          F.when(F.size(contents) > 0, F.array_join(contents, gap)).alias("content"))
+
+
 def rag_prompt(context: DataFrame, wording: ChatWording = ChatWording()) -> DataFrame:
     return context.withColumn("prompt", chat_prompt(F.col("question"), F.col("content"), wording=wording))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import MARK, mark_sections, page_title, visible_text
+from ..functions.html import MARK, html_to_text, mark_sections, page_title
 from ..functions.text import bind, newline_cleanup, token_count, token_truncate
 from ..sources.layout import pinned
 
@@ -106,7 +106,7 @@ def heading_chunks(
 ) -> DataFrame:
     """Greedy sections of every page, also of those within the limit."""
     return _chunk(df, mark_sections(F.col(html), tag), max_tokens, min_tokens, out,
-                  tokenizer, visible_text, always_fold=True)
+                  tokenizer, html_to_text, always_fold=True)
 
 
 def page_chunks(
@@ -121,7 +121,7 @@ def page_chunks(
     marked ``truncated``.
     """
     return _chunk(df, mark_sections(F.col(html), tag), max_tokens, min_tokens, out,
-                  tokenizer, visible_text)
+                  tokenizer, html_to_text)
 
 
 def paragraph_chunks(

@@ -7,24 +7,35 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import bind, words
 from ..sources.layout import gathered, partitioned, stored
 from .kernels import TILE_CELLS, BestMatches, word_codes, word_lists
 from .search import MATCH_SCHEMA, _rank
 
 K1 = 1.2
 B = 0.75
-BROADCAST_TERMS = 200_000
+BROADCAST_BYTES = 32 << 20
 TERM_BLOCK = 1_000_000
 DOC_BLOCK = 32_768
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
-    """``query_id, term, qtf``: how often each word occurs in each query."""
-    each = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.explode(words(F.col(text))).alias("term"))
+    """``query_id, term, qtf``: how often each word occurs in each query.
+
+    Queries and documents are cut into words by the same function.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = word_lists(batch.column(1))
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            each = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), lists.flatten()], names=["query_id", "term"])
+            yield each.filter(pc.not_equal(each.column(1), ""))
+
+    rows = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(text).alias("text"))
+    each = rows.mapInArrow(task, "query_id bigint, term string")
     return each.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
@@ -34,44 +45,44 @@ def word_frequencies(docs: DataFrame, terms: DataFrame, few: bool, text: str = "
     The row of the empty word, which no text holds, counts all documents and sums
     their lengths. Each task counts its own texts first, so a word that every
     document holds is no large group. ``few`` query words are sent to all tasks, which
-    then count only those.
+    then count only those; otherwise a task counts all words of a batch.
     """
-    if few:
-        return _few_frequencies(docs.select(text), terms)
-    entry = lambda term, length: F.struct(term.alias("term"), length.cast("bigint").alias("length"))
-    entries = bind(words(F.col(text)), lambda w: F.concat(
-        F.transform(F.array_distinct(w), lambda t: entry(t, F.lit(0))),
-        F.array(entry(F.lit(""), F.size(w)))))
-    wanted = terms.select("term").distinct().unionByName(
-        terms.sparkSession.createDataFrame([("",)], "term string"))
-    counted = (docs.select(F.explode(entries).alias("e")).select("e.*")
-               .groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("length")))
-    return counted.join(wanted, "term", "left_semi")
-
-
-def _few_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    vocabulary = terms.select("term").distinct().toArrow().column("term").combine_chunks()
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary.cast(pa.string()))
+    texts, spark = docs.select(text), docs.sparkSession
+    vocabulary = terms.select("term").distinct()
+    shared = spark.sparkContext.broadcast(
+        vocabulary.toArrow().column("term").combine_chunks().cast(pa.string()) if few else None)
+
+    def counted(known: pa.Array, df: np.ndarray, length: int, n_docs: int) -> pa.RecordBatch:
+        held = np.nonzero(df)[0]
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([known.take(pa.array(held)), pa.array([""])]),
+            pa.array(np.append(df[held], n_docs)),
+            pa.array(np.append(np.zeros(len(held), np.int64), length)),
+        ], names=["term", "df", "length"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        df, length, n_docs = np.zeros(len(known), np.int64), 0, 0
+        df, length, n_docs = np.zeros(len(known or ()), np.int64), 0, 0
         for batch in batches:
             lists = word_lists(batch.column(0))
-            doc, code, lengths = word_codes(lists, known)
-            pairs = np.unique(doc * (len(known) + 1) + code)
-            df += np.bincount(pairs % (len(known) + 1), minlength=len(known))
+            words = lists.flatten().unique().cast(pa.string()) if known is None else known
+            doc, code, lengths = word_codes(lists, words)
+            pairs = np.unique(doc * (len(words) + 1) + code)
+            found = np.bincount(pairs % (len(words) + 1), minlength=len(words))
+            if known is None:
+                yield counted(words, found, int(lengths.sum()), len(lists))
+                continue
+            df += found
             length += int(lengths.sum())
             n_docs += len(lists)
-        held = np.nonzero(df)[0]
-        yield pa.RecordBatch.from_arrays([
-            pa.concat_arrays([known.take(pa.array(held)), pa.array([""])]),
-            pa.array(np.append(df[held], n_docs)),
-            pa.array(np.append(np.zeros(len(held), np.int64), length)),
-        ], names=["term", "df", "length"])
+        if known is not None:
+            yield counted(known, df, length, n_docs)
 
     counts = gathered(texts).mapInArrow(task, "term string, df bigint, length bigint")
-    return counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("length").alias("length"))
+    summed = counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("length").alias("length"))
+    if few:
+        return summed
+    return summed.join(vocabulary.unionByName(spark.createDataFrame([("",)], "term string")), "term", "left_semi")
 
 
 def term_weights(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:
@@ -84,18 +95,18 @@ def term_weights(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataF
 def keyword_search(
     queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "query_id",
     query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
-    broadcast_terms: int = BROADCAST_TERMS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` best documents by BM25 for each query: ``query_id, rank, id, score``.
 
     A document without a common word is no match. Tasks score whole documents against
-    all queries at once and shuffle only the k best. Up to ``broadcast_terms`` query
-    words are sent to all tasks; more are joined to the documents block by block.
+    all queries at once and shuffle only the k best. Query words of up to
+    ``broadcast_bytes`` are sent to all tasks; more are joined to the documents block by block.
     """
     terms = stored(query_terms(queries, query_id, query_text), "query-terms")
     d = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(doc_text, F.lit("")).alias("text"))
-    n_terms = terms.count()
-    few = n_terms <= broadcast_terms
+    n_terms, size = terms.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).first()
+    few = size <= broadcast_bytes
     frequencies = stored(word_frequencies(d, terms, few), "word-frequencies")
     total = frequencies.filter("term = ''").first()
     n_docs, length = (total["df"], total["length"]) if total else (0, 0)

@@ -14,20 +14,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.layout import checked_broadcast, gathered, partitioned, stored
+from ..session import new_dir
+from ..sources.layout import checked_broadcast, gathered, stored
+from .joins import skew_join
 from .kernels import BestMatches, add_cosines, unit_rows
 
 MATCH_SCHEMA = "query_id bigint not null, id bigint not null, score double not null"
-BROADCAST_BYTES = 64 << 20
-MAX_DIM = 4096
-INDEX_BLOCK = 65_536
-QUERY_BLOCK = 4_096
+BATCH_BYTES = 64 << 20
+MERGES = 64
+CELL_TILE = 4_096
+HOT_MATCHES = 100_000
 
 
 def _rank(matches: DataFrame, k: int) -> DataFrame:
-    """The k best over all tasks. A query has at most k rows per task or block."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return (matches.withColumn("rank", F.row_number().over(order))
+    """The k best over all tasks, in two steps: each task returns up to k rows of a query,
+    so parts of a query's rows are merged before the rest meets in one window."""
+    best = [F.desc("score"), F.asc("id")]
+    part = F.pmod(F.xxhash64("id"), F.lit(MERGES))
+    some = Window.partitionBy("query_id", "part").orderBy(*best)
+    merged = (matches.withColumn("part", part).withColumn("rank", F.row_number().over(some))
+              .filter(F.col("rank") <= k).drop("part"))
+    order = Window.partitionBy("query_id").orderBy(*best)
+    return (merged.withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("bigint").alias("rank"), "id", "score"))
 
@@ -35,40 +43,41 @@ def _rank(matches: DataFrame, k: int) -> DataFrame:
 def topk(
     queries: DataFrame, index: DataFrame, k: int = 1, threshold: float | None = None,
     query_id: str = "query_id", index_id: str = "id", vector: str = "embedding",
-    skip_same_id: bool = False, max_dim: int = MAX_DIM, broadcast_bytes: int = BROADCAST_BYTES,
+    skip_same_id: bool = False, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """The ``k`` index rows most similar to each query: ``query_id, rank, id, score``.
 
     Scores are rounded to six digits; equal scores rank by id. ``threshold`` is a
     lowest score. Filter ``index`` first to search within a predicate.
 
-    Queries that fit ``broadcast_bytes`` at ``max_dim`` are sent to all tasks and the
-    index is scanned in place. More queries are joined to the index block by block.
+    The index is never moved: batches of queries of at most ``batch_bytes`` are sent to
+    all tasks one after the other and meet the index where it lies.
     """
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"))
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"))
-    few = _few(q, max_dim, broadcast_bytes)
-    if few is not None:
-        return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
-    x_blocks, q_blocks = -(-x.count() // INDEX_BLOCK), -(-q.count() // QUERY_BLOCK)
-    one_cell = lambda df: df.withColumns(
-        {"cell": F.lit(0), "x_blocks": F.lit(x_blocks), "q_blocks": F.lit(q_blocks)})
-    return _rank(_block_join(one_cell(q), one_cell(x), x_blocks * q_blocks, k, threshold, skip_same_id), k)
+    return _searched(q, x, k, threshold, skip_same_id, batch_bytes)
 
 
-def _few(queries: DataFrame, max_dim: int, broadcast_bytes: int) -> pa.Table | None:
-    """The queries, if they are counted to fit the broadcast limit."""
-    return queries.toArrow() if queries.count() * 8 * max_dim <= broadcast_bytes else None
+def _searched(q: DataFrame, x: DataFrame, k: int, threshold: float | None, skip_same_id: bool, batch_bytes: int) -> DataFrame:
+    """All batches of queries over the index. More than one batch is stored by batch, and
+    so is the result of each, so that a lost executor repeats one batch."""
+    rows, longest = q.agg(F.count("*"), F.max(F.array_size("v"))).first()
+    batches = max(1, min(rows, -(-rows * 8 * (longest or 0) // max(1, batch_bytes))))
+    if batches == 1:
+        return _rank(_scan(x, q.toArrow(), k, threshold, skip_same_id), k)
+    parted = stored(q.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches))), "queries", "batch")
+    path = new_dir(q.sparkSession, "matches")
+    for batch in range(batches):
+        mine = parted.filter(F.col("batch") == batch).drop("batch").toArrow()
+        _rank(_scan(x, mine, k, threshold, skip_same_id), k).write.mode("append").parquet(path)
+    return q.sparkSession.read.parquet(path)
 
 
-def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
-          skip_same_id: bool, max_dim: int) -> DataFrame:
+def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None, skip_same_id: bool) -> DataFrame:
     """Score the index where it lies. Queries with ``cells`` meet only those cells."""
     by_cell = "cells" in queries.column_names
     ids, vectors = (queries.column(c).combine_chunks() for c in ("query_id", "v"))
     lengths = set(pc.list_value_length(vectors).unique().to_pylist()) - {None, 0}
-    if lengths and max(lengths) > max_dim:
-        raise ValueError(f"query vectors of {max(lengths)} elements; raise max_dim")
     groups = [(dim, *unit_rows(ids, vectors, dim)) for dim in sorted(lengths)]
     probes = {}
     if by_cell:
@@ -102,71 +111,25 @@ def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None,
     return gathered(index).mapInArrow(task, MATCH_SCHEMA)
 
 
-def _sized(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Add to both sides how many blocks their cell has on each side; the number of
-    pairs of blocks.
-
-    The sizes are one row per cell, and the number of cells is a setting.
-    """
-    blocks = lambda df, rows, name: df.groupBy("cell").agg(F.ceil(F.count("*") / rows).alias(name))
-    sizes = stored(blocks(index, INDEX_BLOCK, "x_blocks").join(
-        blocks(queries, QUERY_BLOCK, "q_blocks"), "cell"), "cell-sizes")
-    groups = sizes.agg(F.sum(F.col("x_blocks") * F.col("q_blocks"))).first()[0] or 0
-    return queries.join(F.broadcast(sizes), "cell"), index.join(F.broadcast(sizes), "cell"), groups
-
-
-def _block_join(queries: DataFrame, index: DataFrame, groups: int, k: int,
-                threshold: float | None, skip_same_id: bool) -> DataFrame:
-    """Queries against the index rows of the same cell, in blocks of bounded size.
-
-    A cell of any size is cut into blocks by a hash of the id, on both sides. Every
-    query block meets every index block of its cell in a group of its own, so a cell
-    that holds a third of the index is spread over as many tasks as its size asks for.
-    """
-    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    x = (index.withColumn("xb", own("id", "x_blocks"))
-         .withColumn("qb", each("q_blocks")).select("cell", "xb", "qb", "id", "v"))
-    q = (queries.withColumn("qb", own("query_id", "q_blocks"))
-         .withColumn("xb", each("x_blocks")).select("cell", "xb", "qb", "query_id", "v"))
-
-    def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        flat = lambda t, c: t.column(c).combine_chunks()
-        lengths = set(flat(left, "v").value_lengths().unique().to_pylist()) - {None, 0}
-        for dim in sorted(lengths):
-            qid, qv = unit_rows(flat(left, "query_id"), flat(left, "v"), dim)
-            xid, xv = unit_rows(flat(right, "id"), flat(right, "v"), dim)
-            best = BestMatches(len(qid), k)
-            add_cosines(best, qid, qv, xid, xv, threshold, skip_same_id)
-            out.append(best.rows(qid))
-        return pa.Table.from_batches(out, schema=BestMatches(0, k).rows(np.empty(0, np.int64)).schema)
-
-    keys = ("cell", "xb", "qb")
-    q, x = partitioned(q, keys, groups), partitioned(x, keys, groups)
-    return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(block, MATCH_SCHEMA)
-
-
 def with_metadata(matches: DataFrame, documents: DataFrame, document_id: str = "id",
                   columns: tuple[str, ...] = ("url", "content", "title")) -> DataFrame:
     """Matches with the fields of their document; null when it has gone.
 
     The matches are stored first, so the search runs once. When they are few their
     ids go to all tasks and documents are filtered where they lie; only the matched
-    ones move.
+    ones move. A document that answers very many questions is joined in parts.
     """
     matches = stored(matches, "matches")
     details = documents.select(F.col(document_id).cast("bigint").alias("id"), *columns)
     wanted = details.join(checked_broadcast(matches.select("id").distinct()), "id", "left_semi")
-    return matches.join(wanted, "id", "left").select("query_id", "rank", "id", "score", *columns)
+    return skew_join(matches, wanted, "id", "query_id", "left", HOT_MATCHES).select("query_id", "rank", "id", "score", *columns)
 
 
 def fit_cells(index: DataFrame, n_cells: int, vector: str = "embedding", seed: int = 7,
-              max_iter: int = 20, train_rows: int = 1_000_000) -> np.ndarray:
-    """Centroids of ``n_cells`` k-means cells over the unit vectors of the index.
+              max_iter: int = 20) -> np.ndarray:
+    """Centroids of ``n_cells`` k-means cells over the unit vectors of all rows.
 
-    Only the centroids are learned from about ``train_rows`` rows of a larger index,
-    since each iteration reads them all; every row is then assigned to a cell.
+    An iteration is one aggregate over the index.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
@@ -174,9 +137,6 @@ def fit_cells(index: DataFrame, n_cells: int, vector: str = "embedding", seed: i
 
     rows = index.filter(F.array_size(vector) > 0).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("raw"))
-    n_rows = rows.count()
-    if n_rows > train_rows:
-        rows = rows.sample(train_rows / n_rows, seed)
     unit = Normalizer(inputCol="raw", outputCol="features").transform(rows)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter).fit(unit)
     return np.array(model.clusterCenters())
@@ -186,17 +146,23 @@ def nearest_cells(vector: Column, centroids: np.ndarray, n: int = 1) -> Column:
     """The ``n`` cells whose centroid has the highest cosine with the vector."""
     dim = centroids.shape[1]
     unit = centroids / np.linalg.norm(centroids, axis=1, keepdims=True)
-    cells = np.arange(len(centroids))
 
     @F.arrow_udf("array<int>")
     def nearest(vectors: pa.Array) -> pa.Array:
         row, matrix = unit_rows(pa.array(np.arange(len(vectors))), vectors, dim)
-        scores = np.round(matrix @ unit.T, 9)
-        order = np.lexsort((np.broadcast_to(cells, scores.shape), -scores), axis=1)[:, :n]
-        out = [None] * len(vectors)
-        for r, picked in zip(row, order.astype(np.int32)):
-            out[r] = picked
-        return pa.array(out, pa.list_(pa.int32()))
+        scores, cells = np.empty((len(row), 0)), np.empty((len(row), 0), np.int32)
+        for first in range(0, len(unit), CELL_TILE):  # a tile of centroids at a time
+            tile = np.round(matrix @ unit[first:first + CELL_TILE].T, 9)
+            numbers = np.broadcast_to(np.arange(first, first + tile.shape[1], dtype=np.int32), tile.shape)
+            scores, cells = np.hstack((scores, tile)), np.hstack((cells, numbers))
+            order = np.lexsort((cells, -scores), axis=1)[:, :n]
+            scores, cells = (np.take_along_axis(a, order, 1) for a in (scores, cells))
+        found = np.zeros(len(vectors), bool)
+        found[row] = True
+        width = cells.shape[1]
+        offsets = np.concatenate(([0], np.cumsum(found * width)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(cells.ravel(), pa.int32()))
+        return pc.if_else(pa.array(found), lists, pa.scalar(None, lists.type))
 
     return nearest(vector)
 
@@ -219,20 +185,15 @@ def write_cells(index: DataFrame, path: str) -> DataFrame:
 def topk_approx(
     queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int = 1, probes: int = 4,
     threshold: float | None = None, query_id: str = "query_id", index_id: str = "id",
-    vector: str = "embedding", skip_same_id: bool = False, max_dim: int = MAX_DIM,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    vector: str = "embedding", skip_same_id: bool = False, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Top-k among the ``probes`` nearest cells; with all cells it is exact.
 
-    ``index`` has a ``cell`` column from ``assign_cells``. As in ``topk``, few queries
-    are sent to the cells they probe, more are joined to them block by block.
+    ``index`` has a ``cell`` column from ``assign_cells``. As in ``topk``, batches of
+    queries are sent to the index and meet the cells they probe where these lie.
     """
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"), "cell")
     q = queries.select(
         F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"),
         nearest_cells(F.col(vector), centroids, probes).alias("cells"))
-    few = _few(q, max_dim, broadcast_bytes)
-    if few is not None:
-        return _rank(_scan(x, few, k, threshold, skip_same_id, max_dim), k)
-    each = stored(q.withColumn("cell", F.explode("cells")).drop("cells"), "probes")
-    return _rank(_block_join(*_sized(each, x), k, threshold, skip_same_id), k)
+    return _searched(q, x, k, threshold, skip_same_id, batch_bytes)

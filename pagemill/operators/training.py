@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
@@ -11,9 +11,8 @@ from ..functions.text import whole_part
 from ..sources.layout import checked_broadcast
 from .joins import skew_join
 
-QUESTION_BITS = 16
-SHALLOW_ROWS = 100_000
 BINS = 1024
+NARROW_ROWS = 10_000
 
 
 def question_prompts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -27,14 +26,17 @@ def questions_parse(responses: DataFrame) -> DataFrame:
     return parsed.withColumn("reject", F.col("questions").isNull())
 
 
+def question_id(doc_id: str, position: str = "position") -> Column:
+    """Document and position as text of fixed width: any two numbers fit, and the order of
+    the texts is that of document (from 0 on) and position."""
+    digits = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    return F.concat(digits(doc_id, 20), F.lit("-"), digits(position, 10))
+
+
 def question_rows(parsed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``id, doc_id, question``; the id follows from document and position."""
-    rows = parsed.select(doc_id, F.posexplode_outer("questions").alias("_pos", "question"))
-    limit = 1 << QUESTION_BITS
-    pos = F.when(F.col("_pos") < limit, F.col("_pos")).otherwise(
-        F.raise_error(F.lit(f"a document has more than {limit} questions")).cast("int"))
-    return rows.filter("_pos is not null").select(
-        (F.col(doc_id) * limit + pos).alias("id"), doc_id, "question")
+    """``id, doc_id, position, question``; the id follows from document and position."""
+    rows = parsed.select(doc_id, F.posexplode_outer("questions").alias("position", "question"))
+    return rows.filter("position is not null").select(question_id(doc_id).alias("id"), doc_id, "position", "question")
 
 
 def qa_join(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
@@ -51,39 +53,50 @@ def answer_prompts(pairs: DataFrame, wording: TrainingWording = TrainingWording(
 
 
 def batch_page(df: DataFrame, key: str, start: int, n: int = 10) -> DataFrame:
-    """Rows ``[start, start + n)`` in the order of the unique bigint ``key``.
+    """Rows ``[start, start + n)`` in the order of the unique bigint ``key``, null last.
 
-    A shallow page is a top-k. A deep one would carry ``start`` rows through one task,
-    so the key range that holds its first row is narrowed first: each step counts the
-    rows of ``BINS`` parts of the range and keeps one of them.
+    The range of keys that holds the page is narrowed first: each step counts the rows of
+    ``BINS`` parts of the range and keeps those the page lies in. Whole rows are read from
+    that range only; it has at most ``n`` and ``NARROW_ROWS`` more, or keys that are equal.
+    Null keys have no order among themselves.
     """
     k, skipped = F.col(key), 0
-    if start > SHALLOW_ROWS:
-        lo, hi = df.agg(F.min(key), F.max(key)).first()
-        while lo is not None and start - skipped > SHALLOW_ROWS and lo < hi:
+    lo, hi, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    stop = min(start + n, rows)
+    known = df.limit(0)
+    if start < rows:
+        inside = rows
+        while lo < hi and inside > n + NARROW_ROWS:
             width = -(-(hi - lo + 1) // BINS)
             # Decimals, since the distance of two bigints may not be one.
             part = whole_part(k.cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)"), width,
                               "decimal(21,0)").alias("part")
-            counts = df.filter(k.between(lo, hi)).groupBy(part).agg(F.count("*").alias("rows"))
-            for row in sorted(counts.collect()):
-                if skipped + row["rows"] > start:
-                    break
-                skipped += row["rows"]
-            else:
-                return df.limit(0)
-            lo += int(row["part"]) * width
-            hi = min(hi, lo + width - 1)
-        df = df.filter(k >= lo)
-    return df.orderBy(key).offset(start - skipped).limit(n)
+            counts = df.filter(k.between(lo, hi)).groupBy(part).agg(F.count("*").alias("rows")).collect()
+            before, kept = skipped, []
+            for row in sorted(counts):
+                if before < stop and before + row["rows"] > start:
+                    kept.append(row)
+                elif not kept:
+                    skipped += row["rows"]
+                before += row["rows"]
+            lo, hi = lo + int(kept[0]["part"]) * width, min(hi, lo + (int(kept[-1]["part"]) + 1) * width - 1)
+            if inside == (inside := sum(row["rows"] for row in kept)) and len(kept) > 1:
+                break
+        known = df.filter(k.between(lo, hi)).orderBy(key).offset(start - skipped).limit(n)
+    if start + n <= rows:
+        return known
+    unknown = df.filter(k.isNull()).offset(max(0, start - rows)).limit(start + n - max(start, rows))
+    return known.unionByName(unknown)
 
 
 def resume_pending(df: DataFrame, done: DataFrame, key: str, done_key: str | None = None,
                    n_batches: int = 10) -> DataFrame:
     """Rows whose key is not in ``done``, each with a batch number that never changes."""
+    # A digest, since keys may be multiples of something.
+    spread = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10)
     finished = checked_broadcast(done.select(F.col(done_key or key).alias(key)))
     return (df.join(finished, key, "left_anti")
-            .withColumn("batch", F.pmod(F.col(key), F.lit(n_batches))))
+            .withColumn("batch", F.pmod(spread.cast("bigint"), F.lit(n_batches)).cast("bigint")))
 
 
 def qa_dataset(questions: DataFrame, answers: DataFrame, docs: DataFrame, doc_id: str = "doc_id",

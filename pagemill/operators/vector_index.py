@@ -21,20 +21,25 @@ def index_upsert(index: DataFrame, updates: DataFrame, key: str = "id",
                  version: str | None = None) -> DataFrame:
     """Rows of ``updates`` replace rows with the same key; the others are added.
 
-    ``version`` names a column of ``updates`` that orders several rows of one key:
-    the newest wins. Without it the keys of ``updates`` must be unique.
+    ``version`` names a column of ``updates`` that orders several rows of one key: the
+    newest wins, a null version is the oldest, equal versions are ordered by a hash of the
+    row. Without it the keys of ``updates`` must be unique, which is checked.
     """
-    if version:
-        row = F.max_by(F.struct("*"), F.col(version)).alias("_row")
-        updates = updates.groupBy(key).agg(row).select("_row.*").drop(version)
+    order = F.struct(*([F.col(version).isNotNull(), F.col(version)] if version else []), F.xxhash64(F.struct("*")))
+    newest = updates.groupBy(key).agg(F.max_by(F.struct("*"), order).alias("_row"), F.count("*").alias("_n"))
+    if not version:
+        unique = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(F.lit("a key is updated twice")))
+        newest = newest.withColumn("_row", unique)
+    rows = newest.select("_row.*").drop(*([version] if version else []))
     kept = index.join(checked_broadcast(updates.select(key)), key, "left_anti")
-    return kept.unionByName(updates.select(*index.columns))
+    return kept.unionByName(rows.select(*index.columns))
 
 
 def index_stats(index: DataFrame, vector: str = "embedding") -> DataFrame:
     """Size, dimensions, and rows whose vector cannot be searched."""
     v = F.col(vector)
     zero = F.forall(v, lambda x: x == 0)
+    broken = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     return index.agg(
         F.count("*").alias("n_rows"),
@@ -42,6 +47,7 @@ def index_stats(index: DataFrame, vector: str = "embedding") -> DataFrame:
         F.max(F.array_size(v)).cast("bigint").alias("max_dim"),
         count(v.isNull()).alias("n_null"),
         count(zero).alias("n_zero"),
+        count(broken).alias("n_broken"),
     )
 
 

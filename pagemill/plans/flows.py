@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from ..operators.answers import (
-    answer_format, completion_join, completion_parse, rag_context, rag_prompt,
+    answer_format, completion_join, completion_parse, merged_context, rag_context, rag_prompt,
 )
 from ..operators.chunking import WhitespaceTokens, chunk_rows, page_chunks, titled
 from ..sources.pages import valid_pages
@@ -23,10 +23,11 @@ def build_chunks(pages: DataFrame, tag: str = "h2", max_tokens: int = 4000, min_
     return chunk_rows(chunked.drop("article"))
 
 
-def build_prompts(questions: DataFrame, index: DataFrame, documents: DataFrame, **options) -> DataFrame:
-    """Question, its document and its prompt; send the prompts to a model and store
-    ``prompt_hash, response`` of what comes back."""
-    return rag_prompt(rag_context(questions, index, documents, **options))
+def build_prompts(questions: DataFrame, index: DataFrame, documents: DataFrame, k: int = 1, **options) -> DataFrame:
+    """Question, its best document and its prompt, which holds the ``k`` best ones; send
+    the prompts to a model and store ``prompt_hash, response`` of what comes back."""
+    context = rag_context(questions, index, documents, k=k, **options)
+    return rag_prompt(context.drop("rank") if k == 1 else merged_context(context))
 
 
 def answer_prompts(prompts: DataFrame, completions: DataFrame) -> DataFrame:

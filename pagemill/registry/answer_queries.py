@@ -11,7 +11,7 @@ from ..operators.answers import (
     rag_context,
 )
 from ..operators.training import (
-    answer_prompts, batch_page, qa_dataset, qa_join, question_prompts, question_rows,
+    answer_prompts, batch_page, qa_dataset, qa_join, question_id, question_prompts, question_rows,
     questions_parse, resume_pending,
 )
 from ..plans.flows import answer_prompts as answer_all
@@ -32,8 +32,8 @@ def batch_query(spark, d):
                           "question_id")
 
 
-def context(spark, d):
-    return rag_context(questions(spark, d), text_index(spark, d), site(spark, d))
+def context(spark, d, k=1):
+    return rag_context(questions(spark, d), text_index(spark, d), site(spark, d), k=k)
 
 
 def prompts(spark, d):
@@ -78,12 +78,12 @@ def records_query(spark, d):
         "batch_id", F.col("position").cast("bigint").alias("position"), "_r.answer", "_r.prompt")
 
 
-def generated(spark, d):
+def generated(spark, d, *more):
     """Question lists as a model returns them: the lines of each document as a JSON
     array; one source ignored the instruction and returned plain text."""
     lines = F.to_json(F.split("text", "\n"))
     return table(spark, d, "documents").select(
-        "doc_id", F.when(F.col("source") == "src7", F.col("text")).otherwise(lines).alias("response"))
+        "doc_id", *more, F.when(F.col("source") == "src7", F.col("text")).otherwise(lines).alias("response"))
 
 
 def asked_rows(spark, d):
@@ -92,16 +92,15 @@ def asked_rows(spark, d):
 
 def given_answers(spark, d):
     """The line after a question answers it; the last line has no answer."""
-    rows = asked_rows(spark, d)
-    return rows.select((F.col("id") - 1).alias("question_id"), F.col("question").alias("answer"))
+    before = asked_rows(spark, d).filter("position > 0").withColumn("position", F.col("position") - 1)
+    return before.select(question_id("doc_id").alias("question_id"), F.col("question").alias("answer"))
 
 
 def append_query(spark, d):
     """Questions arrive in two batches; the second is delivered twice."""
     path = new_dir(spark, "questions")
-    docs = generated(spark, d)
-    english = table(spark, d, "documents").filter("lang = 'en'").select("doc_id")
-    parts = [docs.join(english, "doc_id", how) for how in ("left_semi", "left_anti")]
+    docs = generated(spark, d, "lang")
+    parts = [docs.filter("lang = 'en'"), docs.filter("not lang <=> 'en'")]
     for batch in (0, 1, 1):
         append_batch(question_rows(questions_parse(parts[batch])), path, batch)
     return read_batches(spark, path).drop("batch")
@@ -115,16 +114,15 @@ def parse_query(spark, d):
 
 def functions_query(spark, d):
     register(spark)
-    generated(spark, d).join(table(spark, d, "documents").select("doc_id", "text"), "doc_id") \
-        .createOrReplaceTempView("pagemill_generated")
+    generated(spark, d, "text").createOrReplaceTempView("pagemill_generated")
     return spark.sql("""
-        SELECT doc_id, question_request(text) AS request, length(answer_request(text, 'Why?')) AS n_chars,
+        SELECT doc_id, question_request(text) AS request, answer_request(text, 'Why?') AS answer,
           cast(array_size(parse_questions(response)) AS bigint) AS n_questions
         FROM pagemill_generated""")
 
 
 def pending_query(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    docs = table(spark, d, "documents")
     return resume_pending(docs, table(spark, d, "labels"), "doc_id")
 
 
@@ -137,6 +135,9 @@ QUERIES = {
     "rag_context": lambda s, d: context(s, d).select("question_id", "document_id", "score", "url"),
     "rag_prompt": lambda s, d: build_prompts(
         questions(s, d), text_index(s, d), site(s, d)).select("question_id", "prompt"),
+    "rag_context_k3": lambda s, d: context(s, d, 3).select("question_id", "rank", "document_id", "score", "url"),
+    "rag_prompt_k3": lambda s, d: build_prompts(
+        questions(s, d), text_index(s, d), site(s, d), 3).select("question_id", "document_id", "prompt"),
     "prompt_history": lambda s, d: prompt_history(table(s, d, "conversations"), 2),
     "completion_join": lambda s, d: joined(s, d).select("question_id", "prompt_hash", "response"),
     "completion_parse": lambda s, d: completion_parse(joined(s, d)).select("question_id", "status", "text"),
@@ -180,14 +181,18 @@ answers AS (
 _ROWS = """WITH generated AS (SELECT doc_id, text, CASE WHEN source = 'src7' THEN NULL ELSE string_split(text, chr(10)) END AS q
   FROM documents),
 question_rows AS (
-  SELECT doc_id * 65536 + pos - 1 AS id, doc_id, q[pos] AS question
+  SELECT lpad(doc_id::VARCHAR, 20, '0') || '-' || lpad((pos - 1)::VARCHAR, 10, '0') AS id, doc_id, (pos - 1)::INT AS position, q[pos] AS question
   FROM (SELECT doc_id, q, unnest(generate_series(1, len(q))) AS pos FROM generated WHERE q IS NOT NULL)),
-pairs AS (SELECT id AS question_id, question, text AS content, doc_id FROM question_rows JOIN documents USING (doc_id))"""
+pairs AS (SELECT id AS question_id, question, text AS content, doc_id, position FROM question_rows JOIN documents USING (doc_id))"""
 
 ORACLE = {
     "question_batch": f"WITH {QUESTIONS_SQL} SELECT * FROM questions",
     "rag_context": CONTEXT_SQL + " SELECT question_id, document_id, score, url FROM context",
     "rag_prompt": _PROMPTS + " SELECT question_id, prompt FROM prompts",
+    "rag_context_k3": CONTEXT_SQL + " SELECT question_id, rank, document_id, score, url FROM context3",
+    "rag_prompt_k3": CONTEXT_SQL + f""", merged AS (SELECT question_id, question, arg_min(document_id, rank) AS document_id,
+  string_agg(content, chr(10) || chr(10) ORDER BY rank) AS content FROM context3 GROUP BY ALL)
+SELECT question_id, document_id, {_PROMPT} AS prompt FROM merged""",
     "prompt_history": f"""WITH past AS (
   SELECT conv_id, turn, role, text, coalesce(list(chr(10) || role || ': ' || text) OVER w, []) AS h
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING))
@@ -209,15 +214,15 @@ SELECT conv_id, turn, len(h) AS n_history,
     "append_rows": _ROWS + " SELECT * FROM question_rows",
     "qa_join": _ROWS + " SELECT question_id, question, content FROM pairs",
     "batch_page": "SELECT * FROM documents ORDER BY doc_id LIMIT 10 OFFSET 30",
-    "resume_pending": """SELECT doc_id, lang, source, doc_id % 10 AS batch FROM documents
+    "resume_pending": """SELECT *, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % 10 AS batch FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "answer_prompt": _ROWS + f""" SELECT question_id,
   {sql_text(_T.context)} || content || {sql_text(_T.question)} || question AS prompt FROM pairs""",
     "qa_dataset": _ROWS + """ SELECT p.question_id, p.doc_id, p.question, a.question AS answer, p.content
-FROM pairs p JOIN pairs a ON a.question_id = p.question_id + 1 AND a.doc_id = p.doc_id""",
+FROM pairs p JOIN pairs a ON a.position = p.position + 1 AND a.doc_id = p.doc_id""",
     "sql_functions": _ROWS + f""" SELECT doc_id,
   '{{"prompt":' || to_json({sql_text(_T.page)} || text || {sql_text(_T.ask)})::VARCHAR || ',"max_tokens":500}}' AS request,
-  length('{{"prompt":' || to_json({sql_text(_T.context)} || text || {sql_text(_T.question)} || 'Why?')::VARCHAR
-    || ',"max_tokens":500}}')::INTEGER AS n_chars,
+  '{{"prompt":' || to_json({sql_text(_T.context)} || text || {sql_text(_T.question)} || 'Why?')::VARCHAR
+    || ',"max_tokens":500}}' AS answer,
   len(q) AS n_questions FROM generated""",
 }

@@ -25,7 +25,7 @@ def names_query(spark, d):
 
 
 def _events(spark, d):
-    return table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return table(spark, d, "events")
 
 
 QUERIES = {
@@ -36,9 +36,9 @@ QUERIES = {
 }
 
 ORACLE = {
-    "latest_by_name": """SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_type = 'purchase'
+    "latest_by_name": """SELECT * FROM events WHERE event_type = 'purchase'
 ORDER BY ts DESC, event_id DESC LIMIT 1""",
-    "latest_per_key": """SELECT event_id, ts, user_id, event_type, value FROM events
+    "latest_per_key": """SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "get_or_insert": """WITH e AS (SELECT strftime(ts, '%Y-%m-%d %H:%M') AS name, event_id, event_type FROM events),
 known AS (SELECT name, event_id FROM e WHERE event_type = 'error')

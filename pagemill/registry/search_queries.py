@@ -16,6 +16,7 @@ from .common import DIM, SITE_SQL, hashed_sql, site, table
 K = 10
 THRESHOLD = 0.36
 PROBES = 4
+BATCH = 1 << 17  # bytes of query vectors; some hundred queries
 
 
 def vectors(spark, d):
@@ -29,13 +30,13 @@ def as_queries(index):
 
 def neighbours(spark, d, k=K, **options):
     index = vectors(spark, d)
-    return topk(as_queries(index), index, k, skip_same_id=True, max_dim=DIM, **options)
+    return topk(as_queries(index), index, k, skip_same_id=True, **options)
 
 
 def filtered_query(spark, d):
     english = table(spark, d, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"))
     index = vectors(spark, d)
-    return topk(as_queries(index), index.join(english, "id", "left_semi"), K, skip_same_id=True, max_dim=DIM)
+    return topk(as_queries(index), index.join(english, "id", "left_semi"), K, skip_same_id=True)
 
 
 def metadata_query(spark, d):
@@ -50,12 +51,12 @@ def label_centroids(index) -> np.ndarray:
     return np.column_stack([rows.column(f"m{i}").to_numpy() for i in range(DIM)])
 
 
-def approximate(spark, d, centroids, **options):
+def approximate(spark, d, centroids, probes=PROBES, **options):
     index = vectors(spark, d)
     cells = centroids(index)
     indexed = write_cells(assign_cells(index, cells), new_dir(spark, "cells"))
-    return topk_approx(as_queries(index), indexed, cells, K, PROBES,
-                       skip_same_id=True, max_dim=DIM, **options)
+    return topk_approx(as_queries(index), indexed, cells, K, probes,
+                       skip_same_id=True, **options)
 
 
 def build_query(spark, d):
@@ -75,7 +76,9 @@ def upsert_query(spark, d):
         .unionByName(index.filter("label = 1").withColumn("id", F.col("id") + 1_000_000_000)
                      .withColumn("version", F.lit(1))))
     merged = index_upsert(index, updates, version="version")
-    return merged.select("id", "label", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first"))
+    # All elements, as whole numbers of a millionth.
+    digits = F.transform("embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return merged.select("id", "label", F.md5(F.array_join(digits, ",")).alias("vector_md5"))
 
 
 def guard_query(spark, d):
@@ -104,15 +107,15 @@ QUERIES = {
     "index_gaps": lambda s, d: index_gaps(table(s, d, "documents"), vectors(s, d), "doc_id"),
     "model_guard": guard_query,
     "topk_exact": neighbours,
-    "topk_exact_blocks": lambda s, d: neighbours(s, d, broadcast_bytes=0),
+    "topk_exact_blocks": lambda s, d: neighbours(s, d, batch_bytes=BATCH),
     "topk_threshold": lambda s, d: neighbours(s, d, threshold=THRESHOLD),
     "topk_metadata": metadata_query,
     "topk_filtered": filtered_query,
     "keyword_search": keyword_query,
-    "keyword_search_blocks": lambda s, d: keyword_query(s, d, broadcast_terms=0),
+    "keyword_search_blocks": lambda s, d: keyword_query(s, d, broadcast_bytes=0),
     "topk_approx": lambda s, d: approximate(s, d, label_centroids),
-    "topk_approx_blocks": lambda s, d: approximate(s, d, label_centroids, broadcast_bytes=0),
-    "topk_approx_kmeans": lambda s, d: approximate(s, d, lambda index: fit_cells(index, 16)),
+    "topk_approx_blocks": lambda s, d: approximate(s, d, label_centroids, batch_bytes=BATCH),
+    "topk_approx_kmeans": lambda s, d: approximate(s, d, lambda index: fit_cells(index, 16), 16),
 }
 
 _COSINE = "list_cosine_similarity(q.embedding::DOUBLE[], x.embedding::DOUBLE[])"
@@ -162,17 +165,20 @@ ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= {K}"""
 
+_VECTOR = "md5(array_to_string([round(x::DOUBLE * 1000000)::BIGINT FOR x IN {}], ','))"
+
 ORACLE = {
     "embed_text": f"""WITH {hashed_sql('dv', 'documents', 'doc_id', 'text')}
 SELECT key AS doc_id, bucket::BIGINT AS bucket, round(weight::DOUBLE, 5) AS weight FROM dv""",
     "index_build": f"""WITH {SITE_SQL} SELECT id, len(embedding) AS dim,
   round(list_sum(embedding::DOUBLE[]), 6) AS vector_sum, url, content, title FROM embeddings JOIN site ON id = vec_id""",
-    "index_upsert": """SELECT vec_id AS id, label,
-  round((CASE WHEN label = 0 THEN embedding[len(embedding)] ELSE embedding[1] END)::DOUBLE, 6) AS first FROM embeddings
-UNION ALL SELECT vec_id + 1000000000, label, round(embedding[1]::DOUBLE, 6) FROM embeddings WHERE label = 1""",
+    "index_upsert": f"""SELECT vec_id AS id, label, {_VECTOR.format('CASE WHEN label = 0 THEN list_reverse(embedding) ELSE embedding END')}
+  AS vector_md5 FROM embeddings
+UNION ALL SELECT vec_id + 1000000000, label, {_VECTOR.format('embedding')} FROM embeddings WHERE label = 1""",
     "index_stats": """SELECT count(*) AS n_rows, min(len(embedding)) AS min_dim, max(len(embedding)) AS max_dim,
   count(*) FILTER (embedding IS NULL) AS n_null,
-  count(*) FILTER (list_max(list_transform(embedding, lambda x: abs(x))) = 0) AS n_zero FROM embeddings""",
+  count(*) FILTER (list_max(list_transform(embedding, lambda x: abs(x))) = 0) AS n_zero,
+  count(*) FILTER (list_bool_or([x IS NULL OR isnan(x) OR isinf(x) FOR x IN embedding])) AS n_broken FROM embeddings""",
     "index_gaps": """SELECT doc_id AS id, 'no vector' AS gap FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)
 UNION ALL SELECT vec_id, 'no chunk' FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents)""",
     "model_guard": f"""SELECT CASE WHEN label < 5 THEN 'words-1' ELSE 'words-2' END AS model, len(embedding) AS dim,
@@ -189,4 +195,5 @@ LEFT JOIN site s ON s.id = m.id AND NOT ends_with(title, ' de')""",
     "keyword_search_blocks": _KEYWORD,
     "topk_approx": _APPROX,
     "topk_approx_blocks": _APPROX,
+    "topk_approx_kmeans": _EXACT,  # all cells are probed
 }

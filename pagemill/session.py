@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -24,18 +27,41 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it.
+    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder of its context.
 
-    A session without ``spark.checkpoint.dir`` (a test) gets a folder of its own.
+    A local session without either (a test) gets a folder of its own. On a cluster such a
+    folder would be another one on each machine, so there a folder must be named.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return (named or _own_dir()).rstrip("/")
 
 
 @functools.cache
 def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="pagemill-")
+    path = tempfile.mkdtemp(prefix="pagemill-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
+_RUN = uuid.uuid4().hex
+
+
+def run_dir(spark: SparkSession) -> str:
+    """Where this process keeps all its working tables."""
+    return f"{shared_dir(spark)}/pagemill/{_RUN}"
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/pagemill/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_working_tables(spark: SparkSession) -> None:
+    """Delete what this process has stored; results not yet written are lost with it."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

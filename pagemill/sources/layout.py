@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_dir
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 SCAN_TASKS = 20_000
 MAX_PARTITIONS = 100_000
 
@@ -37,16 +37,21 @@ def partitioned(df: DataFrame, keys: tuple[str, ...], groups: int) -> DataFrame:
     return df.repartition(min(groups, MAX_PARTITIONS), *keys) if groups > usual else df
 
 
-def checked_broadcast(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Narrow key rows, marked for broadcast only when counted to be few."""
-    return F.broadcast(keys) if keys.count() <= max_rows else keys
+def checked_broadcast(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Narrow key rows, marked for broadcast only when measured to be few bytes. They are
+    stored, so measuring does not compute them twice."""
+    keys = stored(keys, "keys")
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns), F.lit(16))
+    size = keys.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= max_bytes else keys
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, *folders: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, with a
-    lineage that ends at files all executors can reach."""
+    lineage that ends at files all executors can reach. A filter on a column of
+    ``folders`` then reads only its part."""
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

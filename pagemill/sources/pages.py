@@ -41,7 +41,7 @@ def valid_pages(df: DataFrame, article: Column | None = None) -> DataFrame:
 
 def rejected_pages(df: DataFrame, article: Column | None = None) -> DataFrame:
     """The other pages, each with the reason it was left out."""
-    found = with_article(df, default_article() if article is None else article)
+    found = pinned(with_article(df, default_article() if article is None else article), "article")
     reason = (
         F.when(F.col("html").isNull(), "not fetched")
         .when(F.col("html") == "", "empty")

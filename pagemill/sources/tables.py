@@ -7,6 +7,7 @@ started with and a failed write leaves the table as it was.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,18 +59,20 @@ def preview(df: DataFrame, key: str, n: int = 2) -> DataFrame:
 def nonempty_gate(spark: SparkSession, tables: dict[str, str], strict: bool = False) -> DataFrame:
     """One row per table: does it exist, does it hold a row.
 
-    ``tables`` maps names to parquet paths or catalog names. With ``strict`` a table
-    that fails raises an error.
+    ``tables`` maps names to parquet paths or catalog names. Each is read up to its first
+    row, in one plan for all. With ``strict`` a table that fails raises an error.
     """
-    rows = []
-    for name, source in tables.items():
+    def checked(name: str, source: str) -> DataFrame:
         df = _open(spark, source)
-        exists = df is not None
-        rows.append((name, exists, exists and not df.isEmpty()))
-    failed = [name for name, _, filled in rows if not filled]
-    if strict and failed:
+        rows = spark.range(0) if df is None else df.limit(1)
+        return rows.agg((F.count("*") > 0).alias("has_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(df is not None).alias("found"), "has_rows")
+
+    gate = functools.reduce(DataFrame.unionByName, [checked(*t) for t in tables.items()])
+    failed = [r["table_name"] for r in gate.filter("not has_rows").collect()] if strict else []
+    if failed:
         raise ValueError(f"missing or empty: {', '.join(failed)}")
-    return spark.createDataFrame(rows, "table_name string, found boolean, has_rows boolean")
+    return gate
 
 
 def _open(spark: SparkSession, source: str) -> DataFrame | None:

@@ -12,53 +12,47 @@ from ..sources.pages import PAGE_SCHEMA
 from ..sources.tables import append_batch, read_batches
 
 
+VERSION = ("_time", "_file")
+
+
 def incremental_pages(
     spark: SparkSession, source: str, target: str, checkpoint: str,
     build: Callable[[DataFrame], DataFrame], max_files: int = 1000,
 ) -> int:
     """Run ``build`` on the page files added since the last run; number of batches.
 
-    Each micro-batch is written under its own number, so a batch that is replayed
-    after a failure replaces what it wrote before.
+    Of a page that comes several times the newest file counts (by time, then by name; in
+    one file by a hash of the page), whatever batch each came in. A micro-batch is written
+    under the id of its stream and its number: replayed after a failure it replaces what
+    it wrote, and another checkpoint does not overwrite it.
     """
+    batches = []
 
     def write(pages: DataFrame, batch: int) -> None:
-        append_batch(build(pages), f"{target}/chunks", batch)
-        append_batch(pages.select("page_id").distinct(), f"{target}/pages", batch)
-
-    query = (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files)
-             .parquet(source)
-             .writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        run = pages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        order = F.struct(*VERSION, F.xxhash64("url", "html"))
+        newest = pages.groupBy("page_id").agg(F.max_by(F.struct("*"), order).alias("row")).select("row.*")
+        append_batch(build(newest.drop(*VERSION)), f"{target}/chunks", f"{run}-{batch}")
+        append_batch(newest.select("page_id", *VERSION), f"{target}/pages", f"{run}-{batch}")
+        batches.append(batch)
+
+    read = (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source)
+            .select("*", F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file")))
+    query = (read.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"])
+    return len(batches)
 
 
 def current_chunks(spark: SparkSession, target: str) -> DataFrame:
-    """The chunks of each page from the last batch that held it.
+    """The chunks of each page from its newest file.
 
     Only the page ids are grouped; chunks move if the pages delivered again are too
     many to broadcast.
     """
     pages = read_batches(spark, f"{target}/pages")
-    again = (pages.groupBy("page_id").agg(F.max("batch").alias("newest"), F.count("*").alias("n"))
-             .filter("n > 1").drop("n"))
-    stale = pages.join(again, "page_id").filter("batch < newest").select("page_id", "batch")
+    newest = F.max_by("batch", F.struct(*VERSION, "batch")).alias("newest")
+    again = pages.groupBy("page_id").agg(newest, F.count("*").alias("n")).filter("n > 1").drop("n")
+    stale = pages.join(again, "page_id").filter("batch <> newest").select("page_id", "batch")
     chunks = read_batches(spark, f"{target}/chunks")
     return chunks.join(checked_broadcast(stale), ["page_id", "batch"], "left_anti").drop("batch")
-
-
-def active_streams(spark: SparkSession, prefix: str = "") -> list:
-    return [q for q in spark.streams.active if (q.name or "").startswith(prefix)]
-
-
-def stop_streams(spark: SparkSession, prefix: str = "") -> int:
-    queries = active_streams(spark, prefix)
-    for q in queries:
-        q.stop()
-    return len(queries)
-
-
-def await_streams(spark: SparkSession, prefix: str = "") -> None:
-    for q in active_streams(spark, prefix):
-        q.awaitTermination()

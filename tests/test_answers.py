@@ -119,7 +119,11 @@ def test_question_lists(spark):
     rows = [(1, '["a","b"]'), (2, "plain"), (3, "[]"), (4, '["c"')]
     parsed = questions_parse(spark.createDataFrame(rows, "doc_id bigint, response string"))
     assert [r["doc_id"] for r in parsed.filter("reject").orderBy("doc_id").collect()] == [2, 4]
-    assert pairs(question_rows(parsed)) == [(65536, 1, "a"), (65537, 1, "b")]
+    first = "00000000000000000001-000000000"
+    assert pairs(question_rows(parsed)) == [(first + "0", 1, 0, "a"), (first + "1", 1, 1, "b")]
+    far = spark.createDataFrame([(2**62, '["x","y"]'), (2**40 * 2**20, '["z"]')], "doc_id bigint, response string")
+    ids = [r["id"] for r in question_rows(questions_parse(far)).orderBy("id").collect()]
+    assert len(set(ids)) == 3 and [int(i[:20]) for i in ids] == [2**60, 2**62, 2**62]
 
 
 def test_training_set_with_one_large_document(spark, monkeypatch):
@@ -140,7 +144,7 @@ def test_deep_pages_over_the_whole_key_range(spark, monkeypatch, start, n):
     width = -(-2**64 // 8)
     keys = sorted({-top - 1, top, *(-top - 1 + width * i + d for i in range(1, 8) for d in range(-14, 14))})[:200]
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    monkeypatch.setattr(training, "SHALLOW_ROWS", 20)
+    monkeypatch.setattr(training, "NARROW_ROWS", 20)
     monkeypatch.setattr(training, "BINS", 8)
     assert [r["k"] for r in batch_page(df, "k", start, n).collect()] == keys[start:start + n]
 
@@ -149,11 +153,30 @@ def test_deep_pages_over_the_whole_key_range(spark, monkeypatch, start, n):
 def test_deep_pages(spark, monkeypatch, start, n):
     keys = sorted(random.Random(1).sample(range(-10**15, 10**15), 1990) + list(range(10)))
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    monkeypatch.setattr(training, "SHALLOW_ROWS", 50)
+    monkeypatch.setattr(training, "NARROW_ROWS", 50)
     monkeypatch.setattr(training, "BINS", 8)
     assert [r["k"] for r in batch_page(df, "k", start, n).collect()] == keys[start:start + n]
 
 
+@pytest.mark.parametrize("narrow", [10, 10_000])
+def test_pages_with_null_keys(spark, monkeypatch, narrow):
+    monkeypatch.setattr(training, "NARROW_ROWS", narrow)
+    df = spark.createDataFrame([(None,)] * 3 + [(k,) for k in range(1000)], "k bigint")
+    for start, n in ((0, 4), (600, 30), (997, 5), (999, 10), (1001, 5), (1003, 2)):
+        want = ([*range(1000), None, None, None])[start:start + n]
+        assert [r["k"] for r in batch_page(df, "k", start, n).collect()] == want
+
+
+def test_several_documents_in_one_prompt(spark):
+    from pagemill.plans.flows import build_prompts
+    docs = spark.createDataFrame([(i, f"u{i}", t) for i, t in enumerate(
+        ["red apple", "red apple tree", "blue sea", "red"])], "id bigint, url string, content string")
+    questions = spark.createDataFrame([(1, "red apple"), (2, "zzz qqq")], "question_id bigint, question string")
+    rows = {r["question_id"]: r for r in build_prompts(questions, embed(docs, "content"), docs, k=2, threshold=0.3).collect()}
+    assert "red apple\n\nred apple tree" in rows[1]["prompt"] and rows[1]["url"] == "u0"
+    assert rows[2]["document_id"] is None and "apple" not in rows[2]["prompt"]
+
+
 def test_resume_twice_is_once(spark):
     work = spark.range(100).withColumnRenamed("id", "k")
     done = spark.range(0, 100, 3).withColumnRenamed("id", "done_k")

@@ -130,7 +130,7 @@ def test_model_tokenizer(spark):
         import tiktoken
         by_byte = tiktoken.Encoding("bytes", pat_str=r"[\s\S]", special_tokens={},
                                     mergeable_ranks={bytes([i]): i for i in range(256)})
-        return by_byte.encode, by_byte.decode
+        return by_byte.encode_ordinary_batch, by_byte.decode_batch
 
     tokens = ModelTokens(setup)
     rows, = chunks(spark, ["abcd<h2>ef</h2>ijklmnopqrstu"], page_chunks, max_tokens=7, min_tokens=1,
@@ -140,3 +140,11 @@ def test_model_tokenizer(spark):
         (4, False, "abcd"), (17, True, "ef\nijkl")]
     df = spark.createDataFrame([("hello",), (None,)], "x string")
     assert [r[0] for r in df.select(tokens.count(F.col("x"))).collect()] == [5, None]
+
+
+def test_only_marked_texts_are_cut(spark):
+    from pyspark.sql import functions as F
+    tokens = ModelTokens(lambda: (lambda texts: [list(t) for t in texts], lambda lists: ["".join(l) for l in lists]))
+    df = spark.createDataFrame([(["abcdef", "abcdef", None], [True, False, False]), (None, None), ([], [])], "t array<string>, a array<boolean>")
+    assert [r[0] for r in df.select(tokens.truncate_each(F.col("t"), F.col("a"), 3)).collect()] == [["abc", "abcdef", None], None, []]
+    assert [r[0] for r in df.select(tokens.count_each(F.col("t"))).collect()] == [[6, 6, None], None, []]

@@ -25,8 +25,8 @@ def test_query(spark, con, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_only_the_kmeans_query_lacks_sql():
-    assert set(QUERIES) - set(entry.oracle_sql()) == {"topk_approx_kmeans"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == {name for m in entry.LIBRARY for name in m.ORACLE}
 
 
 def test_entry(spark):

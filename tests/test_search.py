@@ -48,8 +48,7 @@ def same(got, expected):
 
 @pytest.fixture
 def small_blocks(monkeypatch):
-    monkeypatch.setattr(search, "INDEX_BLOCK", 40)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(search, "CELL_TILE", 2)
 
 
 @pytest.fixture(scope="module")
@@ -64,7 +63,7 @@ def data():
     return queries, index
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("options", [{}, {"batch_bytes": 400}])
 @pytest.mark.parametrize("threshold", [None, 0.7])
 def test_topk_is_exact(spark, data, small_blocks, options, threshold):
     queries, index = data
@@ -82,20 +81,22 @@ def test_no_queries_no_index(spark, data):
     queries, index = data
     empty = vectors(spark, [])
     assert search.topk(empty.withColumnRenamed("id", "query_id"), vectors(spark, index), 3).count() == 0
-    for options in ({}, {"broadcast_bytes": 0}):
+    for options in ({}, {"batch_bytes": 400}):
         assert search.topk(vectors(spark, queries, "query_id"), empty, 3, **options).count() == 0
 
 
-def test_long_query_vector_is_refused(spark, data):
-    with pytest.raises(ValueError, match="max_dim"):
-        search.topk(vectors(spark, data[0], "query_id"), vectors(spark, data[1]), 1, max_dim=4)
+def test_any_length_of_vector(spark):
+    long = vectors(spark, [[1.0] * 5000, [1.0, 0.0]])
+    for options in ({}, {"batch_bytes": 50_000}):
+        got = rows(search.topk(long.withColumnRenamed("id", "query_id"), long, 1, **options))
+        assert [r[:3] for r in got] == [(0, 1, 0), (1, 1, 1)]
 
 
 def centers(index):
     return np.array([v for v in index if v and len(v) == DIM][:5])
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("options", [{}, {"batch_bytes": 400}])
 def test_all_cells_equal_exact(spark, data, small_blocks, options):
     queries, index = data
     usable = lambda vs: [v if v and len(v) == DIM and any(v) else None for v in vs]
@@ -106,19 +107,28 @@ def test_all_cells_equal_exact(spark, data, small_blocks, options):
     same(rows(got), brute(queries, index, 6))
     # Fewer cells: the same answer on both paths, and only part of the matches.
     few = [rows(search.topk_approx(vectors(spark, queries, "query_id"), indexed, cells, 6, 2, **o))
-           for o in ({}, {"broadcast_bytes": 0})]
+           for o in ({}, {"batch_bytes": 400})]
     assert few[0] == few[1]
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_words_of_any_script_are_found(spark, options):
+    words = ["ΟΔΟΣ", "İstanbul", "STRASSE", "ſ", "Ǆ", "京都"]
+    docs = spark.createDataFrame([(i, f"x {w} y") for i, w in enumerate(words)], "doc_id bigint, text string")
+    queries = spark.createDataFrame(list(enumerate(words)), "query_id bigint, text string")
+    got = {(r["query_id"], r["id"]) for r in keyword.keyword_search(queries, docs, 1, **options).collect()}
+    assert got == {(i, i) for i in range(len(words))}
+
+
 def test_recall_rises_with_probes(spark):
     index = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
     queries = index.withColumnRenamed("id", "query_id")
     cells = search.fit_cells(index, 8)
     indexed = search.assign_cells(index, cells).cache()
-    exact = set(r[:3:2] for r in rows(search.topk(queries, index, 10, max_dim=64)))
+    exact = set(r[:3:2] for r in rows(search.topk(queries, index, 10)))
     recall = []
     for probes in (1, 3, 8):
-        found = rows(search.topk_approx(queries, indexed, cells, 10, probes, max_dim=64))
+        found = rows(search.topk_approx(queries, indexed, cells, 10, probes))
         recall.append(len({r[:3:2] for r in found} & exact) / len(exact))
     assert recall[0] < recall[1] < recall[2] == 1.0
 
@@ -160,7 +170,7 @@ def bm25(queries, docs, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_terms": 0}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
 def test_keyword_search(spark, options, monkeypatch):
     monkeypatch.setattr(keyword, "TILE_CELLS", 50)
     monkeypatch.setattr(keyword, "DOC_BLOCK", 30)

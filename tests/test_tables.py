@@ -14,7 +14,9 @@ from pagemill.sources.sitemap import read_sitemap, write_sitemap
 from pagemill.sources.tables import (
     append_batch, guarded_build, nonempty_gate, preview, publish, read_batches,
 )
-from pagemill.streaming.incremental import active_streams, current_chunks, incremental_pages, stop_streams
+from pagemill.operators.vector_index import index_upsert
+from pagemill.sources.layout import stored
+from pagemill.streaming.incremental import current_chunks, incremental_pages
 
 
 def values(df):
@@ -154,21 +156,52 @@ def test_incremental_with_updates(spark, tmp_path):
     assert values(current_chunks(spark, f"{root}/out").select(*batch.columns)) == values(batch)
 
 
-def test_streams_by_prefix(spark, tmp_path):
-    rate = spark.readStream.format("rate").load()
-    query = rate.writeStream.format("noop").queryName("demo_one").option("checkpointLocation", str(tmp_path)).start()
-    assert [q.name for q in active_streams(spark, "demo")] == ["demo_one"] and not active_streams(spark, "other")
-    assert stop_streams(spark, "demo") == 1 and not query.isActive
+@pytest.mark.parametrize("max_files", [1, 10])
+def test_page_twice_in_any_batches(spark, tmp_path, max_files):
+    root = str(tmp_path)
+    schema = "page_id bigint, url string, html string"
+    for n in range(3):
+        rows = [(i, f"u{i}", f"<article>version{n} of {i}</article>") for i in range(n, 5)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        os.sync()
+    for state in ("a", "b"):  # a second checkpoint adds the same again
+        assert incremental_pages(spark, f"{root}/in", f"{root}/out", f"{root}/{state}", build_chunks, max_files) == (3 if max_files == 1 else 1)
+    got = {r["page_id"]: r["content"] for r in current_chunks(spark, f"{root}/out").collect()}
+    assert got == {0: "version0 of 0", 1: "version1 of 1", **{i: f"version2 of {i}" for i in (2, 3, 4)}}
+
+
+def test_upsert_of_null_versions(spark):
+    index = spark.createDataFrame([(1, "a")], "id bigint, v string")
+    updates = spark.createDataFrame([(1, "b", None), (2, "c", 1), (2, "d", None), (3, "e", None)], "id bigint, v string, version int")
+    assert values(index_upsert(index, updates, version="version")) == [(1, "b"), (2, "c"), (3, "e")]
+    with pytest.raises(Exception, match="updated twice"):
+        index_upsert(index, updates.drop("version")).collect()
 
 
 def test_shared_dir_follows_the_session(spark):
     from pagemill.session import _own_dir, new_dir, shared_dir
 
-    class Unset:
-        class conf:
-            get = staticmethod(lambda key, default: default)
-
-    assert shared_dir(Unset) == shared_dir(Unset) == _own_dir() and os.path.isdir(_own_dir())
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", _own_dir()).rstrip("/")
-    assert new_dir(spark, "x") != new_dir(spark, "x")
-    assert not os.path.exists(new_dir(spark, "x"))
+    def session(folder=None, context=None, master="local[2]"):
+        class Fake:
+            class conf:
+                get = staticmethod(lambda key, default: folder)
+
+            class sparkContext:
+                getCheckpointDir = staticmethod(lambda: context)
+        Fake.sparkContext.master = master
+        return Fake
+
+    assert shared_dir(session()) == _own_dir() and os.path.isdir(_own_dir())
+    assert shared_dir(session("/a/", "/b", "yarn")) == "/a" and shared_dir(session(None, "/b", "yarn")) == "/b"
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(session(master="spark://host:7077"))
+    assert new_dir(spark, "x") != new_dir(spark, "x") and not os.path.exists(new_dir(spark, "x"))
+
+
+def test_working_tables_are_deleted(spark, monkeypatch, tmp_path):
+    from pagemill import session
+    monkeypatch.setattr(session, "_RUN", "a-run-of-its-own")
+    stored(spark.range(3), "x")
+    assert os.path.isdir(session.run_dir(spark))
+    session.clear_working_tables(spark)
+    assert not os.path.exists(session.run_dir(spark))

@@ -1,9 +1,11 @@
 import random
+import time
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.functions.html import ARTICLE_BODY, element, html_to_text, page_title
+from pagemill.functions.html import ARTICLE_BODY, BLOCK_TAGS, element, html_to_text, page_title
 from pagemill.functions.text import (
     name_ascii, name_normalise, newline_cleanup, token_count, token_truncate,
 )
@@ -65,7 +67,7 @@ def test_entities_decode_once(spark):
     out = apply(spark, html_to_text, "&amp;lt;b&amp;gt; &lt;i&gt; &#233;&#xE9;&eacute;&#x1F600;",
                 "&bogus; &#0; &#xD800; &#99999999; & &;", "a<p>b</p>c<b>d</b><br/>e",
                 "x<!-- <p>no</p> -->y<style>p{}</style>z", "&nbsp;&#160;&apos;&#39;&quot;&copy;&NotEqualTilde;")
-    assert out == ["&lt;b&gt; <i> ééé\U0001F600", "&bogus; &#0; &#xD800; &#99999999; & &;",
+    assert out == ["&lt;b&gt; <i> ééé\U0001F600", "&bogus; \ufffd \ufffd \ufffd & &;",
                    "a\nb\ncd\ne", "xyz", "\u00a0\u00a0''\"©\u2242\u0338"]
 
 
@@ -82,3 +84,63 @@ def test_truncate_against_python(spark, seed):
     got = apply(spark, lambda c: token_truncate(c, 5), *texts)
     for text, out in zip(texts, got):
         assert out.split() == text.split()[:5] and text.startswith(out)
+
+
+class Reader(HTMLParser):
+    """Text as Python's own parser reads it, with the line ends of block tags."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.out.append("\n" * (tag in BLOCK_TAGS))
+        self.hidden += tag in ("script", "style")
+
+    def handle_startendtag(self, tag, attrs):
+        self.out.append("\n" * (tag in BLOCK_TAGS))
+
+    def handle_endtag(self, tag):
+        self.out.append("\n" * (tag in BLOCK_TAGS))
+        if tag in ("script", "style"):
+            self.hidden = max(0, self.hidden - 1)
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data)
+
+
+def parsed(page):
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return "".join(reader.out)
+
+
+PIECES = ["a", " < ", "<b>", "</b>", "<p>", "</p>", "<br/>", "<", " 1 <2> 3 ", "x", "&#150;", "&#x80;", "&#0;", "&amp;", "&eacute;", "&#233;",
+          "<script>if (a<b) '</p>'</script>", "<style>p{}</style>", "<!-- c <p> -->", "<!x>", "<?y>", "</ z>", "</>", "<articles>", ">", "-->"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_text_against_a_parser(spark, seed):
+    rnd = random.Random(seed)
+    pages = ["".join(rnd.choices(PIECES, k=rnd.randrange(1, 14))) for _ in range(300)]
+    pages += ["<p>if 1 < 2 then stop. Long tail here</p><p>second para</p>see <b>bold</b> end",
+              "x <b unclosed", "x <!-- un", "x <script>un", "<p>y</p> <script un", "a<script>b</script x>c", "x<", "a<b<c>d"]
+    for page, out in zip(pages, apply(spark, html_to_text, *pages)):
+        assert out == parsed(page), page
+    assert apply(spark, html_to_text, "x <!-- un <p>y</p>") == ["x <!-- un \ny\n"]
+
+
+@pytest.mark.parametrize("bad", ["<!--", "<script>", "<script ", "<style>", "<p ", "</div", "<", "<!-- -- >", "<b <!--", "</script ", "&"])
+def test_bad_megabyte_is_linear(spark, bad):
+    page = "<p>start</p>" + bad * (1_000_000 // len(bad))
+    start = time.time()
+    apply(spark, html_to_text, page, page + ">", page + "-->")
+    assert time.time() - start < 15
+
+
+def test_windows_references(spark):
+    codes = range(0x80, 0xA0)
+    page = "".join(f"&#{c};&#x{c:x};" for c in codes)
+    assert apply(spark, html_to_text, page) == [parsed(page)]
