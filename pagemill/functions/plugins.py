@@ -13,16 +13,12 @@ from pyspark.sql import functions as F
 
 def series_udf(fn: Callable[[pa.Array], pa.Array], returns: str):
     """Column function from a function of a batch of values."""
-
-    @F.arrow_udf(returns)
-    def run(values: pa.Array) -> pa.Array:
-        return fn(values)
-
-    return run
+    return iterator_udf(lambda: fn, returns)
 
 
 def iterator_udf(setup: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
-    """The same with ``setup()`` run once per task, for models that load slowly."""
+    """Column function from ``setup()``, which is run once per task and returns a function
+    of a batch; for models that load slowly."""
 
     @F.arrow_udf(returns)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
