@@ -89,7 +89,7 @@ class Counter:
         is given behind a character that no piece joins with it."""
         lead = [u[1:] if u[0] == MARK else None for u in units]
         inside = iter(self.model.encode(["\n" + u for u, l in zip(units, lead) if l is None], num_threads=1))
-        first = iter(self.model.encode([l for l in lead if l is not None], num_threads=1))
+        first = iter(self.model.encode([l for l in lead if l], num_threads=1))
         return [len(next(inside)) - self.before if l is None else len(next(first)) if l else 1 for l in lead]
 
     @property
