@@ -30,6 +30,7 @@ EPOCHS = 6
 RATE = 0.5
 CALIBRATE = 5          # every fifth sampled row calibrates instead
 FALSE_REJECTIONS = 0.002
+CEILING = 0.4          # a text half in one language, half in another, is not rejected
 UNKNOWN = "und"
 
 
@@ -146,7 +147,7 @@ def train(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     scale = min(s for s, l in losses.items() if l <= min(losses.values()) + 2 / len(held))
     right = _softmax(logits * scale)
     good = right.max(axis=1)[right.argmax(axis=1) == truth]
-    least = min(0.5, float(np.quantile(good, FALSE_REJECTIONS))) if len(good) else 0.0
+    least = min(CEILING, float(np.quantile(good, FALSE_REJECTIONS))) if len(good) else 0.0
     return Model(languages, table, bias, scale, least)
 
 
