@@ -17,7 +17,7 @@ from ..sources.layout import stored
 from .common import WORD
 
 REPEATS = 3
-PART_ROWS = 2_000    # documents of one source that are summed up in order together
+PART_ROWS = 256      # documents of one source that are summed up in order together
 RANGES = 4_096       # ranges of virtual time; only the one that holds the end is sorted
 
 #: Place in the order of a source: a hash of id and text, so it follows neither.
