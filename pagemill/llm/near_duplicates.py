@@ -1,12 +1,13 @@
 """Near-duplicates by ProbMinHash: signatures, bands, exact verification, classes.
 
-Each shingle of five words arrives at random times, the sooner the heavier it is (its
-weight is 1 + log of its count), and each arrival falls on one component of the signature; a
-component keeps the shingle that came first. Arrivals later than the slowest component
-change nothing, so each text stops early. Two signatures agree in a component with the
-probability Jaccard of their weighted shingles. Texts that agree in a whole band of
-components are candidates; a link is a Jaccard similarity of their shingle sets of
-``SIMILAR`` or more; a class is what links connect.
+Each shingle of five words arrives at random times, the sooner the heavier it is, and each
+arrival falls on one component of the signature; a component keeps the shingle that came
+first. Arrivals later than the slowest component change nothing, so each text stops
+early. Two signatures agree in a component with the probability Jaccard of their weighted
+shingles. A link is a Jaccard similarity of the shingle sets of ``SIMILAR`` or more, so
+each distinct shingle weighs 1, however often it occurs: the probability is then that very
+similarity. Texts that agree in a whole band of components are candidates; a class is what
+links connect.
 
 Exact copies are one node. A band does not pair all its texts: each is compared with the
 band's first text and its most typical one, then what is still apart is compared across
@@ -30,7 +31,7 @@ WIDTH = 5
 SIMILAR = 0.8
 BLOCK = 256  # texts of a band that are compared together
 BANDS = 24
-ROWS = 5   # a pair of similarity 0.8 shares none of the bands once in fifteen thousand times
+ROWS = 5   # a pair of similarity 0.8 shares none of the bands once in fourteen thousand times
 
 
 def prob_min_hash(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int, size: int) -> np.ndarray:
@@ -66,8 +67,8 @@ def _signed(width: int, bands: int, rows: int):
         for batch in batches:
             made, sizes = [], []
             for texts in groups(values_of(batch, "text")):
-                owner, hashes, count = counted(*shingles(texts, width))
-                made.append(_bands(prob_min_hash(owner, hashes, 1 + np.log(count), len(texts), bands * rows), bands, rows))
+                owner, hashes, _ = counted(*shingles(texts, width))
+                made.append(_bands(prob_min_hash(owner, hashes, np.ones(len(hashes)), len(texts), bands * rows), bands, rows))
                 sizes.append(np.bincount(owner, minlength=len(texts)))
             flat = np.concatenate(made).ravel() if made else np.zeros(0, np.int64)
             offsets = np.arange(0, len(flat) + 1, bands, dtype=np.int32)

@@ -58,6 +58,19 @@ def test_classes_equal_brute_force(spark):
     assert sorted(((str(r["id"]), r["class_id"], r["class_size"]) for r in found), key=str) == brute(rows)
 
 
+def test_lines_repeated_in_one_text_of_a_pair(spark):
+    rng = random.Random(11)
+    new = lambda n: " ".join("w%d" % rng.randrange(10**9) for _ in range(n))
+    texts = []
+    for _ in range(30):
+        body, footer = new(204), new(30)
+        texts += [body, body + (" " + footer) * 1000]
+    rows = list(enumerate(texts))
+    found = classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = sorted(((str(r["id"]), r["class_id"], r["class_size"]) for r in found), key=str)
+    assert got == brute(rows) and {r["class_size"] for r in found} == {2}
+
+
 def test_odd_rows(docs, empty, plain):
     found = classes(docs).collect()
     got = sorted(((str(r["id"]), r["class_id"], r["class_size"]) for r in found), key=str)
