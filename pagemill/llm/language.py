@@ -2,15 +2,21 @@
 
 A text is the mean of the embeddings of its hashed letter groups (two and three
 characters, word borders included); a linear softmax over it gives the language.
-``train`` fits both tables by stochastic gradient descent in numpy on a bounded sample,
-scales the scores on rows set aside for that, and sets the score below which a
-prediction is rejected. ``predict`` reads whole texts: embedding and output layer are
-both linear, so they are multiplied once and a text needs one look-up per letter group.
+``train`` fits both tables by stochastic gradient descent in numpy on a bounded sample
+and scales the scores on rows set aside for that. ``predict`` reads whole texts: embedding
+and output layer are both linear, so they are multiplied once and a text needs one look-up
+per letter group.
+
+A score only tells the learned languages from each other, so it rejects nothing. What is
+rejected are texts whose letter groups are rare in every learned language (``rarity``),
+rarer than those of nearly all rows set aside. Each group counts by the language that has
+it most, so a text of two learned languages is as familiar as one of either.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +36,7 @@ EPOCHS = 6
 RATE = 0.5
 CALIBRATE = 5          # every fifth sampled row calibrates instead
 FALSE_REJECTIONS = 0.002
-CEILING = 0.4          # a text half in one language, half in another, is not rejected
+DEVIATIONS = 3         # by so many standard errors a short text may look rarer by chance
 UNKNOWN = "und"
 
 
@@ -62,14 +68,37 @@ class Model:
     table: np.ndarray       # BUCKETS x languages: embedding times output layer
     bias: np.ndarray
     scale: float
-    least: float            # a lower score is rejected
+    rarity: np.ndarray      # BUCKETS: minus log of the share in the language that has it most
+    least: float            # a lower familiarity is rejected
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities of each language, and the number of letter groups."""
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of each language, the number of letter groups, and familiarity."""
         owner, bucket = letter_groups(texts)
         n = np.bincount(owner, minlength=len(texts))
         sums = np.stack([np.bincount(owner, self.table[bucket, k], len(texts)) for k in range(len(self.languages))], 1)
-        return _softmax((sums / np.maximum(n, 1)[:, None] + self.bias) * self.scale), n
+        rare = self.rarity[bucket]
+        some = np.maximum(n, 1)
+        mean, square = (np.bincount(owner, x, len(texts)) / some for x in (rare, rare * rare))
+        return _softmax((sums / some[:, None] + self.bias) * self.scale), n, _familiarity(mean, square, some)
+
+
+def _familiarity(mean, square, n):
+    """Minus the mean rarity of ``n`` letter groups, with what chance may add to it."""
+    return DEVIATIONS * np.sqrt(np.maximum(square - mean * mean, 0) / n) - mean
+
+
+def _rarity(data: list[tuple]) -> np.ndarray:
+    """Rarity of each letter group, from the rows ``language, aside, buckets, counts`` by
+    language. Groups not seen in a language share as much as one count each, or as all
+    that were seen if these are fewer."""
+    most = np.zeros(BUCKETS)
+    for _, rows in itertools.groupby(data, lambda row: row[0]):
+        seen = np.zeros(BUCKETS)
+        for _, _, bucket, n in rows:
+            seen[np.array(bucket)] += n
+        extra = min(1.0, seen.sum() / BUCKETS)
+        most = np.maximum(most, (seen + extra) / (seen.sum() + extra * BUCKETS))
+    return -np.log(most)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -121,6 +150,8 @@ def train(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     fit = [(y, np.array(b), np.array(c) / sum(c)) for y, aside, b, c in data if not aside]
     held = [(y, np.array(b), np.array(c) / sum(c)) for y, aside, b, c in data if aside] or fit
     fit = fit or held
+    rarity = _rarity([row for row in data if not row[1]] or data)
+    size = np.array([sum(c) for _, aside, _, c in data if aside] or [sum(c) for *_, c in data])
     embedding = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     output, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     steps, done = EPOCHS * len(fit), 0
@@ -145,30 +176,31 @@ def train(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     # The mildest scale that the rows set aside cannot tell from the best one.
     losses = {s: loss(s) for s in (2.0 ** k for k in range(-3, 7))}
     scale = min(s for s, l in losses.items() if l <= min(losses.values()) + 2 / len(held))
-    right = _softmax(logits * scale)
-    good = right.max(axis=1)[right.argmax(axis=1) == truth]
-    least = min(CEILING, float(np.quantile(good, FALSE_REJECTIONS))) if len(good) else 0.0
-    return Model(languages, table, bias, scale, least)
+    mean, square = (np.array([share @ rarity[bucket] ** k for _, bucket, share in held]) for k in (1, 2))
+    good = _familiarity(mean, square, size)[logits.argmax(axis=1) == truth]
+    least = float(np.quantile(good, FALSE_REJECTIONS)) if len(good) else -np.inf
+    return Model(languages, table, bias, scale, rarity, least)
 
 
 def _predicted(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            languages, scores = [], []
+            languages, scores, rejected = [], [], []
             for texts in groups(values_of(batch, "text")):
                 if model is None:
                     languages += [UNKNOWN] * len(texts)
                     scores += [0.0] * len(texts)
+                    rejected += [True] * len(texts)
                     continue
-                p, n = model.scores(texts)
+                p, n, familiar = model.scores(texts)
                 best = p.argmax(axis=1)
                 languages += [model.languages[k] if m else UNKNOWN for k, m in zip(best, n)]
                 scores += np.where(n > 0, p.max(axis=1), 0.0).tolist()
-            least = 0.0 if model is None else model.least
+                rejected += ((n == 0) | (familiar < model.least)).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(languages, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array([l == UNKNOWN or s < least for l, s in zip(languages, scores)], pa.bool_())], names)
+                 pa.array(rejected, pa.bool_())], names)
     return run
 
 
@@ -176,7 +208,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
     """``doc`` (the columns ``keep``, all by default), ``lang_pred, score, rejected``.
 
     A null text and one without letters are ``und`` with score 0, and rejected; so is
-    every text without a model. Rows are predicted each for itself, from the text alone.
+    every text without a model; so is a text of letter groups that are rare in all learned
+    languages, whatever its score. Rows are predicted each for itself, from the text alone.
     The model has a fixed number of rows and at most ``LANGUAGES`` columns, so it is
     broadcast.
     """

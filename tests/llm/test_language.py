@@ -44,6 +44,23 @@ def test_learned_and_unknown(spark, docs, plain):
     assert len(rows) == len(plain) and rows[0]["doc"].asDict().keys() == set(docs.columns)
 
 
+def test_unlearned_is_rejected_and_two_languages_are_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train(docs)
+    def rejected(texts):
+        rows = predict(spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1), model).collect()
+        return [r["rejected"] for r in sorted(rows, key=lambda r: r["doc"]["i"])]
+    rng = np.random.default_rng(2)
+    junk = "".join(rng.choice(list("bcdfghjklmnpqrstvwxz "), 300))
+    assert rejected(["кириллица и другие слова", "日本語のテキスト", "Ελληνικά κείμενο", junk]) == [True] * 4
+    by = {l: [r["text"][:600] for r in docs.filter((F.col("lang") == l) & (F.length("text") > 600)).orderBy("doc_id").limit(10).collect()] for l in ("de", "en", "fr")}
+    both = [f"{a} {b}" for x, y in (("de", "en"), ("fr", "de"), ("en", "fr")) for a, b in zip(by[x], by[y])]
+    assert sum(rejected(both)) <= 1
+    two = train(_labelled(spark))
+    out = predict(spark.createDataFrame([("qqqq xxxx кириллица",), ("кириллица",)], "text string"), two).collect()
+    assert all(r["rejected"] for r in out)
+
+
 def test_same_model_again(spark):
     a, b = train(_labelled(spark)), train(_labelled(spark).repartition(5))
     assert np.array_equal(a.table, b.table) and a.least == b.least
