@@ -48,3 +48,20 @@ def ranked(rows: DataFrame, group: str, order: list[Column], label: str, part_ro
                          F.sum("rows").over(all_of).alias("n"))
     joined = placed.join(checked_broadcast(starts), (F.col("part") == F.col("_part")) & F.col(group).eqNullSafe(F.col("_group")))
     return joined.withColumn("rank", place() + F.col("_shift")).drop("mid", "part", "_part", "_group", "_shift")
+
+
+def running(placed: DataFrame, group: str, value: str, out: str) -> DataFrame:
+    """``placed`` with ``out``: the sum of ``value`` over the rows before, in the same group.
+
+    ``placed`` is a stored table with ``part`` and ``mid``, ordered by group first, so at most one
+    group of each part begins in an earlier one. Only that one's carry is broadcast.
+    """
+    before = Window.unboundedPreceding, -1
+    local = Window.partitionBy("part", group).orderBy("mid").rowsBetween(*before)
+    sums = placed.groupBy("part", group).agg(F.sum(value).alias("_sum"))
+    ahead = F.sum("_sum").over(Window.partitionBy(group).orderBy("part").rowsBetween(*before))
+    carry = sums.select(F.col("part").alias("_part"), F.col(group).alias("_group"), ahead.alias("_carry")).filter("_carry > 0")
+    rows = placed.withColumn(out, F.coalesce(F.sum(value).over(local), F.lit(0)))
+    met = (F.col("part") == F.col("_part")) & F.col(group).eqNullSafe(F.col("_group"))
+    return (rows.join(checked_broadcast(carry), met, "left")
+            .withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0))).drop("_part", "_group", "_carry"))
