@@ -14,9 +14,10 @@ grammar's own where the labels say nothing.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -29,8 +30,7 @@ from pyspark.sql import functions as F
 
 from .encoding import values_of
 
-SAMPLE = 20_000        # labelled rows of either class that are learned from, in expectation
-CANDIDATES = 5_000     # terms that are looked at when terms are chosen
+SAMPLE = 50_000        # labelled rows of either class that are learned from, in expectation
 BEGINNINGS = range(4, 10)
 LEAST = 3              # toxic texts that a term must occur in
 PRECISE, DOUBTFUL = 0.97, 0.85  # share of a term's rates that is the toxic one
@@ -202,19 +202,34 @@ def choose_terms(candidates: list[str], texts: list[set[int]], least: int = LEAS
             if shorter is not None:
                 longer[shorter] = max(longer[shorter], n)
     usable = {t for t, n in total.items() if longer[t] < 0.95 * n}
-    left, chosen = [terms & usable for terms in texts], []
-    while left:
-        hits = Counter(t for terms in left for t in terms)
-        best = max(hits, key=lambda t: (hits[t], len(candidates[t]), candidates[t]), default=None)
-        if best is None or hits[best] < least:
+    # Counts only fall, so what lies in the heap is an upper bound until it is looked at.
+    rank = {t: i for i, t in enumerate(sorted(usable, key=lambda t: (len(candidates[t]), candidates[t])))}
+    holders: dict[int, list[int]] = defaultdict(list)
+    for i, terms in enumerate(texts):
+        for t in terms & usable:
+            holders[t].append(i)
+    hits, left, chosen = {t: len(at) for t, at in holders.items()}, [True] * len(texts), []
+    heap = [(-n, -rank[t], t) for t, n in hits.items()]
+    heapq.heapify(heap)
+    while heap:
+        bound, order, best = heapq.heappop(heap)
+        if -bound != hits[best]:
+            heapq.heappush(heap, (-hits[best], order, best))
+            continue
+        if hits[best] < least:
             break
         chosen.append(best)
-        left = [terms for terms in left if best not in terms]
+        for i in holders[best]:
+            if left[i]:
+                left[i] = False
+                for t in texts[i] & usable:
+                    hits[t] -= 1
     often = [t for t in usable if total[t] >= max(8, len(texts) / 50)]
-    kept: list[str] = []
+    kept: set[str] = set()
     for name in sorted({candidates[t] for t in (*chosen, *often)}, key=lambda t: (not t.endswith("*"), len(t), t)):
-        if not any(k.endswith("*") and name.rstrip("*").startswith(k[:-1]) for k in kept):
-            kept.append(name)
+        stem = name.rstrip("*")
+        if not any(stem[:k] + "*" in kept for k in range(1, len(stem) + 1)):
+            kept.add(name)
     return tuple(sorted(kept))
 
 
@@ -249,8 +264,8 @@ def train(docs: DataFrame, labels: DataFrame, store, id: str = "doc_id", text: s
     rate = F.col("toxic") / sizes[1]
     other = F.col("clean") / max(1, sizes.get(0, 0))
     share = rate / (rate + other)
-    found = counted.select("term", "toxic", share.alias("share")).filter((F.col("toxic") >= LEAST) & (F.col("share") >= DOUBTFUL))
-    candidates = {r["term"]: r["share"] for r in found.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()}
+    found = store(counted.select("term", "toxic", share.alias("share")).filter((F.col("toxic") >= LEAST) & (F.col("share") >= DOUBTFUL)))
+    candidates = {r["term"]: r["share"] for r in _telling(found).collect()}
     present = rows.filter("toxic = 1").select("text").mapInArrow(_terms_present(list(candidates)), "terms array<int>")
     chosen = choose_terms(list(candidates), [set(r["terms"]) for r in present.collect()])
     terms = tuple((t, "insult" if candidates[t] >= PRECISE else "doubtful") for t in chosen)
@@ -258,6 +273,19 @@ def train(docs: DataFrame, labels: DataFrame, store, id: str = "doc_id", text: s
     return Model(terms, *_fit(data, clean_weight))
 
 
+def _telling(terms: DataFrame) -> DataFrame:
+    """Terms without the beginnings whose texts nearly all have one and the same longer one.
+
+    What is left are at most the different words of the sampled toxic texts that occur in
+    ``LEAST`` of them and in hardly a clean one, and the beginnings that join several.
+    """
+    stem = F.regexp_replace("term", r"\*$", "")
+    shorter = F.explode(F.transform(
+        F.filter(F.lit([*BEGINNINGS]), lambda k: k < F.length(stem)), lambda k: F.concat(F.substring(stem, F.lit(1), k), F.lit("*"))))
+    longer = terms.select(shorter.alias("term"), "toxic").groupBy("term").agg(F.max("toxic").alias("longer"))
+    return terms.join(longer, "term", "left").filter(F.coalesce("longer", F.lit(0)) < 0.95 * F.col("toxic")).select("term", "share")
+
+
 def _features(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,21 +296,34 @@ def _features(model: Model):
 
 def _fit(data: list, clean_weight: float, pull: float = 1.0, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Logistic regression by Newton steps; weights are pulled to the grammar's own. Clean
-    rows count for those that were not sampled."""
+    rows count for those that were not sampled.
+
+    A step is halved until the loss falls. The loss is convex, so this ends at its only
+    minimum; should numbers fail it, the grammar's own weights stand.
+    """
     x = np.column_stack((np.array([r["counts"] for r in data]), np.ones(len(data))))
     y, n = np.array([r["toxic"] for r in data]), np.array([r["count"] for r in data], float)
     n = np.where(y == 1, n, n * clean_weight)
     start = np.append(PRIOR, -3.0)
-    w = start.copy()
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(n @ (np.logaddexp(0, z) - y * z) + pull / 2 * ((w - start) ** 2).sum())
+
+    w, now = start.copy(), loss(start)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         slope = x.T @ (n * (p - y)) + pull * (w - start)
+        if np.abs(slope).max() < 1e-6 * max(1.0, n.sum()):
+            return w[:-1], float(w[-1])
         curve = (x * (n * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
-        step = np.linalg.solve(curve, slope)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while size > 1e-12 and not (then := loss(w - size * step)) <= now - 1e-4 * size * float(slope @ step):
+            size /= 2
+        if size <= 1e-12:
             break
-    return w[:-1], float(w[-1])
+        w, now = w - size * step, then
+    return start[:-1], float(start[-1])
 
 
 def _scored(shared):
@@ -298,8 +339,9 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text: st
     """``doc`` (the columns ``keep``, all by default), ``score`` (0 to 1) and ``predicted``.
 
     A null text is an empty one; it has no match and the score of such texts. Rows are
-    scored each for itself, from the text alone. The model is a list of at most some
-    thousand terms, so it is broadcast.
+    scored each for itself, from the whole text alone. The model's terms each cover ``LEAST``
+    texts of the sample that no other covers, or many of it, so they are bounded by the sample
+    and are broadcast.
     """
     rows = docs.select(F.struct(*(keep or ["*"])).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -1,7 +1,14 @@
+import random
+from itertools import product
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.llm.registry import QUERIES
-from pagemill.llm.toxicity import KINDS, Model, choose_terms, grammar, score, terms_of, train
+from pagemill.llm.toxicity import (
+    KINDS, NEGATION_REACH, PRIOR, SYMBOLS, TARGET_REACH, Model, _clause, _fit, _reach, choose_terms, grammar, score, terms_of, train,
+)
 
 SF = "/root/testdata/sf0.1"
 MODEL = Model((("idiot", "insult"), ("lowei*", "insult"), ("shab*", "doubtful")))
@@ -38,9 +45,15 @@ def test_weights_order_clauses():
 
 
 def test_composition_reads_as_its_parts():
-    machine = grammar()
-    assert {len(mark) for _, mark in machine.steps.values()} == {3}
-    assert all(0 <= state < machine.states for state, _ in machine.steps.values())
+    machine, parts = grammar(), (_reach("target", TARGET_REACH), _reach("negation", NEGATION_REACH), _clause("report"))
+    rng = random.Random(0)
+    for _ in range(200):
+        state, alone = 0, [0, 0, 0]
+        for symbol in rng.choices(SYMBOLS, k=30):
+            state, marks = machine.steps[state, symbol]
+            for k, part in enumerate(parts):
+                alone[k], (mark,) = part.steps[alone[k], symbol]
+                assert marks[k] == mark
 
 
 def test_chosen_terms():
@@ -66,3 +79,30 @@ def test_learned_from_labels(spark, docs, empty, plain):
 
 def test_terms():
     assert {"a", "don't", "grüße", "grüß*"} <= terms_of("A don't GRÜßE.")
+
+
+@pytest.mark.parametrize("n", [300, 1_500, 10_000])
+def test_any_number_of_insult_words(spark, n):
+    """Each word in four toxic texts, as many clean texts: no term is out of reach."""
+    rng = random.Random(n)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    some = lambda: "".join(rng.choices(letters, k=10))
+    words, common = [some() for _ in range(n)], [some() for _ in range(400)]
+    filler = lambda: " ".join(rng.choices(common, k=6))
+    rows = [(4 * i + k, f"{filler()} {w} {filler()}", 1) for i, w in enumerate(words) for k in range(4)]
+    rows += [(1_000_000 + i, filler(), 0) for i in range(4 * n)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(8)
+    model = train(texts.drop("toxic"), texts.select("doc_id", "toxic"), lambda df: df.cache())
+    found = score(texts, model).select("doc.toxic", "predicted").groupBy("toxic").agg(F.sum("predicted"), F.count("*"))
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == {1: (4 * n, 4 * n), 0: (0, 4 * n)}
+
+
+def test_fit_converges_where_many_toxic_rows_have_no_match():
+    kind = np.eye(len(KINDS))[0]
+    rows = [{"toxic": 1, "counts": kind * 0, "count": 6_000}, {"toxic": 1, "counts": kind, "count": 3_000}, {"toxic": 0, "counts": kind * 0, "count": 6_000}]
+    weights, bias = _fit(rows, 1.0)
+    assert abs(bias) < 0.01 and weights[0] > 5  # half of the rows without a match are toxic
+    for counts, clean in product((1e6, 1.0), (1.0, 1e4)):
+        weights, bias = _fit([{"toxic": 1, "counts": kind * 8, "count": counts}, {"toxic": 0, "counts": kind * 0, "count": 1}], clean)
+        assert np.isfinite(weights).all() and bias + 8 * weights[0] > 1 and bias < 0
+    assert (_fit([{"toxic": 0, "counts": kind * 0, "count": 5}], 1.0)[0] == PRIOR).all()
