@@ -17,7 +17,6 @@ from .common import SPACE, WORD, positions, word_list
 
 WINDOW = 8
 LINE_DOCUMENTS = 10     # a line is frequent from so many documents of its host on
-LINE_SHARE = 0.01       # and from this share of the host's documents on
 LEAST_WORDS = 20        # words that a document must keep
 LEAST_SHARE = 0.3       # and the share of its words
 
@@ -73,8 +72,11 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
         F.col("lines.each").alias("lines"))
 
 
-def frequent_lines(measures: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """``host, line, documents`` above both limits. Copies of one text count once.
+def frequent_lines(measures: DataFrame, documents: int = LINE_DOCUMENTS, share: float = 0.0) -> DataFrame:
+    """``host, line, documents`` of lines in so many documents. Copies of one text count once.
+
+    Whether a line is frequent does not depend on what else its host holds. With ``share``, it
+    must also stand in that share of the host's documents.
 
     Counting combines before the shuffle, so a line of every document is no large group.
     """
@@ -89,8 +91,12 @@ def frequent_lines(measures: DataFrame, documents: int = LINE_DOCUMENTS, share:
 
 
 def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source",
-           documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """``id``, the counts, ``n_line_words`` (words in frequent lines), ``base_failed`` and ``kept``."""
+           documents: int = LINE_DOCUMENTS, share: float = 0.0) -> DataFrame:
+    """``id``, the counts, ``n_line_words`` (words in frequent lines), ``base_failed`` and ``kept``.
+
+    Every row is judged, equal ones each for itself. A null or empty text has no words and
+    fails; a null host is a host of its own. An empty table has no rows.
+    """
     rows = stored(measured(docs, id, text, host), "quality")
     lines = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
     taken = (lines.join(frequent_lines(rows, documents, share).select("host", "line"), ["host", "line"])

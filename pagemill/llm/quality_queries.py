@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import documents
-from .quality import LEAST_SHARE, LEAST_WORDS, LINE_DOCUMENTS, LINE_SHARE, judged
+from .quality import LEAST_SHARE, LEAST_WORDS, LINE_DOCUMENTS, judged
 
 
 def quality_query(spark, d):
@@ -28,9 +28,7 @@ l AS (SELECT doc_id, host, text, x, trim(regexp_replace(regexp_replace(lower(x),
   len(regexp_extract_all(x, '[^{_SPACE}]+')) AS words
   FROM (SELECT *, unnest(string_split(text, chr(10))) AS x FROM t) WHERE regexp_matches(x, '[^{_SPACE}]')),
 dup AS (SELECT doc_id, (count(*) - count(DISTINCT x))::BIGINT AS n FROM l GROUP BY doc_id),
-h AS (SELECT host, count(DISTINCT text) AS texts FROM t GROUP BY host),
-f AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM l GROUP BY ALL) JOIN h USING (host)
-  WHERE n >= {LINE_DOCUMENTS} AND n >= {LINE_SHARE} * texts),
+f AS (SELECT host, line FROM l GROUP BY ALL HAVING count(DISTINCT text) >= {LINE_DOCUMENTS}),
 gone AS (SELECT doc_id, sum(words)::BIGINT AS n FROM l SEMI JOIN f USING (host, line) GROUP BY doc_id),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[{_SPACE}]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,

@@ -46,6 +46,19 @@ def test_frequent_lines_and_depleted_documents(spark):
     assert "FOOTER" not in clean[3] and clean[3] == prose(503, 30) and clean[50] == "short 0" and "footer" in clean[99]
 
 
+def test_the_size_of_a_host_does_not_matter(spark):
+    """One line in 15 documents, on a host of 100 documents and on one of 3,000."""
+    line = "this line stands at the end of fifteen documents of either host whatever else the host may hold and it is long enough"
+    rows = [(1_000_000 * n + i, prose(1_000_000 * n + i, 25) if i >= 15 else f"{prose(1_000_000 * n + i, 3)}\n{line}", f"h{n}")
+            for n in (100, 3_000) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = {r["id"]: r["kept"] for r in judged(df).collect()}
+    assert all(kept[id] == (id % 1_000_000 >= 15) for id, _, _ in rows)
+    # Of each host's share, only when it is asked for.
+    found = frequent_lines(measured(df), share=0.01).collect()
+    assert [(r["host"], r["documents"]) for r in found] == [("=h100", 15)]
+
+
 def test_odd_rows(docs, empty, plain):
     rows = judged(docs).collect()
     assert len(rows) == len(plain)
