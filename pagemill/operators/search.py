@@ -1,7 +1,7 @@
 """Top-k by cosine: exact, thresholded, filtered, and approximate.
 
 No plan here emits a row per pair. A task scores blocks of vectors with one matrix
-product and keeps the k best of each query; only those are shuffled.
+product and keeps the k best of each query.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import new_dir
 from ..sources.layout import checked_broadcast, gathered, stored
+from .bounded_search import BLOCK_BYTES, probed_blocks, topk_blocks
 from .joins import skew_join
 from .kernels import BestMatches, add_cosines, unit_rows
 
@@ -50,8 +50,9 @@ def topk(
     Scores are rounded to six digits; equal scores rank by id. ``threshold`` is a
     lowest score. Filter ``index`` first to search within a predicate.
 
-    The index is never moved: batches of queries of at most ``batch_bytes`` are sent to
-    all tasks one after the other and meet the index where it lies.
+    Queries of at most ``batch_bytes`` are sent to all tasks and meet the index where it
+    lies. More of them meet it in blocks, of which those are skipped whole that cannot
+    hold a result (``bounded_search``).
     """
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("v"))
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"))
@@ -59,18 +60,14 @@ def topk(
 
 
 def _searched(q: DataFrame, x: DataFrame, k: int, threshold: float | None, skip_same_id: bool, batch_bytes: int) -> DataFrame:
-    """All batches of queries over the index. More than one batch is stored by batch, and
-    so is the result of each, so that a lost executor repeats one batch."""
+    """Queries measured to be small are sent to the index where it lies; more of them meet it
+    in blocks on executors."""
     rows, longest = q.agg(F.count("*"), F.max(F.array_size("v"))).first()
-    batches = max(1, min(rows, -(-rows * 8 * (longest or 0) // max(1, batch_bytes))))
-    if batches == 1:
+    if rows * 8 * (longest or 0) <= batch_bytes:
         return _rank(_scan(x, q.toArrow(), k, threshold, skip_same_id), k)
-    parted = stored(q.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches))), "queries", "batch")
-    path = new_dir(q.sparkSession, "matches")
-    for batch in range(batches):
-        mine = parted.filter(F.col("batch") == batch).drop("batch").toArrow()
-        _rank(_scan(x, mine, k, threshold, skip_same_id), k).write.mode("append").parquet(path)
-    return q.sparkSession.read.parquet(path)
+    block_bytes = min(batch_bytes, BLOCK_BYTES)
+    search = probed_blocks if "cells" in q.columns else topk_blocks
+    return _rank(search(q, x, k, threshold, skip_same_id, block_bytes), k)
 
 
 def _scan(index: DataFrame, queries: pa.Table, k: int, threshold: float | None, skip_same_id: bool) -> DataFrame:
@@ -189,8 +186,8 @@ def topk_approx(
 ) -> DataFrame:
     """Top-k among the ``probes`` nearest cells; with all cells it is exact.
 
-    ``index`` has a ``cell`` column from ``assign_cells``. As in ``topk``, batches of
-    queries are sent to the index and meet the cells they probe where these lie.
+    ``index`` has a ``cell`` column from ``assign_cells``. As in ``topk``, few queries are
+    sent to the cells they probe; more meet them in blocks of one cell.
     """
     x = index.select(F.col(index_id).cast("bigint").alias("id"), F.col(vector).alias("v"), "cell")
     q = queries.select(
