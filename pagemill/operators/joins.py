@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import whole_part
+from ..sources.layout import checked_broadcast, stored
 
 HOT_ROWS = 1_000_000
 SALTS = 64
+RANGE_ROWS = 100_000
 
 
 def skew_join(
@@ -34,33 +35,50 @@ def skew_join(
     return spread_left.join(spread_right, [key, "_salt"], how).drop("_salt")
 
 
+def in_ranges(df: DataFrame, key: str, order: str, width: int = RANGE_ROWS) -> DataFrame:
+    """``df`` stored in ranges of ``(key, order)`` with about ``width`` rows each, numbered by
+    ``_range`` in that order (null keys first). Ranges are cut by counts of rows, so neither a
+    large key nor orders far apart, such as time stamps, make one large or very many.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // width))
+    ranged = df.repartitionByRange(parts, F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first())
+    return stored(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def preceding_rows(
     df: DataFrame, key: str, order: str, payload: list[str], n: int, out: str = "history",
-    width: int = 4096,
+    width: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add an array with the payload of the last ``n`` rows before each row.
 
-    ``order`` is an integer, unique within ``key``. A key is cut into ranges of
-    ``width`` order values, so a task sorts at most ``width`` rows of it. What a
-    range needs from earlier ones is carried by the last ``n`` rows of each range:
-    the ``n`` ranges before it hold at least ``n`` rows.
+    ``order`` is unique within ``key``. A task sorts the rows of one range. Only a key that
+    spans ranges needs rows of earlier ones: the last ``n`` rows of each of its ranges are
+    carried to the ``n`` ranges that follow, which hold at least ``n`` rows.
     """
     entry = F.struct(order, *payload)
-    parts = df.withColumn("_range", whole_part(F.col(order), width))
+    parts = in_ranges(df, key, order, width)
     own = Window.partitionBy(key, "_range").orderBy(order)
     rows = parts.withColumn("_own", F.collect_list(entry).over(own.rowsBetween(-n, -1)))
 
+    # Every range but the first begins in at most one such key.
+    spans = checked_broadcast(parts.groupBy(key).agg(F.min("_range").alias("_from"), F.max("_range").alias("_to"))
+                              .filter("_to > _from").select(F.col(key).alias("_key"), "_to"))
     newest_first = Window.partitionBy(key, "_range").orderBy(F.desc(order))
-    tails = (parts.select(key, "_range", order, *payload)
+    tails = (parts.join(spans, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") < F.col("_to")))
+             .select(key, "_range", order, *payload)
              .withColumn("_back", F.row_number().over(newest_first))
              .filter(F.col("_back") <= n)
              .groupBy(key, "_range")
              .agg(F.array_sort(F.collect_list(entry)).alias("_tail")))
+    carried = (parts.join(spans, F.col(key).eqNullSafe(F.col("_key"))).select(key, "_range").distinct()
+               .join(tails.select(F.col(key).alias("_key"), F.col("_range").alias("_of"), "_tail"),
+                     F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of")), "left"))
     before = Window.partitionBy(key).orderBy("_range").rowsBetween(-n, -1)
-    carry = (tails.select(key, "_range", F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
+    carry = (carried.select(F.col(key).alias("_key"), F.col("_range").alias("_of"), F.flatten(F.filter(
+                F.collect_list(F.coalesce("_tail", F.array().cast(tails.schema["_tail"].dataType))).over(before), lambda t: F.size(t) > 0)).alias("_carry"))
              .filter(F.size("_carry") > 0))
 
-    joined = rows.join(carry, [key, "_range"], "left")
+    joined = rows.join(carry, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of")), "left")
     both = F.concat(F.coalesce(F.col("_carry"), F.expr("slice(_own, 1, 0)")), F.col("_own"))
     last = F.slice(both, F.greatest(F.size(both) - n + 1, F.lit(1)), F.lit(n))
-    return joined.withColumn(out, last).drop("_range", "_own", "_carry")
+    return joined.withColumn(out, last).drop("_range", "_own", "_carry", "_key", "_of")
