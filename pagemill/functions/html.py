@@ -1,9 +1,10 @@
 """HTML to text by column expressions.
 
-Regular expressions are no full parser: ``>`` inside an attribute value and
-entities without a semicolon are taken literally. A ``<`` that opens no tag, and a tag or
-comment that is never closed, is text. Every pattern is given only text in which it must
-succeed where it begins, so the work grows with the length of the page.
+Markup is read by regular expressions. Pages with an angle bracket inside a quoted attribute
+value, where these would end a tag too early, first pass a small state machine that writes such
+brackets as entities. A ``<`` that opens no tag, and a tag or comment that is never closed, is
+text. Every pattern is given only text in which it must succeed where it begins, so the work
+grows with the length of the page.
 """
 
 from __future__ import annotations
@@ -39,7 +40,15 @@ INVISIBLE = rf"(?is){HIDDEN}|(<(?:/?[a-z]|[!?/])[^>]*>)"
 # Any tag or hidden part; the group is filled when a tag ends a line.
 MARKUP = rf"(?is){HIDDEN}|<(?:/?({'|'.join(BLOCK_TAGS)})(?=[\s/>])|/?[a-z]|[!?/])[^>]*>"
 FOUND, NAMED = "\ufdd2", "\ufdd3"
-ENTITY_PIECES = r"&#?[0-9A-Za-z]{1,32};|[^&]+|&"
+# Where a page has such characters itself, they are spelled with this one meanwhile.
+SPELLED = "\ufdd4"
+ENTITY_PIECES = r"&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|&[0-9A-Za-z]{1,32};?|[^&]+|&"
+
+# What a page is cut into for the state machine, and the kinds of these pieces.
+_PIECES = (r"(?is)<!--|-->|</?(?:script|style)(?=[\s/>])|</?[a-z]|</|<[!?]|[<>\"'=/]|\s+|[^<>\"'=/\s\-]+|-")
+_KINDS = ("other", "space", '"', "'", "=", "/", ">", "<a", "<", "<!--", "-->", "<script", "</script", "<style", "</style", "</")
+# A quoted value that holds an angle bracket.
+_SUSPECT = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
 
 # Where the article body and its title are found.
 ARTICLE_BODY = ("div", "itemprop", "articleBody")
@@ -47,6 +56,102 @@ H1 = "<h1>(.*?)</h1>"
 MARK = "\u0001"
 
 
+@functools.cache
+def _transitions() -> tuple[list[int], list[int]]:
+    """``next[state * kinds + kind]``, and the states inside a quoted value.
+
+    Outside: ``text``, ``end`` (an end tag or declaration, up to ``>``), ``comment``, and the raw
+    content of scripts and styles. In a start tag: its ``name``; a ``gap`` before an attribute;
+    the ``attr`` name, and ``after`` it; ``eq`` behind a sign of equality; a ``bare`` value; the
+    quoted ones. A script's and a style's own tag have such states too, which end in raw content.
+    """
+    inside = ("name", "gap", "attr", "after", "eq", "bare", "dq", "sq")
+    outer = ("text", "end", "comment", "raw:script", "raw:style")
+    states = [*outer, *(f"{of}:{s}" for of in ("a", "script", "style") for s in inside)]
+
+    def follow(state: str, kind: str) -> str:
+        if state == "text":
+            return {"<a": "a:name", "<script": "script:name", "<style": "style:name", "<!--": "comment",
+                    "</": "end", "</script": "end", "</style": "end"}.get(kind, "text")
+        if state == "end":
+            return "text" if kind in (">", "-->") else "end"
+        if state == "comment":
+            return "text" if kind == "-->" else "comment"
+        if state.startswith("raw"):
+            return "end" if kind == "</" + state[4:] else state
+        of, at = state.split(":")
+        if at in ("dq", "sq"):
+            return f"{of}:gap" if kind == {"dq": '"', "sq": "'"}[at] else state
+        if kind in (">", "-->"):
+            return "text" if of == "a" else f"raw:{of}"
+        if at == "eq":
+            to = {"space": "eq", "=": "eq", '"': "dq", "'": "sq"}.get(kind, "bare")
+        elif kind == "space":
+            to = {"attr": "after", "after": "after"}.get(at, "gap")
+        elif at == "bare":
+            to = "bare"
+        elif kind == "/":
+            to = "gap"
+        elif at == "name":
+            to = "name"
+        else:
+            to = "eq" if kind == "=" and at in ("attr", "after") else "attr"
+        return f"{of}:{to}"
+
+    number = {s: i for i, s in enumerate(states)}
+    return [number[follow(s, k)] for s in states for k in _KINDS], [number[s] for s in states if s.endswith(("dq", "sq"))]
+
+
+def quoted_brackets(html: Column) -> Column:
+    """``html`` with ``<`` and ``>`` inside quoted attribute values as entities.
+
+    Blocks of pieces keep the work near the length of the page. A quote that is never closed
+    is no quote: such a page stays as it is.
+    """
+    table, quoted = _transitions()
+
+    def kind(p: Column) -> Column:
+        low = F.lower(p)
+        named = F.when(p == "<", 8).when(p == "<!--", 9)
+        for tag, n in (("<script", 11), ("</script", 12), ("<style", 13), ("</style", 14)):
+            named = named.when(low == tag, n)
+        return (F.when(p == ">", 6).when(p == '"', 2).when(p == "'", 3).when(p == "=", 4).when(p == "/", 5)
+                .when(F.startswith(p, F.lit("<")), named.when(F.startswith(p, F.lit("</")) | F.rlike(p, F.lit("^<[!?]")), 15).otherwise(7))
+                .when(p == "-->", 10).when(F.rlike(p, F.lit(r"^\s")), 1).otherwise(0))
+
+    def step(acc: Column, p: Column) -> Column:
+        shown = F.replace(F.replace(p, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        to = F.element_at(F.lit(table), acc["state"] * len(_KINDS) + kind(p) + 1)
+        return F.struct(to.alias("state"), F.concat(acc["text"], F.when(acc["state"].isin(quoted), shown).otherwise(p)).alias("text"))
+
+    def scanned(pieces: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(pieces))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / width).cast("int") - 1), lambda b: F.slice(pieces, b * width + 1, width))
+        def over(acc: Column, block: Column) -> Column:
+            read = F.aggregate(block, F.struct(acc["state"].alias("state"), F.lit("").alias("text")), step)
+            return bind(read, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["parts"], F.array(r["text"])).alias("parts")))
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("state"), F.array().cast("array<string>").alias("parts")), over)
+
+    def safe(h: Column) -> Column:
+        read = bind(F.regexp_extract_all(h, F.lit(_PIECES), F.lit(0)), scanned)
+        return F.when(F.rlike(h, F.lit(_SUSPECT)), bind(read, lambda r: F.when(r["state"].isin(quoted), h).otherwise(F.array_join(r["parts"], "")))).otherwise(h)
+
+    return bind(html, safe)
+
+
+def _spelled(text: Column) -> Column:
+    """Stand-ins that a page has itself, spelled with another one."""
+    for i, c in enumerate((SPELLED, END, OPENER, FOUND, NAMED)):
+        text = F.replace(text, F.lit(c), F.lit(f"{SPELLED}{i}"))
+    return text
+
+
+def _unspelled(text: Column) -> Column:
+    for i, c in reversed(list(enumerate((SPELLED, END, OPENER, FOUND, NAMED)))):
+        text = F.replace(text, F.lit(f"{SPELLED}{i}"), F.lit(c))
+    return text
+
+
 def _upto_last(text: Column, mark: str, body: Callable[[Column, Column], Column]) -> Column:
     """``body(head, tail)``, cut behind the last ``mark``; without one all is tail."""
     def cut(tail: Column) -> Column:
@@ -70,8 +175,11 @@ def _replaced(html: Column, pattern: str, replacement: str) -> Column:
 
 def strip_invisible(html: Column) -> Column:
     """Remove scripts, styles and comments, whose content is not page text."""
-    wanted = F.rlike(html, F.lit("(?i)<script|<style|<!--"))
-    return F.when(wanted, _replaced(html, INVISIBLE, "$1")).otherwise(html)
+    def stripped(h: Column) -> Column:
+        wanted = F.rlike(h, F.lit("(?i)<script|<style|<!--"))
+        return F.when(wanted, _unspelled(_replaced(_spelled(h), INVISIBLE, "$1"))).otherwise(h)
+
+    return bind(quoted_brackets(html), stripped)
 
 
 def element(
@@ -125,8 +233,9 @@ def _decode_piece() -> str:
     """SQL lambda: one character reference to its character, other pieces unchanged.
 
     Named references lie in one constant map for each first letter, because the look-up
-    in a map is linear. Numbers follow the HTML rule: those of the C1 range mean the
-    Windows characters, and what is no character becomes U+FFFD.
+    in a map is linear. A few old names need no semicolon; the longest that a piece begins with
+    counts. Numbers follow the HTML rule: those of the C1 range mean the Windows characters,
+    what is no code point becomes U+FFFD, and control characters and noncharacters vanish.
     """
     tables: dict[str, dict[str, str]] = defaultdict(dict)
     for name, char in html5.items():
@@ -138,20 +247,28 @@ def _decode_piece() -> str:
     windows = {n: bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)}
     special = " ".join(f"WHEN {n} THEN '{c}'" for n, c in windows.items() if c != "\ufffd")
 
+    old = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+    begins = f"^&({'|'.join(old)})"
+    short = f"try_element_at(from_json(r'{literal({name: html5[name] for name in old})}', 'map<string,string>'), regexp_extract(p, r'{begins}', 1))"
+
     def character(number: str) -> str:
         valid = f"{number} BETWEEN 1 AND 1114111 AND {number} NOT BETWEEN 55296 AND 57343"
-        return (f"CASE {number} {special} ELSE CASE WHEN {valid} THEN "
+        gone = (f"{number} BETWEEN 1 AND 8 OR {number} = 11 OR {number} BETWEEN 14 AND 31 OR {number} = 127 "
+                f"OR {number} BETWEEN 64976 AND 65007 OR {number} % 65536 >= 65534")
+        return (f"CASE {number} {special} ELSE CASE WHEN ({valid}) AND ({gone}) THEN '' WHEN {valid} THEN "
                 f"decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') ELSE '\ufffd' END END")
 
     decimal = character("try_cast(regexp_extract(p, '([0-9]+)', 1) AS BIGINT)")
-    hexa = character("try_cast(conv(regexp_extract(p, '[xX]([0-9A-Fa-f]+)', 1), 16, 10) AS BIGINT)")
+    # Digits beyond these are no code point; the longest number that still fits stands for them.
+    hexa = character("try_cast(conv(left(regexp_extract(p, '[xX]0*([0-9A-Fa-f]*)', 1), 12), 16, 10) AS BIGINT)")
     return f"""p -> CASE
         WHEN NOT startswith(p, '&') OR p = '&' THEN p
         WHEN p = '&amp;' THEN '&' WHEN p = '&lt;' THEN '<' WHEN p = '&gt;' THEN '>'
         WHEN p = '&quot;' THEN '"' WHEN p = '&nbsp;' THEN chr(160)
-        WHEN p RLIKE '^&#[0-9]{{1,15}};$' THEN {decimal}
-        WHEN p RLIKE '^&#[xX][0-9A-Fa-f]{{1,12}};$' THEN {hexa}
-        ELSE coalesce(CASE substr(p, 2, 1) {named} END, p) END"""
+        WHEN p RLIKE '^&#[0-9]' THEN {decimal}
+        WHEN p RLIKE '^&#[xX][0-9A-Fa-f]' THEN {hexa}
+        ELSE coalesce(CASE WHEN endswith(p, ';') THEN CASE substr(p, 2, 1) {named} END END,
+          CASE WHEN p RLIKE r'{begins}' THEN concat({short}, regexp_replace(p, r'{begins}', '')) END, p) END"""
 
 
 def decode_entities(text: Column) -> Column:
@@ -164,9 +281,9 @@ def decode_entities(text: Column) -> Column:
 def html_to_text(html: Column) -> Column:
     """Plain text: block tags end a line; other tags, scripts, styles and comments vanish;
     entities are decoded."""
-    named = _replaced(html, MARKUP, f"{FOUND}$1{NAMED}")
+    named = _replaced(_spelled(quoted_brackets(html)), MARKUP, f"{FOUND}$1{NAMED}")
     lines = F.regexp_replace(named, f"{FOUND}[^{NAMED}]+{NAMED}", "\n")
-    return decode_entities(F.replace(lines, F.lit(FOUND + NAMED), F.lit("")))
+    return decode_entities(_unspelled(F.replace(lines, F.lit(FOUND + NAMED), F.lit(""))))
 
 
 def page_title(html: Column, pattern: str = H1) -> Column:

@@ -1,3 +1,4 @@
+import html
 import random
 import time
 from html.parser import HTMLParser
@@ -140,6 +141,53 @@ def test_bad_megabyte_is_linear(spark, bad):
     assert time.time() - start < 15
 
 
+QUOTED = ['<a title="x>y">', "<a title='x>y' b>", '<p class="a" id=\'b>"c\'>', '<b a=b"c>', "<b it's>", '<div data-x = "<p>q</p>" >', "<br alt='</b>'/>",
+          '<a b=c="d>', '<a ="e>', "<p a='\"'>", '<i x="" y=">">', 'say "a > b"', " a='b' ", '<script src="a>b">x</script>', "<!-- a='> -->", '</p title="k">', "&gt;"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quoted_brackets_against_a_parser(spark, seed):
+    rnd = random.Random(seed)
+    pages = QUOTED + ["".join(rnd.choices(QUOTED + PIECES, k=rnd.randrange(1, 10))) for _ in range(400)]
+    for page, out in zip(pages, apply(spark, html_to_text, *pages)):
+        assert out == parsed(page), page
+
+
+def test_quoted_brackets_in_elements(spark):
+    page = '<div title="</article><article>">no</div><article data-a="1>2" b=\'<article>\'>x<i alt="</article>">y</i></article>z'
+    assert apply(spark, lambda c: element(c, "article"), page) == [
+        "<article data-a=\"1&gt;2\" b='&lt;article&gt;'>x<i alt=\"&lt;/article&gt;\">y</i></article>"]
+    assert apply(spark, lambda c: html_to_text(element(c, "article")), page) == ["\nxy\n"]
+
+
+def test_an_open_quote_is_no_quote(spark):
+    assert apply(spark, html_to_text, '<p>a</p><b x="1>2">c<a title="never>closed</a><p>d</p>')[0].endswith("d\n")
+
+
+@pytest.mark.parametrize("bad", ['="x>', "='<", '<a b="c>d">', "<a b='", "\"'", '<a b="<script>">t', "= \" >"])
+def test_quoted_megabyte_is_linear(spark, bad):
+    page = '<a t="x>y">start</a>' + bad * (1_000_000 // len(bad))
+    start = time.time()
+    apply(spark, html_to_text, page)
+    assert time.time() - start < 15
+
+
+def test_every_character_of_a_text_stays(spark):
+    plain = [chr(c) for c in range(0x20, 0x11000) if not 0xD800 <= c < 0xE000 and chr(c) not in "<&"] + [chr(0xFDD0 + i) * 2 for i in range(8)]
+    text = "".join(plain) + "\ufdd2\ufdd3a\ufdd4\ufdd01\ufdd4" + "0"
+    assert apply(spark, html_to_text, text, f"<p>{text}</p>") == [text, f"\n{text}\n"]
+    shown = f"<script>x</script>{text}"
+    assert apply(spark, lambda c: element(c, "p"), f"<p>{shown}</p>") == [f"<p>{text}</p>"]
+
+
+def test_references_without_a_semicolon(spark):
+    page = "&copy 2 &copy2 &notit; &notin; &amp &ampere &eacutes &#65 &#x41g &#65b &lt&gt &unknown &#; &#x; &AMP &nbspx &ETH &sup &sup2"
+    assert apply(spark, html_to_text, page) == [html.unescape(page)]
+    numbers = [*range(0, 0x200), 0xD7FF, 0xD800, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFD, 0xFFFE, 0xFFFF, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 10 ** 30]
+    refs = "|".join(f"&#{n};&#x{n:X}" for n in numbers)
+    assert apply(spark, html_to_text, refs) == [html.unescape(refs)]
+
+
 def test_windows_references(spark):
     codes = range(0x80, 0xA0)
     page = "".join(f"&#{c};&#x{c:x};" for c in codes)
