@@ -5,13 +5,18 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions.html import html_to_text
+from ..operators.delta_index import HASH, DeltaIndex, content_hash
 from ..operators.embedding import embed, weights
+from ..operators.filtered_search import build_filter_index
 from ..operators.keyword import keyword_search
+from ..operators.keyword_index import build_keyword_index
+from ..operators.product_quantizer import coded_blocks, fit_quantizer, topk_quantized
 from ..operators.search import assign_cells, fit_cells, topk, topk_approx, with_metadata, write_cells
 from ..operators.vector_index import index_build, index_gaps, index_stats, index_upsert, model_guard
 from ..session import new_dir
 from ..sources.layout import spread
-from .common import DIM, SITE_SQL, hashed_sql, site, table
+from .common import DIM, SITE_SQL, hashed_sql, site, strip_sql, table, text_sql, versions
 
 K = 10
 THRESHOLD = 0.36
@@ -99,10 +104,72 @@ def keyword_query(spark, d, **options):
     return keyword_search(table(spark, d, "benchmark"), docs, K, query_id="item_id", **options)
 
 
+def quantized_query(spark, d):
+    """At full depth: every vector is coded and re-ranked, so the result is the exact one."""
+    index = vectors(spark, d)
+    cells = label_centroids(index)
+    quantizer = fit_quantizer(index, cells)
+    blocks = coded_blocks(assign_cells(index, cells), quantizer)
+    return topk_quantized(as_queries(index), blocks, quantizer, K, depth=index.count(), skip_same_id=True)
+
+
+def bitmap_query(spark, d):
+    """The language of each vector's document is metadata of the index."""
+    index = vectors(spark, d)
+    cells = label_centroids(index)
+    described = index.join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang"), "id", "left")
+    built = build_filter_index(assign_cells(described, cells), cells, ["lang"], new_dir(spark, "filter-index"))
+    return built.search(as_queries(index), {"lang": ["en"]}, K, skip_same_id=True)
+
+
+def page_texts(rows):
+    return rows.select(F.col("page_id").alias("id"), html_to_text(F.col("html")).alias("content"))
+
+
+def embedded(rows):
+    return embed(rows, "content").select("id", HASH, "embedding")
+
+
+def synced(spark, d):
+    """An index of the old pages brought up to the new ones, and what was changed."""
+    old, new = versions(spark, d)
+    texts = page_texts(spread(old)).withColumn(HASH, content_hash(F.col("content")))
+    index = DeltaIndex.create(embedded(texts), new_dir(spark, "delta-index"))
+    return index, index.sync(page_texts(spread(new)), "content", embedded)
+
+
+def sync_query(spark, d):
+    index, _ = synced(spark, d)
+    return weights(index.read(), "id").select(
+        F.col("id").alias("page_id"), F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
+
+
+def compacted_query(spark, d):
+    index, _ = synced(spark, d)
+    index.compact(share=0.0)
+    return index.read().select(F.col("id").alias("page_id"), HASH)
+
+
+def keyword_indexed(spark, d):
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return build_keyword_index(docs, new_dir(spark, "keyword-index"))
+
+
+def keyword_index_query(spark, d):
+    return keyword_indexed(spark, d).statistics().withColumn("largest", F.round("largest", 6))
+
+
+def keyword_stored_query(spark, d, **options):
+    return keyword_indexed(spark, d).search(table(spark, d, "benchmark"), K, query_id="item_id", **options)
+
+
 QUERIES = {
     "embed_text": embed_query,
     "index_build": build_query,
     "index_upsert": upsert_query,
+    "index_sync": sync_query,
+    "index_sync_changes": lambda s, d: synced(s, d)[1].select(F.col("id").alias("page_id"), "change"),
+    "index_sync_compacted": compacted_query,
     "index_stats": lambda s, d: index_stats(vectors(s, d)),
     "index_gaps": lambda s, d: index_gaps(table(s, d, "documents"), vectors(s, d), "doc_id"),
     "model_guard": guard_query,
@@ -111,8 +178,13 @@ QUERIES = {
     "topk_threshold": lambda s, d: neighbours(s, d, threshold=THRESHOLD),
     "topk_metadata": metadata_query,
     "topk_filtered": filtered_query,
+    "topk_filtered_bitmaps": bitmap_query,
+    "topk_quantized": quantized_query,
     "keyword_search": keyword_query,
     "keyword_search_blocks": lambda s, d: keyword_query(s, d, broadcast_bytes=0),
+    "keyword_index": keyword_index_query,
+    "keyword_search_stored": keyword_stored_query,
+    "keyword_search_stored_blocks": lambda s, d: keyword_stored_query(s, d, broadcast_bytes=0),
     "topk_approx": lambda s, d: approximate(s, d, label_centroids),
     "topk_approx_blocks": lambda s, d: approximate(s, d, label_centroids, batch_bytes=BATCH),
     "topk_approx_kmeans": lambda s, d: approximate(s, d, lambda index: fit_cells(index, 16), 16),
@@ -165,8 +237,19 @@ ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= {K}"""
 
+_KEYWORD_INDEX = """WITH dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dw GROUP BY ALL),
+dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS dl FROM documents),
+totals AS (SELECT avg(dl) AS mean FROM dl)
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS hits, round(max(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS largest
+FROM tf JOIN dl USING (doc_id) CROSS JOIN totals GROUP BY term"""
+
 _VECTOR = "md5(array_to_string([round(x::DOUBLE * 1000000)::BIGINT FOR x IN {}], ','))"
 
+_VERSIONS = f"""o AS (SELECT page_id AS id, {text_sql(strip_sql('html'))} AS content FROM pages WHERE NOT contains(url, '//blog.')),
+n AS (SELECT page_id AS id, {text_sql(strip_sql("(html || CASE WHEN contains(url, '#') THEN '<p>Revised.</p>' ELSE '' END)"))} AS content
+  FROM pages WHERE NOT contains(url, '//m.'))"""
+
 ORACLE = {
     "embed_text": f"""WITH {hashed_sql('dv', 'documents', 'doc_id', 'text')}
 SELECT key AS doc_id, bucket::BIGINT AS bucket, round(weight::DOUBLE, 5) AS weight FROM dv""",
@@ -175,6 +258,12 @@ SELECT key AS doc_id, bucket::BIGINT AS bucket, round(weight::DOUBLE, 5) AS weig
     "index_upsert": f"""SELECT vec_id AS id, label, {_VECTOR.format('CASE WHEN label = 0 THEN list_reverse(embedding) ELSE embedding END')}
   AS vector_md5 FROM embeddings
 UNION ALL SELECT vec_id + 1000000000, label, {_VECTOR.format('embedding')} FROM embeddings WHERE label = 1""",
+    "index_sync": f"""WITH {_VERSIONS}, {hashed_sql('nv', 'n', 'id', 'content')}
+SELECT key AS page_id, bucket::BIGINT AS bucket, round(weight::DOUBLE, 5) AS weight FROM nv""",
+    "index_sync_changes": f"""WITH {_VERSIONS} SELECT coalesce(o.id, n.id) AS page_id,
+  CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' ELSE 'update' END AS change
+FROM o FULL JOIN n ON o.id = n.id WHERE o.content IS DISTINCT FROM n.content""",
+    "index_sync_compacted": f"WITH {_VERSIONS} SELECT id AS page_id, md5(':' || content) AS content_hash FROM n",
     "index_stats": """SELECT count(*) AS n_rows, min(len(embedding)) AS min_dim, max(len(embedding)) AS max_dim,
   count(*) FILTER (embedding IS NULL) AS n_null,
   count(*) FILTER (list_max(list_transform(embedding, lambda x: abs(x))) = 0) AS n_zero,
@@ -191,8 +280,14 @@ SELECT query_id, rank, m.id, score, url, content, title FROM matches m
 LEFT JOIN site s ON s.id = m.id AND NOT ends_with(title, ' de')""",
     "topk_filtered": f"""WITH english AS (SELECT e.* FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE lang = 'en'),
 {_topk_sql(K, 'english')} SELECT * FROM matches""",
+    "topk_filtered_bitmaps": f"""WITH english AS (SELECT e.* FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE lang = 'en'),
+{_topk_sql(K, 'english')} SELECT * FROM matches""",
+    "topk_quantized": _EXACT,
     "keyword_search": _KEYWORD,
     "keyword_search_blocks": _KEYWORD,
+    "keyword_index": _KEYWORD_INDEX,
+    "keyword_search_stored": _KEYWORD,
+    "keyword_search_stored_blocks": _KEYWORD,
     "topk_approx": _APPROX,
     "topk_approx_blocks": _APPROX,
     "topk_approx_kmeans": _EXACT,  # all cells are probed
