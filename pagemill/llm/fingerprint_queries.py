@@ -1,4 +1,7 @@
-"""Registered fingerprints. Their hashes have no twin in SQL, so tests compare with brute force."""
+"""Registered fingerprints. Their hashes have no twin in SQL, so tests compare with brute force.
+
+Where a short text leaves nothing to compare, ``near_edited`` and ``near_next`` are 0.
+"""
 
 from __future__ import annotations
 
@@ -49,8 +52,8 @@ def fingerprint_query(spark, d):
     return rows.select(
         F.col("id").alias("doc_id"), "n_chars", F.col("edited.sha256").alias("edited_sha256"),
         written(F.col("sketch")).alias("fingerprint"), written(F.col("edited.sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited.sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        F.coalesce(likeness(F.col("sketch"), F.col("edited.sketch")), F.lit(0.0)).alias("near_edited"),
+        F.coalesce(likeness(F.col("sketch"), F.col("next_sketch")), F.lit(0.0)).alias("near_next"))
 
 
 QUERIES = {"op7_document_fingerprints": fingerprint_query}

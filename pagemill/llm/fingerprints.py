@@ -48,16 +48,17 @@ def _shared(a: Column, b: Column, result) -> Column:
         return bind(F.struct(upto(a).alias("a"), upto(b).alias("b")), lambda s: result(
             F.size(F.array_intersect(s["a"], s["b"])), F.size(s["a"]), F.size(s["b"])))
     return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(
-        F.coalesce(bind(F.least(bound(a), bound(b)), compared), F.lit(0.0)))
+        bind(F.least(bound(a), bound(b)), compared))
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the shingles of ``a`` that ``b`` has; empty in empty is 1."""
+    """Estimated share of the shingles of ``a`` that ``b`` has; empty in empty is 1; null where
+    ``a`` has no hash in the range that both keep."""
     return _shared(a, b, lambda n, na, nb: n / F.nullif(na, F.lit(0)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The larger of both containments, 0 to 1."""
+    """The larger of both containments, 0 to 1; null where one of them is not known."""
     return _shared(a, b, lambda n, na, nb: n / F.nullif(F.least(na, nb), F.lit(0)))
 
 

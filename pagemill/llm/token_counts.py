@@ -1,15 +1,16 @@
-"""Token counts by a finite-state transducer compiled from the tokenizer's pieces.
-
-``compile_model`` reads the pieces and keeps which characters ever stand next to each
-other inside one. Two neighbours that never do are a certain token border, whatever
-stands around them: the transducer's memory is the text since the last such border (a
-unit), and on the transition across a border it emits the number of tokens of the unit.
-Transitions are compiled when first needed, by the model itself, and kept in a table.
-
-A chunk of text maps each state to a state and a count: what precedes its first border
-is added to the unit that it meets, what follows its last border is the unit it leaves.
-Such maps compose, in any grouping (``ChunkMap.then``). Long texts are therefore cut
-anywhere, their chunks are mapped on many tasks, and the maps are composed in order.
+"""Token counts by chunk maps that compose.
+
+``compile_model`` reads the model's pieces and keeps which characters ever stand next to each
+other inside one. Two neighbours that never do are a certain token border, whatever stands
+around them; the text between two such borders is a unit, and tokens of units add up. A unit is
+counted by the model itself when it is first met, and its count is kept in a table: no
+transducer is compiled from the merges, so counts are the model's by construction.
+
+A chunk of text maps what precedes it to a count and what it leaves: what stands before its
+first border is added to the unit that it meets, what follows its last border is the unit it
+leaves. Such maps compose, in any grouping (``ChunkMap.then``). Long texts are therefore cut
+anywhere and their chunks are mapped on many tasks; one task composes the maps of a text, one
+after the other. A very long text without a border is one unit, which is cut again at each step.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 18         # characters; longer texts are cut
-KNOWN_UNITS = 300_000   # transitions kept by a task; all are dropped when it has more
+KNOWN_UNITS = 300_000   # counts kept by a task; all are dropped when it has more
 LONGEST_KEPT = 64       # longer units are counted anew each time
 LIMIT = 4096
 
@@ -63,7 +64,7 @@ class ChunkMap:
 
 
 class Counter:
-    """The compiled transducer. The text comes with ``MARK`` for each space."""
+    """Counts of units, and the borders between them. Texts come with ``MARK`` for each space."""
 
     def __init__(self, model_file: str, known: int = KNOWN_UNITS):
         import sentencepiece
@@ -134,7 +135,7 @@ class Counter:
 
 @functools.cache
 def compile_model(model_file: str) -> Counter:
-    """One compiled transducer for all tasks that a Python worker runs."""
+    """One counter for all tasks that a Python worker runs."""
     return Counter(model_file)
 
 

@@ -58,8 +58,19 @@ def test_part_in_a_very_long_text(spark):
     part, rest = prose(1, 2000), prose(2, 40_000)
     assert _one(spark, containment, part, rest + " " + part) > 0.97
     assert _one(spark, containment, part, rest) < 0.03
-    small = prose(3, 20)
-    assert _one(spark, containment, small, rest) == 0
+    assert _one(spark, containment, prose(3, 20), rest) == 0
+
+
+def test_a_short_text_in_a_long_one_is_found_or_not_known(spark):
+    """Eight words of a long text: 1, or null where none of its hashes is in the kept range."""
+    words = prose(8, 3_000).split()
+    parts = [" ".join(words[i:i + 8]) for i in range(0, 2_000, 50)]
+    df = spark.createDataFrame([(p, " ".join(words)) for p in parts], "a string, b string")
+    for compare in (containment, likeness):
+        found = [r[0] for r in df.select(compare(sketch(F.col("a")), sketch(F.col("b")))).collect()]
+        assert set(found) == {1.0, None} and found.count(None) < len(found) / 2
+    strange = spark.createDataFrame([(prose(9_000 + i, 8), " ".join(words)) for i in range(40)], "a string, b string")
+    assert {r[0] for r in strange.select(likeness(sketch(F.col("a")), sketch(F.col("b")))).collect()} == {0.0, None}
 
 
 def test_merged_sketches(spark):
