@@ -37,8 +37,9 @@ HIDDEN = (
 )
 # Tags are read along, so that nothing begins inside one.
 INVISIBLE = rf"(?is){HIDDEN}|(<(?:/?[a-z]|[!?/])[^>]*>)"
-# Any tag or hidden part; the group is filled when a tag ends a line.
-MARKUP = rf"(?is){HIDDEN}|<(?:/?({'|'.join(BLOCK_TAGS)})(?=[\s/>])|/?[a-z]|[!?/])[^>]*>"
+# Any tag; the group is filled when it ends a line. Any tag or hidden part.
+TAGS = rf"<(?:/?({'|'.join(BLOCK_TAGS)})(?=[\s/>])|/?[a-z]|[!?/])[^>]*>"
+MARKUP = rf"(?is){HIDDEN}|{TAGS}"
 FOUND, NAMED = "\ufdd2", "\ufdd3"
 # Where a page has such characters itself, they are spelled with this one meanwhile.
 SPELLED = "\ufdd4"
@@ -47,8 +48,10 @@ ENTITY_PIECES = r"&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|&[0-9A-Za-z]{1,32};?|[^&]+|&"
 # What a page is cut into for the state machine, and the kinds of these pieces.
 _PIECES = (r"(?is)<!--|-->|</?(?:script|style)(?=[\s/>])|</?[a-z]|</|<[!?]|[<>\"'=/]|\s+|[^<>\"'=/\s\-]+|-")
 _KINDS = ("other", "space", '"', "'", "=", "/", ">", "<a", "<", "<!--", "-->", "<script", "</script", "<style", "</style", "</")
-# A quoted value that holds an angle bracket.
-_SUSPECT = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+# A start tag with a quoted value that holds an angle bracket. What is possessive keeps this
+# linear: no part of a tag is read twice.
+_SUSPECT = (r"""(?i)<[a-z][^<>"']*+(?:"[^"<>]*+"[^<>"']*+|'[^'<>]*+'[^<>"']*+)*+"""
+            r"""(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])""")
 
 # Where the article body and its title are found.
 ARTICLE_BODY = ("div", "itemprop", "articleBody")
@@ -102,54 +105,56 @@ def _transitions() -> tuple[list[int], list[int]]:
     return [number[follow(s, k)] for s in states for k in _KINDS], [number[s] for s in states if s.endswith(("dq", "sq"))]
 
 
-def quoted_brackets(html: Column) -> Column:
-    """``html`` with ``<`` and ``>`` inside quoted attribute values as entities.
+@functools.cache
+def _bracket_scan() -> str:
+    """SQL lambda: the state machine over the pieces of a page.
 
-    Blocks of pieces keep the work near the length of the page. A quote that is never closed
-    is no quote: such a page stays as it is.
+    It goes over blocks of pieces, so that no long text is built piece by piece. The number of
+    a piece's kind is its place in ``_KINDS``.
     """
+    quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
     table, quoted = _transitions()
+    inside = f"IN ({', '.join(map(str, quoted))})"
+    width = "cast(ceil(sqrt(size(ps))) AS int)"
+    single = " ".join(f"WHEN {quote(c)} THEN {_KINDS.index(c)}" for c in ('>', '"', "'", "=", "/", "-->"))
+    tags = " ".join(f"WHEN {quote(c)} THEN {_KINDS.index(c)}" for c in ("<", "<!--", "<script", "</script", "<style", "</style"))
+    kind = f"""CASE p {single} ELSE CASE WHEN startswith(p, '<') THEN
+      CASE lower(p) {tags} ELSE CASE WHEN p RLIKE '^<[!?/]' THEN {_KINDS.index("</")} ELSE {_KINDS.index("<a")} END END
+      WHEN p RLIKE {quote(chr(94) + chr(92) + "s")} THEN {_KINDS.index("space")} ELSE 0 END END"""
+    step = f"""(s, p) -> named_struct(
+      'state', element_at(array({', '.join(map(str, table))}), s.state * {len(_KINDS)} + {kind} + 1),
+      'text', concat(s.text, CASE WHEN s.state {inside} THEN replace(replace(p, '<', '&lt;'), '>', '&gt;') ELSE p END))"""
+    scan = f"""aggregate(
+      transform(sequence(0, cast(ceil(size(ps) / {width}) AS int) - 1), b -> slice(ps, b * {width} + 1, {width})),
+      named_struct('state', 0, 'parts', cast(array() AS array<string>)),
+      (done, block) -> element_at(transform(array(aggregate(block, named_struct('state', done.state, 'text', ''), {step})),
+        r -> named_struct('state', r.state, 'parts', concat(done.parts, array(r.text)))), 1))"""
+    return f"""h -> CASE WHEN NOT h RLIKE {quote(_SUSPECT)} THEN h ELSE element_at(transform(
+      array(regexp_extract_all(h, {quote(_PIECES)}, 0)), ps -> element_at(transform(array({scan}),
+        f -> CASE WHEN f.state {inside} THEN h ELSE array_join(f.parts, '') END), 1)), 1) END"""
 
-    def kind(p: Column) -> Column:
-        low = F.lower(p)
-        named = F.when(p == "<", 8).when(p == "<!--", 9)
-        for tag, n in (("<script", 11), ("</script", 12), ("<style", 13), ("</style", 14)):
-            named = named.when(low == tag, n)
-        return (F.when(p == ">", 6).when(p == '"', 2).when(p == "'", 3).when(p == "=", 4).when(p == "/", 5)
-                .when(F.startswith(p, F.lit("<")), named.when(F.startswith(p, F.lit("</")) | F.rlike(p, F.lit("^<[!?]")), 15).otherwise(7))
-                .when(p == "-->", 10).when(F.rlike(p, F.lit(r"^\s")), 1).otherwise(0))
-
-    def step(acc: Column, p: Column) -> Column:
-        shown = F.replace(F.replace(p, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-        to = F.element_at(F.lit(table), acc["state"] * len(_KINDS) + kind(p) + 1)
-        return F.struct(to.alias("state"), F.concat(acc["text"], F.when(acc["state"].isin(quoted), shown).otherwise(p)).alias("text"))
-
-    def scanned(pieces: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(pieces))).cast("int")
-        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / width).cast("int") - 1), lambda b: F.slice(pieces, b * width + 1, width))
-        def over(acc: Column, block: Column) -> Column:
-            read = F.aggregate(block, F.struct(acc["state"].alias("state"), F.lit("").alias("text")), step)
-            return bind(read, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["parts"], F.array(r["text"])).alias("parts")))
-        return F.aggregate(blocks, F.struct(F.lit(0).alias("state"), F.array().cast("array<string>").alias("parts")), over)
 
-    def safe(h: Column) -> Column:
-        read = bind(F.regexp_extract_all(h, F.lit(_PIECES), F.lit(0)), scanned)
-        return F.when(F.rlike(h, F.lit(_SUSPECT)), bind(read, lambda r: F.when(r["state"].isin(quoted), h).otherwise(F.array_join(r["parts"], "")))).otherwise(h)
-
-    return bind(html, safe)
+def quoted_brackets(html: Column) -> Column:
+    """``html`` with ``<`` and ``>`` inside quoted attribute values as entities. A quote that is
+    never closed is no quote: such a page stays as it is."""
+    return F.element_at(F.call_function("transform", F.array(html), F.expr(_bracket_scan())), 1)
 
 
 def _spelled(text: Column) -> Column:
     """Stand-ins that a page has itself, spelled with another one."""
-    for i, c in enumerate((SPELLED, END, OPENER, FOUND, NAMED)):
-        text = F.replace(text, F.lit(c), F.lit(f"{SPELLED}{i}"))
-    return text
+    def all_of(t: Column) -> Column:
+        for i, c in enumerate((SPELLED, END, OPENER, FOUND, NAMED)):
+            t = F.replace(t, F.lit(c), F.lit(f"{SPELLED}{i}"))
+        return t
+    return bind(text, lambda t: F.when(F.rlike(t, F.lit(f"[{END}-{SPELLED}]")), all_of(t)).otherwise(t))
 
 
 def _unspelled(text: Column) -> Column:
-    for i, c in reversed(list(enumerate((SPELLED, END, OPENER, FOUND, NAMED)))):
-        text = F.replace(text, F.lit(f"{SPELLED}{i}"), F.lit(c))
-    return text
+    def all_of(t: Column) -> Column:
+        for i, c in reversed(list(enumerate((SPELLED, END, OPENER, FOUND, NAMED)))):
+            t = F.replace(t, F.lit(f"{SPELLED}{i}"), F.lit(c))
+        return t
+    return bind(text, lambda t: F.when(F.contains(t, F.lit(SPELLED)), all_of(t)).otherwise(t))
 
 
 def _upto_last(text: Column, mark: str, body: Callable[[Column, Column], Column]) -> Column:
@@ -273,15 +278,25 @@ def _decode_piece() -> str:
 
 def decode_entities(text: Column) -> Column:
     """Decode each character reference once, so ``&amp;lt;`` stays ``&lt;``."""
-    pieces = F.regexp_extract_all(text, F.lit(ENTITY_PIECES), F.lit(0))
-    decoded = F.call_function("transform", pieces, F.expr(_decode_piece()))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
+    def pieces(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(ENTITY_PIECES), F.lit(0))
+        return F.array_join(F.call_function("transform", found, F.expr(_decode_piece())), "")
+
+    def usual(t: Column) -> Column:
+        # The ampersand comes last, so that nothing is decoded twice.
+        for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
+            t = F.replace(t, F.lit(name), F.lit(char))
+        return t
+
+    rare = F.lit("&(?!amp;|lt;|gt;|quot;|nbsp;|[^#0-9A-Za-z]|$)")
+    return bind(text, lambda t: F.when(~F.contains(t, F.lit("&")), t).when(F.rlike(t, rare), pieces(t)).otherwise(usual(t)))
 
 
-def html_to_text(html: Column) -> Column:
+def html_to_text(html: Column, stripped: bool = False) -> Column:
     """Plain text: block tags end a line; other tags, scripts, styles and comments vanish;
-    entities are decoded."""
-    named = _replaced(_spelled(quoted_brackets(html)), MARKUP, f"{FOUND}$1{NAMED}")
+    entities are decoded. ``stripped`` markup went through ``strip_invisible`` before."""
+    safe, pattern = (html, f"(?is){TAGS}") if stripped else (quoted_brackets(html), MARKUP)
+    named = _replaced(_spelled(safe), pattern, f"{FOUND}$1{NAMED}")
     lines = F.regexp_replace(named, f"{FOUND}[^{NAMED}]+{NAMED}", "\n")
     return decode_entities(_unspelled(F.replace(lines, F.lit(FOUND + NAMED), F.lit(""))))
 

@@ -18,8 +18,8 @@ from .search import topk, with_metadata
 def question_batch(df: DataFrame, id_column: str | None = None) -> DataFrame:
     """``question_id, question`` from the first column of any input.
 
-    ``id_column`` names a unique bigint column; when it comes first the next column
-    is the question.
+    ``id_column`` must be given: it names a unique bigint column, by which answers find their
+    question again. When it comes first the next column is the question.
     """
     columns = [c for c in df.columns if c != id_column]
     if id_column is None:

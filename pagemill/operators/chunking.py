@@ -100,13 +100,18 @@ def _chunk(
             .drop("_sections", "_counts", "_total", "_raw"))
 
 
+def _stripped_text(marked: Column) -> Column:
+    """Text of markup whose invisible parts ``mark_sections`` has removed."""
+    return html_to_text(marked, stripped=True)
+
+
 def heading_chunks(
     df: DataFrame, html: str = "article", tag: str = "h2", max_tokens: int = 4000,
     min_tokens: int = 100, out: str = "chunks", tokenizer=WhitespaceTokens,
 ) -> DataFrame:
     """Greedy sections of every page, also of those within the limit."""
     return _chunk(df, mark_sections(F.col(html), tag), max_tokens, min_tokens, out,
-                  tokenizer, html_to_text, always_fold=True)
+                  tokenizer, _stripped_text, always_fold=True)
 
 
 def page_chunks(
@@ -121,7 +126,7 @@ def page_chunks(
     marked ``truncated``.
     """
     return _chunk(df, mark_sections(F.col(html), tag), max_tokens, min_tokens, out,
-                  tokenizer, html_to_text)
+                  tokenizer, _stripped_text)
 
 
 def paragraph_chunks(

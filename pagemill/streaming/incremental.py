@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.layout import checked_broadcast, stored
+from ..sources.layout import checked_broadcast
 from ..sources.pages import PAGE_SCHEMA
 from ..sources.tables import append_batch, read_batches
 
@@ -35,11 +35,9 @@ def incremental_pages(
         few = pages.rdd.getNumPartitions() < cores
         # Only ids and file names are grouped. Pages that come once stay where they lie.
         keys = pages.groupBy("page_id").agg(F.max(F.struct(*VERSION)).alias("newest"), F.count("*").alias("n"))
-        keys = stored(keys, "stream-keys")
-        again = keys.filter("n > 1").select("page_id", "newest")
+        again = checked_broadcast(keys.filter("n > 1").select("page_id", "newest"))
         once = pages
         if not again.isEmpty():
-            again = checked_broadcast(again)
             order = F.struct(*VERSION, F.xxhash64("url", "html"))
             twice = pages.join(again, "page_id").filter(F.struct(*VERSION) == F.col("newest"))
             picked = twice.groupBy("page_id").agg(F.max_by(F.struct(*pages.columns), order).alias("row")).select("row.*")
@@ -47,7 +45,7 @@ def incremental_pages(
         # A few files are dealt out before the chunking, which costs more than the move.
         rows = once.drop(*VERSION)
         append_batch(build(rows.repartition(cores) if few else rows), f"{target}/chunks", f"{run}-{batch}")
-        append_batch(keys.select("page_id", "newest.*"), f"{target}/pages", f"{run}-{batch}")
+        append_batch(once.select("page_id", *VERSION), f"{target}/pages", f"{run}-{batch}")
         batches.append(batch)
 
     read = (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source)

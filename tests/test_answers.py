@@ -11,7 +11,7 @@ from pagemill.operators.answers import (
     answer_display, answer_records, local_questions, prompt_history, question_batch, rag_context,
 )
 from pagemill.operators.embedding import embed
-from pagemill.operators.joins import preceding_rows
+from pagemill.operators.joins import in_ranges, preceding_rows
 from pagemill.operators.training import (
     batch_page, qa_dataset, qa_join, question_rows, questions_parse, resume_pending,
 )
@@ -98,6 +98,18 @@ def test_history_in_ranges(spark, width):
         assert got[(c, t)] == [x for _, x in before[-3:]]
 
 
+def test_a_key_of_a_million_rows_with_orders_like_time_stamps(spark):
+    """Ranges hold a bounded number of rows, whatever the key and however far apart the orders."""
+    stamp = lambda c: F.lit(1_700_000_000_000_000) + c * 1_000_003 + F.pmod(F.xxhash64(c), F.lit(1_000))
+    rows = spark.range(1_000_000).select(F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("c"), stamp(F.col("id")).alias("t"))
+    sizes = [r["count"] for r in in_ranges(rows, "c", "t", 50_000).groupBy("_range").count().collect()]
+    assert sum(sizes) == 1_000_000 and max(sizes) <= 150_000 and len(sizes) >= 8
+
+    few = spark.range(20_000).select(F.lit(1).alias("c"), stamp(F.col("id")).alias("t"), F.col("id").alias("x"))
+    got = preceding_rows(few, "c", "t", ["x"], 3, "h", 1_500).select("x", F.transform("h", lambda e: e["x"]).alias("h")).collect()
+    assert len(got) == 20_000 and all(r["h"] == list(range(max(0, r["x"] - 3), r["x"])) for r in got)
+
+
 def test_one_prompt_asked_very_often(spark):
     from pagemill.operators.answers import completion_join
     prompts = spark.range(300).select(F.col("id").alias("question_id"),
