@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
 from ..functions.responses import parse_questions
 from ..functions.text import whole_part
-from ..sources.layout import checked_broadcast
+from ..sources.layout import checked_broadcast, stored
 from .joins import skew_join
 
 BINS = 1024
@@ -43,7 +43,8 @@ def qa_join(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
             text: str = "text", ordered: bool = True) -> DataFrame:
     """``question_id, question, content``, in question order if ``ordered``; no matter
     how many questions one document has."""
-    joined = skew_join(questions, docs.select(doc_id, text), doc_id, "id")
+    # Stored, since frequent documents are counted before the join.
+    joined = skew_join(stored(questions, "questions"), docs.select(doc_id, text), doc_id, "id")
     pairs = joined.select(F.col("id").alias("question_id"), "question", F.col(text).alias("content"))
     return pairs.orderBy("question_id") if ordered else pairs
 
@@ -104,5 +105,5 @@ def qa_dataset(questions: DataFrame, answers: DataFrame, docs: DataFrame, doc_id
     """Question, answer and source text of every answered question."""
     given = answers.select("question_id", "answer")
     answered = questions.join(given, questions["id"] == given["question_id"]).drop("id")
-    joined = skew_join(answered, docs.select(doc_id, text), doc_id, "question_id")
+    joined = skew_join(stored(answered, "answered"), docs.select(doc_id, text), doc_id, "question_id")
     return joined.select("question_id", doc_id, "question", "answer", F.col(text).alias("content"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from ..operators.answers import (
     answer_format, completion_join, completion_parse, merged_context, rag_context, rag_prompt,
 )
 from ..operators.chunking import WhitespaceTokens, chunk_rows, page_chunks, titled
-from ..sources.pages import valid_pages
+from ..sources.pages import sample_pages, valid_pages
+from ..sources.tables import preview
 
 
 def build_chunks(pages: DataFrame, tag: str = "h2", max_tokens: int = 4000, min_tokens: int = 100,
@@ -23,6 +26,20 @@ def build_chunks(pages: DataFrame, tag: str = "h2", max_tokens: int = 4000, min_
     return chunk_rows(chunked.drop("article"))
 
 
+def preview_chunks(pages: DataFrame, build: Callable[[DataFrame], DataFrame], n: int = 2, key: str = "page_id") -> DataFrame:
+    """The first ``n`` chunks in the order of their ids, which is that of pages.
+
+    Only the first pages are chunked: as many as chunks are asked for, and four times as many
+    while these have too few.
+    """
+    total, take = pages.count(), n
+    while True:
+        rows = preview(build(sample_pages(pages, take, key)), "id", n)
+        if take >= total or rows.count() >= n:
+            return rows
+        take *= 4
+
+
 def build_prompts(questions: DataFrame, index: DataFrame, documents: DataFrame, k: int = 1, **options) -> DataFrame:
     """Question, its best document and its prompt, which holds the ``k`` best ones; send
     the prompts to a model and store ``prompt_hash, response`` of what comes back."""

@@ -18,8 +18,16 @@ def read_pages(spark: SparkSession, source: str) -> DataFrame:
 
 
 def sample_pages(df: DataFrame, n: int = 100, key: str = "page_id") -> DataFrame:
-    """The first ``n`` pages in key order."""
-    return df.orderBy(key).limit(n)
+    """The first ``n`` pages in key order, null keys first.
+
+    Keys alone are sorted first; whole pages are read up to the last of these keys.
+    """
+    first = [r[0] for r in df.select(key).orderBy(key).limit(n).collect()]
+    known = [k for k in first if k is not None]
+    wanted = F.col(key).isNull() if len(known) < len(first) else F.lit(False)
+    if known:
+        wanted = wanted | (F.col(key) <= F.lit(known[-1]))
+    return df.filter(wanted).orderBy(key).limit(n)
 
 
 def with_article(df: DataFrame, article: Column) -> DataFrame:

@@ -205,3 +205,23 @@ def test_working_tables_are_deleted(spark, monkeypatch, tmp_path):
     assert os.path.isdir(session.run_dir(spark))
     session.clear_working_tables(spark)
     assert not os.path.exists(session.run_dir(spark))
+
+
+def test_sample_and_preview_read_the_first_pages_only(spark):
+    from pagemill.plans.flows import preview_chunks
+    from pagemill.sources.pages import sample_pages
+
+    rows = [(i, f"u{i}", "<article>" + "<h2>a b c d e</h2>" * (i % 3) + "</article>") for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    assert [r["page_id"] for r in sample_pages(pages, 7).collect()] == list(range(7))
+    odd = spark.createDataFrame([(None, "a", ""), (2, "b", ""), (1, "c", ""), (None, "d", "")], pages.schema)
+    assert [r["page_id"] for r in sample_pages(odd, 3).collect()] == [None, None, 1]
+    assert [r["page_id"] for r in sample_pages(odd, 1).collect()] == [None] and sample_pages(odd.limit(0), 3).collect() == []
+    seen = []
+    def build(df):
+        seen.append(df.count())
+        from pyspark.sql import functions as F
+        return df.filter("page_id >= 10").select((F.col("page_id") * 100).alias("id"))
+    assert [r["id"] for r in preview_chunks(pages, build, 4).collect()] == [1000, 1100, 1200, 1300]
+    assert seen == [4, 16]
+    assert preview_chunks(pages.limit(0), build, 4).collect() == []
