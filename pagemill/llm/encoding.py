@@ -31,6 +31,7 @@ _SPLIT = f"{_SHORT}|[{_LETTERS}]+|[0-9]|{_OTHER}+"
 _END = "\x01"  # stands for the end of a word; no common text has it
 
 
+# Fixed rule of public byte-level vocabularies.
 def _byte_of() -> dict[str, int]:
     """The byte for which each character of a byte-level vocabulary stands: printable
     Latin-1 characters for themselves, then the other bytes in order from 256 on."""

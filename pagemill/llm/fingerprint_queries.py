@@ -20,7 +20,8 @@ def with_next(docs, id="doc_id", text="text"):
     ascending id (null last, equal ids by a hash of the text); the first follows the last.
 
     Texts move once, by part. The first row of each part is also dealt to the part before
-    it. Those rows are found by id; there is one per part, so the list is broadcast.
+    it. Those rows are found by id; there is one per part, so the list is broadcast. Equal rows
+    follow each other in any order; a long text is held whole by one task, beside its successor.
     """
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = with_part(rows, "id", F.xxhash64("text"), PART_ROWS)

@@ -63,7 +63,7 @@ def queued(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str
     A source is cut into parts by place: sums within parts and sums over parts make the
     whole, so a source with a third of all rows is no single group. A null text has no
     words; null is a source of its own. Rows that agree in id and text are
-    interchangeable.
+    interchangeable. An empty table has no rows; a long text is counted where it lies.
     """
     sized = stored(docs.select(
         F.col(id).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
@@ -99,7 +99,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
 
     The order of all turns is cut by range of finish time. Words are counted for each
     range; the range in which the budget ends is sorted and summed up, which gives the
-    last turn and how much of it fits. All turns before it are taken whole.
+    last turn and how much of it fits. All turns before it are taken whole. An empty table
+    has no rows; where no text has a word, nothing is taken.
     """
     queue = stored(queued(docs, id, text, source, repeats), "queue")
     every = turns(queue, repeats).filter("size > 0")

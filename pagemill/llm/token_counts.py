@@ -195,7 +195,7 @@ def token_counts(docs: DataFrame, model_file: str, id: str = "doc_id", text: str
 
     A null or empty text has no tokens; repeated rows are counted each. Texts of up to
     ``chunk`` characters are finished where they are read; only the maps of longer ones
-    are shuffled, by row.
+    are shuffled, by row. An empty table has no rows.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).cast("bigint").alias("id"),
