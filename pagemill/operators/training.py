@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
 from ..functions.responses import parse_questions
 from ..functions.text import whole_part
+from ..sources.bucketed import in_key_order
 from ..sources.layout import checked_broadcast, stored
 from .joins import skew_join
 
@@ -49,6 +50,15 @@ def qa_join(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
     return pairs.orderBy("question_id") if ordered else pairs
 
 
+def qa_join_bucketed(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int = 1) -> DataFrame:
+    """``qa_join`` of two tables in the same buckets of ``doc_id`` (``sources.bucketed``), with
+    ``range``: written by it, folders are in the order of documents and so of question ids.
+    Neither questions nor texts are shuffled."""
+    ranged = in_key_order(questions, doc_id, ranges)
+    joined = ranged.join(docs.select(doc_id, text).hint("merge"), doc_id)
+    return joined.select(F.col("id").alias("question_id"), "question", F.col(text).alias("content"), "range")
+
+
 def answer_prompts(pairs: DataFrame, wording: TrainingWording = TrainingWording()) -> DataFrame:
     return pairs.select("question_id", answer_prompt(F.col("content"), F.col("question"), wording).alias("prompt"))
 

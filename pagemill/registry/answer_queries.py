@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.prompts import LINK, ChatWording, TrainingWording, prompt_hash
@@ -11,12 +13,13 @@ from ..operators.answers import (
     rag_context,
 )
 from ..operators.training import (
-    answer_prompts, batch_page, qa_dataset, qa_join, question_id, question_prompts, question_rows,
+    answer_prompts, batch_page, qa_dataset, qa_join, qa_join_bucketed, question_id, question_prompts, question_rows,
     questions_parse, resume_pending,
 )
 from ..plans.flows import answer_prompts as answer_all
 from ..plans.flows import build_prompts
 from ..session import new_dir
+from ..sources.bucketed import write_bucketed
 from ..sources.tables import append_batch, read_batches
 from .common import (
     CONTEXT_SQL, QUESTIONS_SQL, questions, site, sql_text, table, text_index,
@@ -130,6 +133,14 @@ def pairs(spark, d, **options):
     return qa_join(asked_rows(spark, d), table(spark, d, "documents"), **options)
 
 
+def bucketed_pairs(spark, d):
+    """Questions and documents as tables in buckets of the document."""
+    name = lambda label: f"{label}_{uuid.uuid4().hex}"
+    asked = write_bucketed(asked_rows(spark, d), name("questions"), "doc_id", 8)
+    docs = write_bucketed(table(spark, d, "documents").select("doc_id", "text"), name("documents"), "doc_id", 8)
+    return qa_join_bucketed(asked, docs, ranges=4)
+
+
 QUERIES = {
     "question_batch": batch_query,
     "rag_context": lambda s, d: context(s, d).select("question_id", "document_id", "score", "url"),
@@ -149,6 +160,7 @@ QUERIES = {
     "question_rows": asked_rows,
     "append_rows": append_query,
     "qa_join": pairs,
+    "qa_join_bucketed": lambda s, d: bucketed_pairs(s, d).drop("range"),
     "batch_page": lambda s, d: batch_page(table(s, d, "documents"), "doc_id", 30, 10),
     "resume_pending": pending_query,
     "answer_prompt": lambda s, d: answer_prompts(pairs(s, d, ordered=False)),
@@ -213,6 +225,7 @@ SELECT conv_id, turn, len(h) AS n_history,
     "question_rows": _ROWS + " SELECT * FROM question_rows",
     "append_rows": _ROWS + " SELECT * FROM question_rows",
     "qa_join": _ROWS + " SELECT question_id, question, content FROM pairs",
+    "qa_join_bucketed": _ROWS + " SELECT question_id, question, content FROM pairs",
     "batch_page": "SELECT * FROM documents ORDER BY doc_id LIMIT 10 OFFSET 30",
     "resume_pending": """SELECT *, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % 10 AS batch FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the public name of the format.
 NAMESPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
 
 

@@ -110,6 +110,15 @@ def test_a_key_of_a_million_rows_with_orders_like_time_stamps(spark):
     assert len(got) == 20_000 and all(r["h"] == list(range(max(0, r["x"] - 3), r["x"])) for r in got)
 
 
+def test_bucketed_join_moves_nothing(spark):
+    from pagemill.registry.answer_queries import bucketed_pairs
+    joined = bucketed_pairs(spark, "/root/testdata/sf0.001")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    spans = joined.groupBy("range").agg(F.min("question_id").alias("a"), F.max("question_id").alias("b")).orderBy("range").collect()
+    assert len(spans) == 4 and all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
+
+
 def test_one_prompt_asked_very_often(spark):
     from pagemill.operators.answers import completion_join
     prompts = spark.range(300).select(F.col("id").alias("question_id"),
