@@ -9,12 +9,15 @@ no vector of block X are closer than angle(centres) - radius(Q) - radius(X).
    the index blocks that lie nearest, and scoring these gives every query a k-th best score.
 2. Summaries meet again: what remains are pairs of blocks whose bound reaches the smallest k-th
    best score in Q. All others are skipped whole.
-3. Remaining pairs are joined by block number and scored, each pair in a group of its own; inside
-   it, queries whose own bound does not reach their score are left out.
-
-Nothing goes through the driver but the pivots, and nothing is broadcast but them and the sizes
-of cells. Bounds only skip what cannot be in the result, so results are those of scoring every
-pair. Where every query names its cells (``probed_blocks``), blocks of one cell are the pairs.
+3. Remaining pairs are scored in bands (``in_bands``): a task holds one band of query blocks, of
+   bounded size, and the index blocks of one band come to it one after the other. So a block is
+   sent once for each band that needs it and not once for each pair. Queries whose own bound does
+   not reach their score are left out.
+
+Nothing goes through the driver but the pivots, and nothing is broadcast but them, the sizes
+of cells and the bands of blocks. Bounds only skip what cannot be in the result, so results are
+those of scoring every pair. Where every query names its cells (``probed_blocks``), blocks of one
+cell are the pairs.
 """
 
 from __future__ import annotations
@@ -23,14 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.layout import partitioned, stored
+from ..sources.layout import BROADCAST_BYTES, partitioned, stored
 from .kernels import SCORE_DIGITS, BestMatches, add_cosines, unit_rows
 
 MATCHES = "q bigint, query_id bigint, id bigint, score double"
 BLOCK_BYTES = 4 << 20       # vectors of a block
+BLOCKS = 1_024              # blocks of one side, about, until they would pass BLOCK_BYTES
+HELD_BYTES = 64 << 20       # query blocks that a task holds
+SENT_BYTES = 256 << 20      # index blocks that come to it
+TASKS = 4                   # full bands' worth of tasks per core
 PIVOTS = 1_024
 TILE = 1_024                # block summaries of either side in one group
 SEEDS = 2                   # index blocks that give the first scores
@@ -166,22 +173,72 @@ def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["matrix"], np.float64).reshape(row["n"], row["dim"])
 
 
-def _scored(k: int, threshold: float | None, skip_same_id: bool):
-    """One pair of blocks -> the k best of each query in it."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.Table.from_pydict({"q": [], "query_id": [], "id": [], "score": []}, schema=_matches())
-        q, x = left.to_pylist()[0], right.to_pylist()[0]
-        (query_ids, queries), (ids, matrix) = _matrix(q), _matrix(x)
-        best = BestMatches(len(query_ids), k)
-        floors = np.frombuffer(q["floors"], np.float64) if q["floors"] else np.full(len(query_ids), -np.inf if threshold is None else threshold)
-        near = np.cos(np.maximum(0.0, _angles(queries @ np.frombuffer(x["centre"], np.float64)) - x["radius"]))
-        chosen = np.flatnonzero(near >= floors - SLACK)
-        if len(chosen):
-            add_cosines(best, query_ids, queries, ids, matrix, threshold, skip_same_id, chosen)
-        rows = pa.Table.from_batches([best.rows(query_ids)])
-        return rows.add_column(0, "q", pa.array(np.full(len(rows), q["q"]), pa.int64())).cast(_matches())
-    return run
+class Cosines:
+    """The k best of each query of a band: query blocks are held, index blocks added one by one."""
+
+    def __init__(self, k: int, threshold: float | None, skip_same_id: bool):
+        self.k, self.threshold, self.skip_same_id = k, threshold, skip_same_id
+        self.blocks, self.bands = {}, {}
+
+    def hold(self, row: dict) -> None:
+        self.blocks.setdefault(row["dim"], []).append(row)
+
+    def _band(self, dim: int):
+        """Blocks of one dimension as one matrix, made when the first index block comes."""
+        if dim not in self.bands:
+            rows = self.blocks.pop(dim, [])
+            read = [_matrix(r) for r in rows]
+            sizes = [len(ids) for ids, _ in read]
+            ends = np.cumsum(sizes, dtype=np.int64)
+            places = {r["q"]: np.arange(end - n, end) for r, n, end in zip(rows, sizes, ends)}
+            floors = [np.frombuffer(r["floors"], np.float64) if r.get("floors") else np.full(n, -np.inf) for r, n in zip(rows, sizes)]
+            numbers, ids, matrix, floors = (np.concatenate(c) if rows else np.zeros(0) for c in (
+                [np.full(n, r["q"], np.int64) for r, n in zip(rows, sizes)], [i for i, _ in read], [m for _, m in read], floors))
+            self.bands[dim] = numbers, ids, matrix, floors, places, BestMatches(len(ids), self.k)
+        return self.bands[dim]
+
+    def add(self, row: dict) -> tuple:
+        _, query_ids, queries, floors, places, best = self._band(row["dim"])
+        partners = [places[q] for q in row["partners"] if q in places]
+        if partners:
+            chosen = np.concatenate(partners)
+            ids, matrix = _matrix(row)
+            if row.get("centre"):
+                centre = np.frombuffer(row["centre"], np.float64)
+                near = np.concatenate([queries[p[0]:p[-1] + 1] @ centre for p in partners])
+                near = np.cos(np.maximum(0.0, _angles(near) - row["radius"]))
+                floor = floors[chosen] if self.threshold is None else np.maximum(floors[chosen], self.threshold)
+                chosen = chosen[near >= np.maximum(floor, best.scores[chosen, -1]) - SLACK]
+            if row.get("bits"):
+                passing = np.flatnonzero(np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:len(ids)])
+                ids, matrix = ids[passing], matrix[passing]
+            if len(chosen):
+                add_cosines(best, query_ids, queries, ids, matrix, self.threshold, self.skip_same_id, chosen, floors)
+        return ()
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        for numbers, query_ids, *_, best in self.bands.values():
+            each = best.rows(np.arange(len(query_ids)))
+            place = each.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[place], pa.int64()), pa.array(query_ids[place], pa.int64()),
+                                              each.column(1), each.column(2)], schema=_matches())
+
+
+class Pairwise:
+    """``run(query block, index block)`` for each pair of a band."""
+
+    def __init__(self, run):
+        self.run, self.held = run, {}
+
+    def hold(self, row: dict) -> None:
+        self.held[row["q"]] = row
+
+    def add(self, row: dict) -> Iterator[pa.RecordBatch]:
+        for q in row["partners"]:
+            yield self.run(self.held[q], row)
+
+    def finish(self) -> tuple:
+        return ()
 
 
 def _matches() -> pa.Schema:
@@ -189,18 +246,63 @@ def _matches() -> pa.Schema:
 
 
 def _of_pairs(pairs: DataFrame, queries: DataFrame, index: DataFrame, k: int, threshold: float | None, skip_same_id: bool) -> DataFrame:
-    """Pairs ``q, x`` joined to their blocks by number and scored, a group for each."""
-    q = queries.withColumnRenamed("block", "q").select("q", "dim", "ids", "matrix", "n", "floors")
-    x = index.withColumnRenamed("block", "x").select("x", "dim", "ids", "matrix", "n", "centre", "radius")
-    return grouped_pairs(pairs, q, x).applyInArrow(_scored(k, threshold, skip_same_id), MATCHES)
+    """Stored pairs ``q, x`` scored in bands."""
+    q = queries.withColumnRenamed("block", "q").select("q", "cell", "dim", "ids", "matrix", "n", "floors")
+    x = index.withColumnRenamed("block", "x").select("x", "cell", "dim", "ids", "matrix", "n", "centre", "radius")
+    return in_bands(pairs, q, x, lambda: Cosines(k, threshold, skip_same_id), MATCHES)
 
 
-def grouped_pairs(pairs: DataFrame, queries: DataFrame, index: DataFrame):
-    """Stored ``pairs(q, x)`` with the block ``q`` of ``queries`` and ``x`` of ``index``, a group each."""
-    again = pairs.select(F.col("q").alias("q"), F.col("x").alias("x"))
-    left, right, n = pairs.join(queries, "q"), again.join(index, "x"), pairs.count()
-    left, right = (partitioned(side, ("q", "x"), n) for side in (left, right))
-    return left.groupBy("q", "x").cogroup(right.groupBy("q", "x"))
+def _banded(blocks: DataFrame, key: str, band: str, n: int, total: int) -> DataFrame:
+    """``key, band``: blocks in the order of their cells, cut into ``n`` bands of about equal bytes.
+    There is a narrow row per block, so one task can number them."""
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy("cell", key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return blocks.select(key, F.least(F.floor(before / F.lit(max(1, total)) * n), F.lit(n - 1)).cast("int").alias(band))
+
+
+def in_bands(pairs: DataFrame, queries: DataFrame, index: DataFrame, work, schema: str, sent: str = "matrix") -> DataFrame:
+    """Stored ``pairs(q, x)`` of the blocks ``q`` of ``queries`` and ``x`` of ``index`` worked on in
+    bands. Both have a ``cell``; ``matrix`` and ``sent`` are what makes their rows large.
+
+    Both sides are cut into bands of blocks, and a task is a band of each. ``work()`` makes what
+    holds its query blocks (``hold``), gets its index blocks one by one, with the query blocks they
+    pair with as ``partners`` (``add``), and gives the rest of the result (``finish``). A block is
+    sent once for each band of the other side that has a partner of it.
+    """
+    sides = [stored(side.select(key, "cell", F.octet_length(large).cast("bigint").alias("bytes")), "sizes")
+             for side, key, large in ((queries, "q", "matrix"), (index, "x", sent))]
+    (n_q, q_bytes), (n_x, x_bytes) = (side.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first() for side in sides)
+    n_pairs, cores = pairs.count(), queries.sparkSession.sparkContext.defaultParallelism
+    # Tasks enough for all cores, when few of the pairs of bands have a pair of blocks.
+    tasks = min(TASKS * cores * n_q * n_x / max(1, n_pairs), 16 * TASKS * cores)
+    q_bands = max(1, min(n_q, max(-(-q_bytes // HELD_BYTES), round((tasks * q_bytes / max(1, x_bytes)) ** 0.5))))
+    x_bands = max(1, min(n_x, max(-(-x_bytes // SENT_BYTES), round(tasks / q_bands))))
+    q_side, x_side = _banded(sides[0], "q", "qb", q_bands, q_bytes), _banded(sides[1], "x", "xb", x_bands, x_bytes)
+    placed = stored(pairs.join(F.broadcast(q_side), "q").join(F.broadcast(x_side), "x").select(
+        "q", "x", (F.col("qb") * x_bands + F.col("xb")).alias("task")), "placed")
+    left = queries.join(F.broadcast(placed.select("q", "task").distinct()), "q")
+    partners = placed.groupBy("x", "task").agg(F.collect_list("q").alias("partners"))
+    partners = F.broadcast(partners) if 8 * n_pairs <= BROADCAST_BYTES else partners
+    both = left.unionByName(index.join(partners, "x"), allowMissingColumns=True)
+    names = both.columns
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, current = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(at)[i].as_py() for at, c in enumerate(names)}
+                if row["task"] != number:
+                    if current is not None:
+                        yield from current.finish()
+                    number, current = row["task"], work()
+                if row["x"] is None:
+                    current.hold(row)
+                else:
+                    yield from current.add(row)
+        if current is not None:
+            yield from current.finish()
+
+    dealt = both.repartitionById(q_bands * x_bands, F.col("task")).sortWithinPartitions("task", F.col("x").asc_nulls_first())
+    return dealt.mapInArrow(task, schema)
 
 
 def _floors(k: int, threshold: float | None):
@@ -242,11 +344,17 @@ def block_pairs(queries: DataFrame, index: DataFrame, k: int, threshold: float |
     return known, first, seeds, left
 
 
+def _least_bytes(total: int, block_bytes: int) -> int:
+    """Small blocks grow with the side, so that pairs of blocks, a narrow row each, stay bounded."""
+    return max(block_bytes, min(BLOCK_BYTES, total // BLOCKS))
+
+
 def topk_blocks(q: DataFrame, x: DataFrame, k: int, threshold: float | None, skip_same_id: bool,
                 block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS) -> DataFrame:
     """Candidates ``query_id, id, score`` of ``q(query_id, v)`` against ``x(id, v)``: each query's
     k best are among them, with at most k rows of each pair of blocks."""
     n, longest = x.agg(F.count("*"), F.max(F.array_size("v"))).first()
+    block_bytes = _least_bytes(n * 8 * (longest or 0), block_bytes)
     cells = max(1, min(pivots, -(-n * 8 * (longest or 0) // block_bytes)))
     marks = _pivots(x, cells)
     queries = blocks_of(q.withColumnRenamed("query_id", "id"), marks, block_bytes)
@@ -258,6 +366,8 @@ def topk_blocks(q: DataFrame, x: DataFrame, k: int, threshold: float | None, ski
 def probed_blocks(q: DataFrame, x: DataFrame, k: int, threshold: float | None, skip_same_id: bool,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """As ``topk_blocks``, where each of ``q(query_id, v, cells)`` meets only its cells of ``x(id, v, cell)``."""
+    n, longest = x.agg(F.count("*"), F.max(F.array_size("v"))).first()
+    block_bytes = _least_bytes(n * 8 * (longest or 0), block_bytes)
     asked = q.select(F.col("query_id").alias("id"), "v", F.explode("cells").alias("cell"))
     queries = blocks_of(asked, None, block_bytes).withColumn("floors", F.lit(None).cast("binary"))
     index = blocks_of(x.filter(F.col("cell").isNotNull()).select("id", "v", F.col("cell").cast("int").alias("cell")), None, block_bytes)

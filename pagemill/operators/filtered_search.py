@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.layout import stored
-from .bounded_search import BLOCK_BYTES, blocks_of, grouped_pairs
-from .kernels import BestMatches, add_cosines
-from .search import MATCH_SCHEMA, _rank, nearest_cells
+from .bounded_search import BLOCK_BYTES, MATCHES, Cosines, blocks_of, in_bands
+from .search import _rank, nearest_cells
 
 BLOCKS = "block bigint, dim int, ids binary, matrix binary, n int"
 BITMAPS = "name string, value string, block bigint, count int, bits binary"
@@ -102,15 +101,13 @@ class FilterIndex:
         near = nearest_cells(F.col(vector), self.centroids, len(self.centroids))
         asked = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("v"), _taken(near, counts, at_least).alias("cells"))
         asked = asked.select("id", "v", F.explode("cells").alias("cell"))
-        q = blocks_of(asked, None, block_bytes).select(F.col("block").alias("q"), "cell", F.col("dim").alias("q_dim"), F.col("ids").alias("query_ids"),
-                                                       F.col("matrix").alias("queries"))
+        q = blocks_of(asked, None, block_bytes).select(F.col("block").alias("q"), "cell", "dim", "ids", "matrix", "n")
         wanted = self.blocks.filter(F.col("cell").isin(sorted(counts))) if counts else self.blocks.limit(0)
         index = wanted.join(passing.withColumnRenamed("block", "_block"), F.col("block") == F.col("_block")).drop("_block", "count")
         pairs = stored(q.select("q", "cell").join(cells.join(passing.select("block"), "block", "left_semi").select(
             F.col("block").alias("x"), "cell"), "cell").select("q", "x"), "pairs")
-        grouped = grouped_pairs(pairs, q.drop("cell"), index.withColumnRenamed("block", "x").drop("cell"))
-        scored = grouped.applyInArrow(_scored(k, threshold, skip_same_id), MATCH_SCHEMA)
-        return _rank(scored, k)
+        scored = in_bands(pairs, q, index.withColumnRenamed("block", "x"), lambda: Cosines(k, threshold, skip_same_id), MATCHES)
+        return _rank(scored.drop("q"), k)
 
 
 def build_filter_index(index: DataFrame, centroids: np.ndarray, columns: list[str], path: str, index_id: str = "id", vector: str = "embedding",
@@ -162,25 +159,3 @@ def _taken(near, counts: dict[int, int], at_least: int | None):
         return F.when(acc["n"] < at_least, more).otherwise(acc)
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.array().cast("array<int>").alias("cells"))
     return F.aggregate(some, start, step, lambda acc: acc["cells"])
-
-
-def _scored(k: int, threshold: float | None, skip_same_id: bool):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = BestMatches(0, k)
-        query_ids = np.zeros(0, np.int64)
-        if len(left) and len(right):
-            q, x = left.to_pylist()[0], right.to_pylist()[0]
-            if q["q_dim"] == x["dim"]:
-                query_ids = np.frombuffer(q["query_ids"], "<i8")
-                queries = np.frombuffer(q["queries"], np.float64).reshape(-1, x["dim"])
-                rows = np.flatnonzero(np.unpackbits(np.frombuffer(x["bits"], np.uint8))[:x["n"]])
-                ids = np.frombuffer(x["ids"], "<i8")[rows]
-                matrix = np.frombuffer(x["matrix"], np.float64).reshape(-1, x["dim"])[rows]
-                best = BestMatches(len(query_ids), k)
-                add_cosines(best, query_ids, queries, ids, matrix, threshold, skip_same_id)
-        return pa.Table.from_batches([best.rows(query_ids)]).cast(_matches())
-    return run
-
-
-def _matches() -> pa.Schema:
-    return pa.schema([pa.field("query_id", pa.int64(), False), pa.field("id", pa.int64(), False), pa.field("score", pa.float64(), False)])

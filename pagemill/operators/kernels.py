@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 
 SCORE_DIGITS = 6
 TILE_CELLS = 4_000_000
+PIECE_BYTES = 4 << 20       # text that is cut into words at once
+TILE_ROWS = 1_024           # queries and rows of a tile of single-precision scores
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -36,15 +38,18 @@ class BestMatches:
             kth = np.partition(scores, -self.k, axis=1)[:, -self.k][:, None]
             floor = np.maximum(floor, kth)
         row, col = np.nonzero((scores >= floor) & (scores > -np.inf))
-        if not row.size:
+        self.merge(queries[row], scores[row, col], ids[col])
+
+    def merge(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Rounded scores of single pairs, each with the position of its query."""
+        if not queries.size:
             return
-        touched = np.unique(row)
-        held = queries[touched]
-        all_rows = np.concatenate([np.repeat(touched, self.k), row])
-        all_scores = np.concatenate([self.scores[held].ravel(), scores[row, col]])
-        all_ids = np.concatenate([self.ids[held].ravel(), ids[col]])
+        held = np.unique(queries)
+        all_rows = np.concatenate([np.repeat(held, self.k), queries])
+        all_scores = np.concatenate([self.scores[held].ravel(), scores])
+        all_ids = np.concatenate([self.ids[held].ravel(), ids])
         order = np.lexsort((all_ids, -all_scores, all_rows))
-        first = np.searchsorted(all_rows[order], touched)
+        first = np.searchsorted(all_rows[order], held)
         take = order[first[:, None] + np.arange(self.k)]
         self.scores[held] = all_scores[take]
         self.ids[held] = all_ids[take]
@@ -74,21 +79,93 @@ def unit_rows(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[np.ndarray, n
     return ids.to_numpy(zero_copy_only=False)[good], matrix[good] / norm[good][:, None]
 
 
+def fewest_copies(ids: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the rows that may be among the ``k`` best of any query: of equal vectors, which
+    have equal scores, those with the ``k + 1`` lowest ids (one may be the query's own), and at most
+    ``k`` rows of one id."""
+    keys = np.ascontiguousarray(matrix).view(np.dtype((np.void, matrix.itemsize * matrix.shape[1]))).ravel()
+    _, group = np.unique(keys, return_inverse=True)
+    if not len(group) or group.max() + 1 == len(group):
+        return np.arange(len(ids))
+    order = np.lexsort((ids, group))
+    g, i = group[order], ids[order]
+    new_group = np.append(True, g[1:] != g[:-1])
+    new_id = new_group | np.append(True, i[1:] != i[:-1])
+    number = np.cumsum(new_id)
+    at_group, at_id = np.flatnonzero(new_group), np.flatnonzero(new_id)
+    of_group = number - number[at_group][np.cumsum(new_group) - 1]          # distinct ids before it
+    of_id = np.arange(len(g)) - at_id[number - 1]                           # rows of its id before it
+    return np.sort(order[(of_group <= k) & (of_id < k)])
+
+
 def add_cosines(best: BestMatches, query_ids: np.ndarray, queries: np.ndarray,
                 ids: np.ndarray, matrix: np.ndarray, threshold: float | None,
-                skip_same_id: bool, chosen: np.ndarray | None = None) -> None:
-    """Score the rows against the chosen queries, a bounded tile at a time."""
-    if chosen is not None:
-        query_ids, queries = query_ids[chosen], queries[chosen]
-    width = max(1, TILE_CELLS // max(1, len(queries)))
-    for lo in range(0, len(ids), width):
-        part = ids[lo:lo + width]
-        scores = queries @ matrix[lo:lo + width].T
-        if threshold is not None:
-            scores[np.round(scores, SCORE_DIGITS) < threshold] = -np.inf
-        if skip_same_id:
-            scores[query_ids[:, None] == part[None, :]] = -np.inf
-        best.add(scores, part, chosen)
+                skip_same_id: bool, chosen: np.ndarray | None = None, floors: np.ndarray | None = None) -> None:
+    """Score the rows against the chosen queries, a bounded tile at a time; rows and queries are
+    unit vectors. ``floors`` are scores that a query's matches are known to reach.
+
+    A tile is scored in single precision first, whose error has a bound. What may reach a query's
+    k-th best score by it, a few pairs, is scored in double precision.
+    """
+    if not len(ids) or not len(queries):
+        return
+    kept = fewest_copies(ids, matrix, best.k)
+    if len(kept) < len(ids):
+        ids, matrix = ids[kept], matrix[kept]
+    least = -np.inf if threshold is None else threshold
+    error = (matrix.shape[1] + 8) * 2.0 ** -23
+    digit = 10.0 ** -SCORE_DIGITS
+    places = np.arange(len(queries)) if chosen is None else chosen
+    rows = matrix.astype(np.float32)
+    by_id = np.argsort(ids, kind="stable") if skip_same_id else None
+    for start in range(0, len(places), TILE_ROWS):
+        at = places[start:start + TILE_ROWS]
+        asked = queries[at]
+        single = asked.astype(np.float32)
+        known = np.full(len(at), least) if floors is None else np.maximum(floors[at], least)
+        own, own_rows = _own_rows(query_ids[at], ids, by_id) if skip_same_id else (None, None)
+        for lo in range(0, len(ids), TILE_ROWS):
+            part = rows[lo:lo + TILE_ROWS]
+            near = single @ part.T
+            if skip_same_id:
+                here = (own_rows >= lo) & (own_rows < lo + len(part))
+                near[own[here], own_rows[here] - lo] = -np.inf
+            low = np.maximum(best.scores[at, -1], known) - error - digit
+            touched = np.flatnonzero(near.max(axis=1) >= low)
+            if not len(touched):
+                continue
+            near, low = near if len(touched) == len(at) else near[touched], low[touched]
+            if near.shape[1] > best.k:
+                many = np.flatnonzero((near >= low[:, None]).sum(axis=1) > 2 * best.k)
+                kth = np.partition(near[many], -best.k, axis=1)[:, -best.k]
+                low[many] = np.maximum(low[many], kth.astype(np.float64) - 2 * error - digit)
+            row, col = np.nonzero((near >= low[:, None]) & (near > -np.inf))
+            for a in range(0, len(row), TILE_CELLS // matrix.shape[1] or 1):
+                r, c = row[a:a + (TILE_CELLS // matrix.shape[1] or 1)], col[a:a + (TILE_CELLS // matrix.shape[1] or 1)] + lo
+                scores = np.round(np.einsum("ij,ij->i", asked[touched[r]], matrix[c]), SCORE_DIGITS)
+                use = scores >= np.maximum(least, best.scores[at[touched[r]], -1])
+                best.merge(at[touched[r[use]]], scores[use], ids[c[use]])
+
+
+def _own_rows(query_ids: np.ndarray, ids: np.ndarray, by_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a row with the same id, as positions; ``by_id`` sorts the rows."""
+    ordered = ids[by_id]
+    first, after = np.searchsorted(ordered, query_ids), np.searchsorted(ordered, query_ids, side="right")
+    n = after - first
+    query = np.repeat(np.arange(len(query_ids)), n)
+    return query, by_id[np.arange(len(query)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+
+
+def pieces(texts: pa.Array, rows: int | None = None) -> list[tuple[int, int]]:
+    """Start and number of rows of slices with about ``PIECE_BYTES`` of text, and at most ``rows`` rows."""
+    out, lo = [], 0
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while lo < len(texts):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE_BYTES, side="right"))
+        hi = min(max(hi, lo + 1), len(texts), lo + (rows or len(texts)))
+        out.append((lo, hi - lo))
+        lo = hi
+    return out
 
 
 def word_lists(texts: pa.Array) -> pa.Array:

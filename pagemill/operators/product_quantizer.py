@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.layout import stored
-from .bounded_search import BLOCK_BYTES, blocks_of, grouped_pairs
-from .kernels import SCORE_DIGITS, TILE_CELLS, BestMatches, unit_rows
+from .bounded_search import BLOCK_BYTES, MATCHES, Cosines, Pairwise, blocks_of, in_bands
+from .kernels import SCORE_DIGITS, TILE_CELLS, BestMatches, add_cosines, unit_rows
 from .search import _rank, nearest_cells
 
 SAMPLE = 65_536     # vectors that the codebooks are fitted on
@@ -142,45 +142,40 @@ def topk_quantized(queries: DataFrame, blocks: DataFrame, quantizer: Quantizer,
     cells = nearest_cells(F.col(vector), quantizer.centroids, probes or len(quantizer.centroids))
     asked = queries.filter(F.array_size(vector) == dim).select(
         F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("v"), F.explode(cells).alias("cell"))
-    q = blocks_of(asked, None, block_bytes).select(F.col("block").alias("q"), "cell", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"))
+    q = blocks_of(asked, None, block_bytes).select(F.col("block").alias("q"), "cell", "dim", "ids", "matrix", "n")
     pairs = stored(q.select("q", "cell").join(blocks.select(F.col("block").alias("x"), "cell"), "cell").select("q", "x"), "pairs")
     shared = queries.sparkSession.sparkContext.broadcast((quantizer.centroids, quantizer.books))
-    floors = None
     if depth < blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]:
-        near = _paired(pairs, q, blocks.select("block", "cell", "ids", "codes"), _approximate(shared, depth, skip_same_id))
+        near = _paired(pairs, q, blocks.select("block", "cell", "ids", "codes"), _approximate(shared, depth, skip_same_id), "codes")
         last = _rank(near, depth).groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
         # Fewer candidates than the depth: all of them are scored.
         floors = stored(last.filter(F.col("n") >= depth).select("query_id", "floor"), "floors")
-        members = q.select("q", "query_ids").mapInArrow(_members, "q bigint, place int, query_id bigint")
+        members = q.select("q", "ids").mapInArrow(_members, "q bigint, place int, query_id bigint")
         listed = members.join(floors, "query_id", "left").groupBy("q").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("place", "floor"))), lambda f: f["floor"]).alias("floors"))
         q = q.join(listed, "q", "left")
+        found = _paired(pairs, q, blocks.select("block", "cell", "ids", "codes", "matrix"), _exact(shared, k, threshold, skip_same_id))
     else:
-        q = q.withColumn("floors", F.lit(None).cast("array<double>"))
-    found = _paired(pairs, q, blocks.select("block", "cell", "ids", "codes", "matrix"), _exact(shared, k, threshold, skip_same_id))
+        x = blocks.select(F.col("block").alias("x"), "cell", F.lit(dim).alias("dim"), "ids", "matrix", "n")
+        found = in_bands(pairs, q, x, lambda: Cosines(k, threshold, skip_same_id), MATCHES).drop("q")
     return _rank(found, k)
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of queries -> one row per query: its block and its place there."""
     for batch in batches:
-        for number, data in zip(batch.column("q").to_pylist(), batch.column("query_ids").to_pylist()):
+        for number, data in zip(batch.column("q").to_pylist(), batch.column("ids").to_pylist()):
             ids = np.frombuffer(data, "<i8")
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), number), pa.int64()), pa.array(np.arange(len(ids)), pa.int32()), pa.array(ids)],
                                              ["q", "place", "query_id"])
 
 
-def _paired(pairs: DataFrame, q: DataFrame, x: DataFrame, work) -> DataFrame:
-    return grouped_pairs(pairs, q, x.withColumnRenamed("block", "x").drop("cell")).applyInArrow(work, _MATCHES)
+def _paired(pairs: DataFrame, q: DataFrame, x: DataFrame, run, sent: str = "matrix") -> DataFrame:
+    return in_bands(pairs, q, x.withColumnRenamed("block", "x"), lambda: Pairwise(run), _MATCHES, sent)
 
 
-def _none() -> pa.Table:
-    return pa.Table.from_batches([BestMatches(0, 1).rows(np.zeros(0, np.int64))])
-
-
-def _read(left: pa.Table, right: pa.Table, dim: int):
-    q, x = left.to_pylist()[0], right.to_pylist()[0]
-    return (q, x, np.frombuffer(q["query_ids"], "<i8"), np.frombuffer(q["queries"], np.float64).reshape(-1, dim), np.frombuffer(x["ids"], "<i8"))
+def _read(q: dict, x: dict, dim: int):
+    return (np.frombuffer(q["ids"], "<i8"), np.frombuffer(q["matrix"], np.float64).reshape(-1, dim), np.frombuffer(x["ids"], "<i8"))
 
 
 def _tiles(quantizer: Quantizer, queries: np.ndarray, codes: np.ndarray, cell: int):
@@ -192,11 +187,9 @@ def _tiles(quantizer: Quantizer, queries: np.ndarray, codes: np.ndarray, cell: i
 
 
 def _approximate(shared, depth: int, skip_same_id: bool):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return _none()
+    def run(q: dict, x: dict) -> pa.RecordBatch:
         made = Quantizer(*shared.value)
-        q, x, query_ids, queries, ids = _read(left, right, made.centroids.shape[1])
+        query_ids, queries, ids = _read(q, x, made.centroids.shape[1])
         codes = np.frombuffer(x["codes"], np.uint8).reshape(len(ids), -1)
         best = BestMatches(len(query_ids), min(depth, len(ids)))
         for lo, scores in _tiles(made, queries, codes, q["cell"]):
@@ -204,16 +197,14 @@ def _approximate(shared, depth: int, skip_same_id: bool):
             if skip_same_id:
                 scores[query_ids[:, None] == part[None, :]] = -np.inf
             best.add(scores, part)
-        return pa.Table.from_batches([best.rows(query_ids)])
+        return best.rows(query_ids)
     return run
 
 
 def _exact(shared, k: int, threshold: float | None, skip_same_id: bool):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return _none()
+    def run(q: dict, x: dict) -> pa.RecordBatch:
         made = Quantizer(*shared.value)
-        q, x, query_ids, queries, ids = _read(left, right, made.centroids.shape[1])
+        query_ids, queries, ids = _read(q, x, made.centroids.shape[1])
         matrix = np.frombuffer(x["matrix"], np.float64).reshape(len(ids), -1)
         codes = np.frombuffer(x["codes"], np.uint8).reshape(len(ids), -1)
         floors = np.full(len(query_ids), -np.inf)
@@ -221,9 +212,7 @@ def _exact(shared, k: int, threshold: float | None, skip_same_id: bool):
             floors = np.array([-np.inf if f is None else f for f in q["floors"]])
         best = BestMatches(len(query_ids), k)
         if not np.isfinite(floors).any():
-            width = max(1, TILE_CELLS // max(1, len(queries)))
-            for lo in range(0, len(ids), width):
-                _add(best, queries @ matrix[lo:lo + width].T, query_ids, ids[lo:lo + width], threshold, skip_same_id)
+            add_cosines(best, query_ids, queries, ids, matrix, threshold, skip_same_id)
         else:
             for lo, near in _tiles(made, queries, codes, q["cell"]):
                 part, vectors = ids[lo:lo + near.shape[1]], matrix[lo:lo + near.shape[1]]
@@ -233,7 +222,7 @@ def _exact(shared, k: int, threshold: float | None, skip_same_id: bool):
                     r, c = row[a:a + TILE_CELLS // vectors.shape[1]], col[a:a + TILE_CELLS // vectors.shape[1]]
                     scores[r, c] = (queries[r] * vectors[c]).sum(axis=1)
                 _add(best, scores, query_ids, part, threshold, skip_same_id)
-        return pa.Table.from_batches([best.rows(query_ids)])
+        return best.rows(query_ids)
     return run
 
 

@@ -100,3 +100,46 @@ def test_no_driver_loop_over_queries(clustered, monkeypatch):
     monkeypatch.setattr(DataFrame, "toArrow", lambda self: taken.append(self.columns) or original(self))
     search.topk(q.withColumnRenamed("v", "embedding"), x.withColumnRenamed("v", "embedding"), 3, batch_bytes=10_000).count()
     assert all("query_id" not in columns for columns in taken)
+
+
+class Received:
+    """Counts the blocks that a task gets."""
+
+    def __init__(self):
+        self.blocks = self.pairs = 0
+
+    def hold(self, row):
+        self.blocks += 1
+
+    def add(self, row):
+        self.blocks, self.pairs = self.blocks + 1, self.pairs + len(row["partners"])
+        return ()
+
+    def finish(self):
+        import pyarrow as pa
+        yield pa.RecordBatch.from_pydict({"blocks": [self.blocks], "pairs": [self.pairs]})
+
+
+def test_a_block_is_sent_once_per_band_and_not_once_per_pair(spark):
+    side = lambda name: spark.range(30).selectExpr(f"id AS {name}", "0 AS cell", "cast(repeat('x', 800) AS binary) AS matrix")
+    q, x = side("q"), side("x")
+    got = bounded_search.in_bands(q.select("q").crossJoin(x.select("x")), q, x, Received, "blocks bigint, pairs bigint").collect()
+    assert sum(r["pairs"] for r in got) == 900
+    assert sum(r["blocks"] for r in got) < 900 / 2      # by pairs, 1,800 were sent
+
+
+def test_equal_to_double_precision(spark):
+    """Scores that single precision cannot tell apart, copies, and ids that come twice."""
+    from pagemill.operators.kernels import BestMatches, add_cosines, fewest_copies
+    rng = np.random.default_rng(8)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    index = unit(np.concatenate([np.ones((1_500, DIM)) + rng.normal(size=(1_500, DIM)) * 2e-3, np.repeat(np.eye(DIM)[:2], 700, axis=0)]))
+    queries, ids, asked = unit(np.ones((9, DIM)) + rng.normal(size=(9, DIM)) * 0.02), rng.integers(0, 900, len(index)), np.arange(9)
+    scores = queries @ index.T
+    scores[asked[:, None] == ids[None, :]] = -np.inf
+    want, got = BestMatches(9, 12), BestMatches(9, 12)
+    want.add(scores, ids)
+    add_cosines(got, asked, queries, ids, index, None, True)
+    assert np.array_equal(want.scores, got.scores) and np.array_equal(want.ids, got.ids)
+    kept = fewest_copies(np.array([5, 5, 5, 1, 2, 3, 9]), np.array([[1.0, 0]] * 6 + [[0, 1.0]]), 2)
+    assert kept.tolist() == [3, 4, 5, 6]
