@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.layout import gathered, partitioned, stored
-from .kernels import TILE_CELLS, BestMatches, word_codes, word_lists
+from .kernels import TILE_CELLS, BestMatches, pieces, word_codes, word_lists
 from .search import MATCH_SCHEMA, _rank
 
 K1 = 1.2
@@ -20,6 +20,8 @@ B = 0.75
 BROADCAST_BYTES = 32 << 20
 TERM_BLOCK = 1_000_000
 DOC_BLOCK = 32_768
+WORD_BLOCK = 4_000_000      # words of the documents of a block, about
+FAN_OUT = 1_000_000         # pairs of a document's word and a query, at once
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
@@ -28,11 +30,12 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     Queries and documents are cut into words by the same function.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = word_lists(batch.column(1))
-            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            each = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), lists.flatten()], names=["query_id", "term"])
-            yield each.filter(pc.not_equal(each.column(1), ""))
+        for whole in batches:
+            for batch in (whole.slice(lo, n) for lo, n in pieces(whole.column(1))):
+                lists = word_lists(batch.column(1))
+                row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                each = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), lists.flatten()], names=["query_id", "term"])
+                yield each.filter(pc.not_equal(each.column(1), ""))
 
     rows = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(text).alias("text"))
     each = rows.mapInArrow(task, "query_id bigint, term string")
@@ -45,7 +48,7 @@ def word_frequencies(docs: DataFrame, terms: DataFrame, few: bool, text: str = "
     The row of the empty word, which no text holds, counts all documents and sums
     their lengths. Each task counts its own texts first, so a word that every
     document holds is no large group. ``few`` query words are sent to all tasks, which
-    then count only those; otherwise a task counts all words of a batch.
+    then count only those; otherwise a task counts all words of a piece of its texts.
     """
     texts, spark = docs.select(text), docs.sparkSession
     vocabulary = terms.select("term").distinct()
@@ -63,8 +66,8 @@ def word_frequencies(docs: DataFrame, terms: DataFrame, few: bool, text: str = "
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         df, length, n_docs = np.zeros(len(known or ()), np.int64), 0, 0
-        for batch in batches:
-            lists = word_lists(batch.column(0))
+        for texts in (batch.column(0).slice(lo, n) for batch in batches for lo, n in pieces(batch.column(0))):
+            lists = word_lists(texts)
             words = lists.flatten().unique().cast(pa.string()) if known is None else known
             doc, code, lengths = word_codes(lists, words)
             pairs = np.unique(doc * (len(words) + 1) + code)
@@ -114,7 +117,7 @@ def keyword_search(
     weighted = term_weights(terms, frequencies, n_docs)
     if few:
         return _rank(_scan(d, weighted.toArrow(), k, mean), k)
-    return _rank(_block_join(d, weighted, k, mean, n_docs, n_terms), k)
+    return _rank(_block_join(d, weighted, k, mean, n_docs, n_terms, length), k)
 
 
 class Postings(NamedTuple):
@@ -139,9 +142,9 @@ class Postings(NamedTuple):
     def add_documents(self, best: BestMatches, ids: pa.Array, texts: pa.Array, mean: float) -> None:
         """Score the documents against all queries, a bounded tile at a time."""
         width = max(1, TILE_CELLS // max(1, len(self.query_ids)))
-        for lo in range(0, len(ids), width):
-            part = ids.slice(lo, width).to_numpy(zero_copy_only=False)
-            best.add(self.scores(texts.slice(lo, width), mean), part)
+        for lo, n in pieces(texts, width):
+            part = ids.slice(lo, n).to_numpy(zero_copy_only=False)
+            best.add(self.scores(texts.slice(lo, n), mean), part)
 
     def scores(self, texts: pa.Array, mean: float) -> np.ndarray:
         """BM25 of shape (queries, texts); ``-inf`` where no word is shared."""
@@ -159,7 +162,7 @@ class Postings(NamedTuple):
         lo = 0
         while lo < len(term):
             base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, base + TILE_CELLS, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, base + FAN_OUT, side="right")))
             f = fan_out[lo:hi]
             before = np.concatenate([[0], np.cumsum(f)[:-1]])
             at = np.repeat(self.starts[term[lo:hi]] - before, f) + np.arange(f.sum())
@@ -186,10 +189,10 @@ def _scan(docs: DataFrame, weighted: pa.Table, k: int, mean: float) -> DataFrame
 
 
 def _block_join(docs: DataFrame, weighted: DataFrame, k: int, mean: float,
-                n_docs: int, n_terms: int) -> DataFrame:
+                n_docs: int, n_terms: int, n_words: int) -> DataFrame:
     """Blocks of queries against blocks of documents, each pair of blocks in a group
     of bounded size. A word in a third of all documents is spread over all blocks."""
-    d_blocks, q_blocks = -(-n_docs // DOC_BLOCK) or 1, -(-n_terms // TERM_BLOCK) or 1
+    d_blocks, q_blocks = max(-(-n_docs // DOC_BLOCK), -(-n_words // WORD_BLOCK)) or 1, -(-n_terms // TERM_BLOCK) or 1
     own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     d = docs.withColumn("db", own("id", d_blocks)).withColumn("qb", each(q_blocks))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..sources.layout import partitioned, stored
 from ..sources.tables import append_batch
-from .kernels import SCORE_DIGITS, BestMatches, word_codes, word_lists
+from .kernels import SCORE_DIGITS, BestMatches, pieces, word_codes, word_lists
 from .keyword import BROADCAST_BYTES, K1, TERM_BLOCK, B, query_terms, term_weights
 from .search import MATCH_SCHEMA, _rank
 
@@ -40,6 +40,7 @@ SEGMENT_DOCS = 16_384           # a multiple of SLOT
 SEGMENT_POSTINGS = 4_000_000    # a segment is closed from here on; a document stays whole
 PIECE = 1_024                   # documents added at once
 RANGE_ROWS = 500_000            # rows of the index per range of terms
+KEPT = 20_000                   # decoded slots that a segment keeps
 AT_ONCE = 8                     # slots visited, at most, before the k-th best score is looked at again
 SLACK = 2 * 10.0 ** -SCORE_DIGITS
 
@@ -61,7 +62,7 @@ class Inverted:
         doc, code, length = word_codes(lists, words)
         pair, tf = np.unique(doc * max(1, len(words)) + code, return_counts=True)
         doc, code = pair // max(1, len(words)), pair % max(1, len(words))
-        self.parts.append((words, code, doc + self.docs, tf))
+        self.parts.append((words, code.astype(np.int32), (doc + self.docs).astype(np.int32), tf.astype(np.int32)))
         self.ids.append(ids.to_numpy(zero_copy_only=False))
         self.lengths.append(length)
         self.docs += len(ids)
@@ -73,26 +74,31 @@ class Inverted:
         order = pc.sort_indices(terms).to_numpy()
         rank = np.empty(len(terms), np.int64)
         rank[order] = np.arange(len(terms))
-        numbers, at = rank[coded.indices.to_numpy(zero_copy_only=False)], 0
+        numbers, at = rank[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32), 0
         code = []
         for words, c, *_ in self.parts:
             code.append(numbers[at:at + len(words)][c])
             at += len(words)
         term, doc, tf = np.concatenate(code), *(np.concatenate([p[k] for p in self.parts]) for k in (2, 3))
-        by = np.argsort(term * SEGMENT_LIMIT + doc, kind="stable")
-        term, doc, tf = term[by], doc[by], tf[by].astype(np.int64)
+        self.parts = code = None                    # a segment's postings are held once
+        by = np.argsort(term * np.int64(SEGMENT_LIMIT) + doc, kind="stable")
+        term, doc, tf = term[by], doc[by], tf[by]
+        del by
         length = np.concatenate(self.lengths)
         total = len(term)
         known, term_start = np.unique(term, return_index=True)   # words without postings have no row
-        block = term * (SEGMENT_LIMIT // SLOT) + doc // SLOT
-        block_start = np.flatnonzero(np.append(True, block[1:] != block[:-1])[:total])
+        slot = doc // SLOT
+        begins = np.append(True, (term[1:] != term[:-1]) | (slot[1:] != slot[:-1]))[:total]
+        block_start = np.flatnonzero(begins)
         block_of_term = np.searchsorted(block_start, term_start)
         # Impacts: by falling frequency, only what is shorter than all before it in the block.
-        number = np.cumsum(np.append(True, block[1:] != block[:-1])[:total]) - 1
+        number = np.cumsum(begins, dtype=np.int32) - np.int32(1)
+        del term, slot, begins
         falling = np.lexsort((length[doc], -tf, number))
-        key = length[doc][falling] - number[falling] * (int(length.max(initial=0)) + 1)
+        key = length[doc[falling]] - number[falling] * np.int64(int(length.max(initial=0)) + 1)
         least = np.minimum.accumulate(key)
         keep = falling[np.append(True, key[1:] < least[:-1])[:total]]
+        del falling, key, least
         impact_end = np.searchsorted(number[keep], np.arange(len(block_start)), side="right")
         first_impact = np.append(0, impact_end)[block_of_term]
         counts = np.diff(np.append(term_start, total))
@@ -107,7 +113,7 @@ class Inverted:
         of_term = np.repeat(np.arange(len(known)), per_term)
         rows = pa.RecordBatch.from_arrays([
             pa.array(np.full(len(known), segment)), terms.take(pa.array(order[known])), pa.array(counts, pa.int32()),
-            pa.array(np.add.reduceat(tf, term_start) if total else np.zeros(0, np.int64), pa.int64()),
+            pa.array(np.add.reduceat(tf, term_start, dtype=np.int64) if total else np.zeros(0, np.int64), pa.int64()),
             lists(blocks, doc[block_start] // SLOT),
             lists(blocks, (block_start + ends) - np.repeat(term_start, per_term)),
             lists(blocks, impact_end - first_impact[of_term]),
@@ -131,8 +137,8 @@ def _inverted(segment_docs: int, segment_postings: int):
 
         number, held = TaskContext.get().partitionId() << 33, Inverted()
         for batch in batches:
-            for lo in range(0, batch.num_rows, min(PIECE, segment_docs)):
-                piece = batch.slice(lo, min(PIECE, segment_docs, batch.num_rows - lo))
+            for lo, n in pieces(batch.column(1), min(PIECE, segment_docs)):
+                piece = batch.slice(lo, n)
                 if held.docs + piece.num_rows > segment_docs or held.postings >= segment_postings:
                     yield held.closed(number)
                     number, held = number + 1, Inverted()
@@ -246,28 +252,34 @@ class Segment:
     """The rows of one segment, decoded slot by slot when they are needed."""
 
     def __init__(self, rows: pa.Table, mean: float):
-        own = rows.filter(pc.equal(rows.column("term"), "")).to_pylist()
+        own = rows.filter(pc.equal(rows.column("term"), "")).select(["docs", "tfs"]).to_pylist()
         self.ids = np.frombuffer(own[0]["docs"], "<i8") if own else np.zeros(0, np.int64)
         self.lengths = np.frombuffer(own[0]["tfs"], "<i4") if own else np.zeros(0, np.int32)
         self.mean, self.slots = mean, -(-len(self.ids) // SLOT)
         self.rows, self.bounds, self.kept = {}, {}, {}
         self.decoded = 0
-        for r in rows.filter(pc.not_equal(rows.column("term"), "")).to_pylist():
-            share = _share(np.array(r["impact_tf"], float), np.array(r["impact_len"], float), mean)
-            starts = np.array([0, *r["impact_ends"][:-1]], np.int64)
-            bound = np.zeros(self.slots)
-            bound[r["slots"]] = np.maximum.reduceat(share, starts)
-            self.bounds[r["term"]] = bound
-            self.rows[r["term"]] = (dict(zip(r["slots"], zip([0, *r["ends"][:-1]], r["ends"]))), r["docs"], r["tfs"])
+        for batch in rows.filter(pc.not_equal(rows.column("term"), "")).to_batches():
+            # Arrays beside each other, not a Python object for each number.
+            lists = {c: (batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy(zero_copy_only=False)) for c in _LISTS}
+            for i, term in enumerate(batch.column("term").to_pylist()):
+                slots, ends, impact_ends, tf, length = (values[offsets[i]:offsets[i + 1]] for offsets, values in lists.values())
+                share = _share(tf.astype(float), length.astype(float), mean)
+                bound = np.zeros(self.slots)
+                bound[slots] = np.maximum.reduceat(share, np.append(0, impact_ends[:-1]))
+                self.bounds[term] = bound
+                self.rows[term] = memoryview(slots), ends, batch.column("docs")[i], batch.column("tfs")[i]
 
     def block(self, term: str, slot: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents (in the segment) of the term in the slot and their shares."""
         found = self.kept.get((term, slot))
         if found is None:
-            where, docs, tfs = self.rows[term]
-            a, b = where[slot]
-            doc = np.frombuffer(docs, "<u2", b - a, 2 * a).astype(np.int64)
-            tf = np.frombuffer(tfs, "<u4", b - a, 4 * a).astype(float)
+            slots, ends, docs, tfs = self.rows[term]
+            at = int(np.searchsorted(np.asarray(slots), slot))
+            a, b = int(ends[at - 1]) if at else 0, int(ends[at])
+            doc = np.frombuffer(docs.as_buffer(), "<u2", b - a, 2 * a).astype(np.int64)
+            tf = np.frombuffer(tfs.as_buffer(), "<u4", b - a, 4 * a).astype(float)
+            if len(self.kept) >= KEPT:
+                self.kept.clear()
             found = self.kept[term, slot] = doc, _share(tf, self.lengths[doc], self.mean)
             self.decoded += 1
         return found

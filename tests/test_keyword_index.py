@@ -148,3 +148,17 @@ def test_nothing_to_find(spark, docs, asked):
     some = build_keyword_index(docs.withColumn("doc_id", F.when(F.col("doc_id") < 100, F.col("doc_id"))), new_dir(spark, "index"))
     assert some.totals()[0] == 100
     assert some.search(asked.limit(0)).collect() == []
+
+
+def test_texts_are_cut_into_words_in_pieces_of_bounded_bytes(monkeypatch):
+    """A batch of long texts is worked on in pieces, and every text is in one."""
+    from pagemill.operators import kernels
+    monkeypatch.setattr(kernels, "PIECE_BYTES", 1_000)
+    texts = pa.array(["x" * 300] * 10 + [None, "", "y" * 5_000, "z"])
+    got = kernels.pieces(texts)
+    assert [lo for lo, _ in got] == [0, *(sum(n for _, n in got[:i + 1]) for i in range(len(got) - 1))]
+    assert sum(n for _, n in got) == len(texts)
+    size = lambda lo, n: sum(len(t or "") for t in texts.slice(lo, n).to_pylist())
+    assert all(size(lo, n) <= 1_000 or n == 1 for lo, n in got)
+    assert max(n for _, n in kernels.pieces(texts, 2)) <= 2
+    assert kernels.pieces(texts[:0]) == []
