@@ -9,11 +9,12 @@ from ..functions.prompts import TrainingWording, answer_prompt, question_prompt
 from ..functions.responses import parse_questions
 from ..functions.text import whole_part
 from ..sources.bucketed import in_key_order
-from ..sources.layout import checked_broadcast, stored
+from ..sources.layout import MAX_PARTITIONS, checked_broadcast, stored
 from .joins import skew_join
 
 BINS = 1024
 NARROW_ROWS = 10_000
+RANGE_ROWS = 5_000      # questions that are sorted with their texts at once
 
 
 def question_prompts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -43,11 +44,22 @@ def question_rows(parsed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def qa_join(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
             text: str = "text", ordered: bool = True) -> DataFrame:
     """``question_id, question, content``, in question order if ``ordered``; no matter
-    how many questions one document has."""
+    how many questions one document has.
+
+    For the order, questions are cut into ranges of ids before texts are joined. A text is moved
+    once for each range that asks it, not once for each question, and rows are sorted where the
+    range lies.
+    """
     # Stored, since frequent documents are counted before the join.
-    joined = skew_join(stored(questions, "questions"), docs.select(doc_id, text), doc_id, "id")
-    pairs = joined.select(F.col("id").alias("question_id"), "question", F.col(text).alias("content"))
-    return pairs.orderBy("question_id") if ordered else pairs
+    asked, texts = stored(questions.select("id", doc_id, "question"), "questions"), docs.select(doc_id, F.col(text).alias("content"))
+    if not ordered:
+        return skew_join(asked, texts, doc_id, "id").select(F.col("id").alias("question_id"), "question", "content")
+    ranges = max(asked.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, -(-asked.count() // RANGE_ROWS)))
+    ranged = stored(asked.repartitionByRange(ranges, "id").withColumn("_range", F.spark_partition_id()), "ranges")
+    of_text = ranged.groupBy("_range", doc_id).agg(F.collect_list(F.struct("id", "question")).alias("_asked"))
+    joined = skew_join(of_text, texts, doc_id, "_range").repartitionById(ranges, F.col("_range"))
+    pairs = joined.select(F.explode("_asked").alias("_a"), "content")
+    return pairs.select(F.col("_a.id").alias("question_id"), F.col("_a.question").alias("question"), "content").sortWithinPartitions("question_id")
 
 
 def qa_join_bucketed(questions: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int = 1) -> DataFrame:

@@ -218,3 +218,21 @@ def test_sql_functions(spark):
     assert row["p"] == ["x"] and row["n"] is None
     plan = spark.sql("select question_prompt(cast(id as string)) from range(3)")._jdf.queryExecution().optimizedPlan().toString()
     assert "concat" in plan
+
+
+def test_texts_are_joined_before_no_shuffle_of_every_question(spark, monkeypatch):
+    """Ids that do not follow documents, ids and documents that come twice or are null."""
+    from pagemill.operators import training
+    monkeypatch.setattr(training, "RANGE_ROWS", 20)
+    rows = [(f"{(i * 37) % 400:04}", i % 7 if i % 11 else None, 0, f"q{i}") for i in range(500)] + [(None, 1, 0, "none")]
+    questions = spark.createDataFrame(rows, "id string, doc_id bigint, position int, question string")
+    texts = [(0, "a"), (1, "b"), (2, "c"), (3, None), (4, "e"), (4, "f"), (None, "n")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    joined = training.qa_join(questions, docs)
+    got = [tuple(r) for r in joined.collect()]
+    assert [r[0] for r in got] == sorted((r[0] for r in got), key=lambda i: i or "")
+    want = [(i, q, t) for i, d, _, q in rows for key, t in texts if d is not None and d == key]
+    key = lambda r: tuple(str(c) for c in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    # Texts joined to each question would be sorted into ranges of their ids.
+    assert "rangepartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
