@@ -353,6 +353,7 @@ def topk_blocks(q: DataFrame, x: DataFrame, k: int, threshold: float | None, ski
                 block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS) -> DataFrame:
     """Candidates ``query_id, id, score`` of ``q(query_id, v)`` against ``x(id, v)``: each query's
     k best are among them, with at most k rows of each pair of blocks."""
+    x = stored(x, "index")      # read for its size, the pivots and the blocks: made once
     n, longest = x.agg(F.count("*"), F.max(F.array_size("v"))).first()
     block_bytes = _least_bytes(n * 8 * (longest or 0), block_bytes)
     cells = max(1, min(pivots, -(-n * 8 * (longest or 0) // block_bytes)))
