@@ -95,7 +95,7 @@ def _rarity(data: list[tuple]) -> np.ndarray:
     for _, rows in itertools.groupby(data, lambda row: row[0]):
         seen = np.zeros(BUCKETS)
         for _, _, bucket, n in rows:
-            seen[np.array(bucket)] += n
+            seen[bucket] += n
         extra = min(1.0, seen.sum() / BUCKETS)
         most = np.maximum(most, (seen + extra) / (seen.sum() + extra * BUCKETS))
     return -np.log(most)
@@ -138,20 +138,35 @@ def sampled(labelled: DataFrame, id: str, text: str, lang: str, per_language: in
         _counted, "lang string, aside boolean, buckets array<int>, counts array<int>")
 
 
+def _in_order(rows: pa.Table, languages: tuple[str, ...]) -> list[tuple]:
+    """``language, aside, buckets, counts`` of each row, sorted by these; buckets and
+    counts stay numbers of four bytes, which the driver holds once, and no Python objects."""
+    def lists(name: str) -> list[np.ndarray]:
+        column = rows.column(name).combine_chunks()
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1])
+
+    number = {name: i for i, name in enumerate(languages)}
+    data = [(number[y], a, b, c) for y, a, b, c in zip(
+        rows.column("lang").to_pylist(), rows.column("aside").to_pylist(), lists("buckets"), lists("counts"))]
+    # Numbers of a fixed width, the highest byte first: bytes sort as the numbers do.
+    ordered = lambda numbers: numbers.astype(">i4").tobytes()
+    return sorted(data, key=lambda row: (row[0], row[1], ordered(row[2]), ordered(row[3])))
+
+
 def train(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
     """The model of the labelled rows; None when none has a language and a letter."""
-    rows = sampled(labelled, id, text, lang, per_language).toPandas()
-    if rows.empty:
+    rows = sampled(labelled, id, text, lang, per_language).toArrow()
+    if not rows.num_rows:
         return None
-    languages = tuple(sorted(rows["lang"].unique()))
-    number = {name: i for i, name in enumerate(languages)}
-    data = sorted((number[r.lang], bool(r.aside), tuple(r.buckets), tuple(r.counts)) for r in rows.itertuples())
+    languages = tuple(sorted(rows.column("lang").unique().to_pylist()))
+    data = _in_order(rows, languages)
     rng = np.random.default_rng(1)
-    fit = [(y, np.array(b), np.array(c) / sum(c)) for y, aside, b, c in data if not aside]
-    held = [(y, np.array(b), np.array(c) / sum(c)) for y, aside, b, c in data if aside] or fit
+    fit = [(y, b, c / c.sum()) for y, aside, b, c in data if not aside]
+    held = [(y, b, c / c.sum()) for y, aside, b, c in data if aside] or fit
     fit = fit or held
     rarity = _rarity([row for row in data if not row[1]] or data)
-    size = np.array([sum(c) for _, aside, _, c in data if aside] or [sum(c) for *_, c in data])
+    size = np.array([c.sum() for _, aside, _, c in data if aside] or [c.sum() for *_, c in data])
     embedding = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     output, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     steps, done = EPOCHS * len(fit), 0

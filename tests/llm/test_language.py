@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -71,3 +73,17 @@ def test_nothing_to_learn_from(spark, empty, docs, plain):
     assert {r["lang_pred"] for r in predict(docs, None).collect()} == {"und"}
     one = train(spark.createDataFrame([(1, "only one", "aa")], "doc_id bigint, text string, lang string"))
     assert one.languages == ("aa",)
+
+
+def test_driver_holds_the_sample_as_arrays(spark):
+    """About 2,000 letter groups and counts in each of 200 rows: as Python numbers, and the rows
+    they came in, these were more than the model and a few bytes each."""
+    text = F.expr("concat_ws(' ', transform(sequence(1, 700), i -> translate(conv(substr(md5(concat(id, '-', i)), 1, 8), 16, 26), '0123456789', 'qrstuvwxyz')))")
+    rows = spark.range(200).withColumn("text", text).select(F.col("id").alias("doc_id"), "text", F.lit("aa").alias("lang"))
+    entries = sum(len(np.unique(letter_groups([r["text"]])[1])) for r in rows.collect())
+    tracemalloc.start()
+    model = train(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ("aa",) and entries > 300_000
+    assert peak < 45 * entries + 16 * model.rarity.nbytes + 24 * len(model.rarity) * 8
