@@ -14,13 +14,14 @@ RANGE_ROWS = 100_000
 
 def skew_join(
     left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner",
-    hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    hot_rows: int = HOT_ROWS, salts: int = SALTS, *, partitions: int | None = None,
 ) -> DataFrame:
     """``left`` joined to a ``right`` that is unique on ``key``.
 
     Keys with more than ``hot_rows`` rows in ``left`` are spread over ``salts``
     parts by the column ``spread``; only their ``right`` rows are replicated. At
-    most rows / ``hot_rows`` keys can be hot, which bounds the broadcast list.
+    most rows / ``hot_rows`` keys can be hot, which bounds the broadcast list. The result
+    has as many ``partitions`` as are asked for.
     """
     hot = (left.groupBy(key).agg(F.count("*").alias("_n"))
            .filter(F.col("_n") > hot_rows)
@@ -32,6 +33,8 @@ def skew_join(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     spread_right = (right.join(F.broadcast(hot), key, "left")
                     .withColumn("_salt", F.explode(copies)).drop("_hot"))
+    if partitions:
+        spread_left, spread_right = (side.repartition(partitions, key, "_salt") for side in (spread_left, spread_right))
     return spread_left.join(spread_right, [key, "_salt"], how).drop("_salt")
 
 

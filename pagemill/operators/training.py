@@ -15,6 +15,8 @@ from .joins import skew_join
 BINS = 1024
 NARROW_ROWS = 10_000
 RANGE_ROWS = 5_000      # questions that are sorted with their texts at once
+TEXT_BYTES = 512 << 10  # texts that a part of the training set holds, about
+HOT_QUESTIONS = 100_000
 
 
 def question_prompts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -124,8 +126,15 @@ def resume_pending(df: DataFrame, done: DataFrame, key: str, done_key: str | Non
 
 def qa_dataset(questions: DataFrame, answers: DataFrame, docs: DataFrame, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
-    """Question, answer and source text of every answered question."""
+    """Question, answer and source text of every answered question.
+
+    A text is in the result once for each of its questions. Parts are so small that Parquet's
+    dictionary (1 MB) holds their texts: rows of a part then refer to a text that is written once.
+    """
     given = answers.select("question_id", "answer")
     answered = questions.join(given, questions["id"] == given["question_id"]).drop("id")
-    joined = skew_join(stored(answered, "answered"), docs.select(doc_id, text), doc_id, "question_id")
+    texts = docs.select(doc_id, text)
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, -(-size // TEXT_BYTES)))
+    joined = skew_join(stored(answered, "answered"), texts, doc_id, "question_id", hot_rows=HOT_QUESTIONS, partitions=parts)
     return joined.select("question_id", doc_id, "question", "answer", F.col(text).alias("content"))
