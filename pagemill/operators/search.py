@@ -61,7 +61,8 @@ def topk(
 
 def _searched(q: DataFrame, x: DataFrame, k: int, threshold: float | None, skip_same_id: bool, batch_bytes: int) -> DataFrame:
     """Queries measured to be small are sent to the index where it lies; more of them meet it
-    in blocks on executors."""
+    in blocks on executors. They are stored, so their vectors are made once."""
+    q = stored(q, "queries")
     rows, longest = q.agg(F.count("*"), F.max(F.array_size("v"))).first()
     if rows * 8 * (longest or 0) <= batch_bytes:
         return _rank(_scan(x, q.toArrow(), k, threshold, skip_same_id), k)

@@ -242,3 +242,24 @@ def test_skew_join(spark):
         hot = joins.skew_join(left, right, "k", "id", how, hot_rows=100, salts=8)
         assert sorted(map(tuple, hot.select("id", "k", "v").na.fill(-1).collect())) == sorted(
             map(tuple, plain.na.fill(-1).collect()))
+
+
+@pytest.mark.parametrize("batch_bytes", [1 << 20, 64])
+def test_vectors_of_queries_are_made_once(spark, tmp_path, batch_bytes):
+    seen = f"{tmp_path}/seen"
+
+    def counting():
+        from pagemill.operators.kernels import HashedWords
+        run = HashedWords(16)
+
+        def vectors(texts):
+            with open(seen, "a") as out:
+                out.write("x" * len(texts))
+            return run(texts)
+        return vectors
+
+    texts = lambda n: spark.range(n).select("id", F.concat(F.lit("word"), F.col("id").cast("string")).alias("text"))
+    index = embed(texts(30), "text").select("id", F.slice("embedding", 1, 16).alias("embedding"))
+    queries = embed(texts(20), "text", model=counting).withColumnRenamed("id", "query_id")
+    assert search.topk(queries, index, 2, batch_bytes=batch_bytes).count() == 40
+    assert len(open(seen).read()) == 20
